@@ -149,6 +149,8 @@ def topk_tiled(items: DataFrame, queries: DataFrame, make: MakeScorer, ids: Sequ
         items, queries = items.withColumn("_all", F.lit(0)), queries.withColumn("_all", F.lit(0))
     keys = list(keys)
     spark_schema, arrow_schema = _schemas(items, queries, ids)
+    # Fresh column identities: queries are often derived from the items themselves.
+    queries = queries.select(*[F.col(c).alias(c) for c in queries.columns])
 
     def tiles(df: DataFrame, per_tile: int, name: str) -> DataFrame:
         return df.groupBy(*keys).agg(F.ceil(F.count("*") / per_tile).cast("int").alias(name))
