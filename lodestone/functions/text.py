@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from lodestone.constants import NOISE_BELOW, TOPIC_COVERED_ABOVE
+from lodestone.functions.numbers import settled
 
 
 def _col(c: Column | str) -> Column:
@@ -56,7 +57,7 @@ def preview(c: Column | str, chars: int, suffix: str = "", one_line: bool = Fals
 
 
 def percent(c: Column | str, digits: int = 1) -> Column:
-    return F.format_string(f"%.{digits}f%%", _col(c).cast("double") * 100)
+    return F.format_string(f"%.{digits}f%%", settled(_col(c).cast("double") * 100, digits))
 
 
 def content_hash(c: Column | str, chars: int = 32) -> Column:

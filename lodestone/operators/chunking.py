@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.constants import CHUNKING_STRATEGIES, RECURSIVE_SEPARATORS
+from lodestone.functions.numbers import settled
 from lodestone.functions.splitters import recursive_chunks
 from lodestone.functions.text import content_hash, preview, strip_ws
 
@@ -97,6 +98,6 @@ def chunk_summary(chunks: DataFrame, *by: str) -> DataFrame:
     return chunks.groupBy(*by).agg(
         F.count("*").alias("chunks"),
         F.min("char_count").alias("min_chars"),
-        F.round(F.avg("char_count"), 4).alias("avg_chars"),
+        settled(F.avg("char_count"), 4).alias("avg_chars"),
         F.max("char_count").alias("max_chars"),
     )

@@ -22,6 +22,8 @@ from lodestone.constants import (
     SPLIT_SHARES,
     THRESHOLD_GRID,
 )
+from lodestone.functions.numbers import settled
+from lodestone.functions.unions import union_all
 from lodestone.operators.ranking import hash_rank, hash_share, running_totals
 
 DIGITS = 6
@@ -69,7 +71,7 @@ def downsample_majority(df: DataFrame, item_id: str, findings: str = "findings",
     positive, negative = split_findings(df, findings)
     wanted = positive.agg(F.count("*").alias("n")).scalar()
     kept = hash_rank(negative, item_id, seed).filter(F.col("hash_rank") <= wanted).drop("hash_rank")
-    return positive.unionByName(kept)
+    return union_all(positive, kept)
 
 
 def _named_split(position: Column, train: Column, val: Column) -> Column:
@@ -96,7 +98,7 @@ def split_exact(df: DataFrame, group: str, shares: tuple[float, float] = SPLIT_S
 def label_distribution(long_labels: DataFrame) -> DataFrame:
     """(condition, positives, pct) over long (item_id, condition, label)."""
     return long_labels.groupBy("condition").agg(
-        F.sum("label").cast("long").alias("positives"), F.round(100.0 * F.sum("label") / F.count("*"), 1).alias("pct")
+        F.sum("label").cast("long").alias("positives"), settled(100.0 * F.sum("label") / F.count("*"), 1).alias("pct")
     )
 
 
@@ -115,7 +117,7 @@ def apply_thresholds(scores: DataFrame, thresholds: DataFrame | None, default: f
     t = F.coalesce("_t", F.lit(default))
     hit = F.col("score") >= t if op == ">=" else F.col("score") > t
     return with_t.withColumns(
-        {"detected": hit, "probability": F.round("score", 4), "threshold": F.round(t, 3)}
+        {"detected": hit, "probability": settled("score", 4), "threshold": F.round(t, 3)}
     ).drop("_t")
 
 
@@ -157,10 +159,10 @@ def precision_recall_f1(matrix: DataFrame) -> DataFrame:
     tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
     return matrix.withColumns(
         {
-            "precision": F.round(_ratio(tp, tp + fp), DIGITS),
-            "recall": F.round(_ratio(tp, tp + fn), DIGITS),
-            "f1": F.round(_ratio(2 * tp, 2 * tp + fp + fn), DIGITS),
-            "accuracy": F.round(_ratio(tp + tn, tp + tn + fp + fn), DIGITS),
+            "precision": settled(_ratio(tp, tp + fp), DIGITS),
+            "recall": settled(_ratio(tp, tp + fn), DIGITS),
+            "f1": settled(_ratio(2 * tp, 2 * tp + fp + fn), DIGITS),
+            "accuracy": settled(_ratio(tp + tn, tp + tn + fp + fn), DIGITS),
         }
     )
 
@@ -168,7 +170,7 @@ def precision_recall_f1(matrix: DataFrame) -> DataFrame:
 def class_matrix(labelled: DataFrame, actual: str = "actual", predicted: str = "predicted") -> DataFrame:
     """(actual, predicted, n, share of the actual class) for single-label predictions."""
     cells = labelled.groupBy(actual, predicted).agg(F.count("*").alias("n"))
-    return cells.withColumn("share", F.round(F.col("n") / F.sum("n").over(W.partitionBy(actual)), DIGITS))
+    return cells.withColumn("share", settled(F.col("n") / F.sum("n").over(W.partitionBy(actual)), DIGITS))
 
 
 def roc_steps(scored: DataFrame, by: Sequence[str] = ("condition",)) -> DataFrame:
@@ -191,8 +193,8 @@ def roc_points(steps: DataFrame, by: Sequence[str] = ("condition",)) -> DataFram
     return steps.filter("p > 0 AND n > 0").select(
         *by,
         "score",
-        F.round(F.col("fp") / F.col("n"), DIGITS).alias("fpr"),
-        F.round(F.col("tp") / F.col("p"), DIGITS).alias("tpr"),
+        settled(F.col("fp") / F.col("n"), DIGITS).alias("fpr"),
+        settled(F.col("tp") / F.col("p"), DIGITS).alias("tpr"),
     )
 
 
@@ -203,7 +205,7 @@ def roc_auc(steps: DataFrame, by: Sequence[str] = ("condition",)) -> DataFrame:
     return steps.groupBy(*by).agg(
         F.first("p").alias("positives"),
         F.first("n").alias("negatives"),
-        F.round(F.when(pairs > 0, area / pairs).otherwise(F.lit(0.0)), DIGITS).alias("auc"),
+        settled(F.when(pairs > 0, area / pairs).otherwise(F.lit(0.0)), DIGITS).alias("auc"),
     )
 
 
@@ -215,8 +217,8 @@ def macro_metrics(aucs: DataFrame, f1s: DataFrame) -> DataFrame:
     """Mean AUC over classes whose AUC is not 0, and mean F1 over all classes."""
     joined = f1s.select("condition", "f1").join(aucs.select("condition", "auc"), "condition", "left")
     return joined.agg(
-        F.round(F.avg(F.when(F.col("auc") > 0, F.col("auc"))), DIGITS).alias("mean_auc"),
-        F.round(F.avg("f1"), DIGITS).alias("mean_f1"),
+        settled(F.avg(F.when(F.col("auc") > 0, F.col("auc"))), DIGITS).alias("mean_auc"),
+        settled(F.avg("f1"), DIGITS).alias("mean_f1"),
     )
 
 
@@ -228,17 +230,17 @@ def mean_roc(steps: DataFrame, points: int = 100, by: Sequence[str] = ("conditio
     """
     last = points - 1
     usable = steps.filter("p > 0 AND n > 0")
-    # grid points x with fp0/n <= x < fp/n, compared as whole numbers
-    lo = F.ceil(F.col("fp0") * last / F.col("n") - 1e-9)
-    hi = F.ceil(F.col("fp") * last / F.col("n") - 1e-9) - 1
+    # grid points x with fp0/n <= x < fp/n, in whole numbers so that no point is lost or met twice
+    lo = F.expr(f"(fp0 * {last} + n - 1) div n")
+    hi = F.expr(f"(fp * {last} + n - 1) div n - 1")
     spans = usable.filter("neg > 0").withColumns({"lo": lo, "hi": hi}).filter("hi >= lo")
     inside = spans.withColumn("grid", F.explode(F.sequence(F.col("lo").cast("int"), F.col("hi").cast("int"))))
     at = (F.col("grid") * F.col("n") / F.lit(float(last)) - F.col("fp0")) / F.col("neg")
     tpr = (F.col("tp0") + F.col("pos") * at) / F.col("p")
     at_one = usable.select(*by).distinct().select(*by, F.lit(last).alias("grid"), F.lit(1.0).alias("tpr"))
-    curve = inside.select(*by, "grid", tpr.alias("tpr")).unionByName(at_one)
+    curve = union_all(inside.select(*by, "grid", tpr.alias("tpr")), at_one)
     mean = F.when(F.col("grid") == 0, F.lit(0.0)).when(F.col("grid") == last, F.lit(1.0)).otherwise(F.avg("tpr"))
-    return curve.groupBy("grid").agg(F.round(mean, DIGITS).alias("mean_tpr")).withColumn(
+    return curve.groupBy("grid").agg(settled(mean, DIGITS).alias("mean_tpr")).withColumn(
         "fpr", F.round(F.col("grid") / F.lit(float(last)), DIGITS)
     )
 
@@ -248,13 +250,13 @@ def mean_roc_area(curve: DataFrame) -> DataFrame:
     w = W.orderBy("grid")
     width = F.col("fpr") - F.lag("fpr").over(w)
     height = (F.col("mean_tpr") + F.lag("mean_tpr").over(w)) / 2
-    return curve.select((width * height).alias("a")).agg(F.round(F.sum("a"), 4).alias("mean_auc"))
+    return curve.select((width * height).alias("a")).agg(settled(F.sum("a"), 4).alias("mean_auc"))
 
 
 def log_loss(scored: DataFrame, by: Sequence[str] = ("condition",), clip: float = 1e-7) -> DataFrame:
     p = F.greatest(F.least(F.col("score"), F.lit(1 - clip)), F.lit(clip))
     loss = -F.when(F.col("label") == 1, F.log(p)).otherwise(F.log(1 - p))
-    return scored.groupBy(*by).agg(F.round(F.avg(loss), DIGITS).alias("log_loss"))
+    return scored.groupBy(*by).agg(settled(F.avg(loss), DIGITS).alias("log_loss"))
 
 
 def threshold_value(index: Column, grid: tuple[float, float, int] = THRESHOLD_GRID) -> Column:
@@ -295,7 +297,7 @@ def threshold_curve(scored: DataFrame, by: Sequence[str] = ("condition",), grid:
         (F.sum("pos").over(whole) - F.sum("pos").over(above)).alias("fn"),
     ).filter("grid >= 0")
     f1 = _ratio(2 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + F.col("fn"))
-    return counted.withColumns({"threshold": threshold_value(F.col("grid"), grid), "f1": F.round(f1, DIGITS)})
+    return counted.withColumns({"threshold": threshold_value(F.col("grid"), grid), "f1": settled(f1, DIGITS)})
 
 
 def best_thresholds(curve: DataFrame, by: Sequence[str] = ("condition",)) -> DataFrame:
@@ -310,9 +312,9 @@ def tuning_gain(default_f1: DataFrame, best: DataFrame) -> DataFrame:
     """Mean F1 at the default threshold and after tuning, and the gain in percent."""
     means = default_f1.join(best, "condition").agg(F.avg("f1").alias("b"), F.avg("best_f1").alias("a"))
     return means.select(
-        F.round("b", DIGITS).alias("mean_f1_default"),
-        F.round("a", DIGITS).alias("mean_f1_tuned"),
-        F.round(F.when(F.col("b") > 0, (F.col("a") - F.col("b")) / F.col("b") * 100).otherwise(F.lit(0.0)), 2).alias("gain_pct"),
+        settled("b", DIGITS).alias("mean_f1_default"),
+        settled("a", DIGITS).alias("mean_f1_tuned"),
+        settled(F.when(F.col("b") > 0, (F.col("a") - F.col("b")) / F.col("b") * 100).otherwise(F.lit(0.0)), 2).alias("gain_pct"),
     )
 
 
@@ -336,6 +338,6 @@ def compare_models(results: DataFrame, model: str, metrics: Sequence[str]) -> Da
     """(model, metric, value_pct, winner): shares are shown in percent, one winner per metric."""
     long = results.unpivot(model, list(metrics), "metric", "value")
     pct = F.when(F.col("value") <= 1.0, F.col("value") * 100).otherwise(F.col("value"))
-    shown = long.select(model, "metric", F.round(F.coalesce(pct, F.lit(0.0)), 4).alias("value_pct"))
+    shown = long.select(model, "metric", settled(F.coalesce(pct, F.lit(0.0)), 4).alias("value_pct"))
     place = F.row_number().over(W.partitionBy("metric").orderBy(F.desc("value_pct"), model))
     return shown.withColumn("winner", place == 1)

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from lodestone.functions.unions import union_all
+
 
 def keep_first(df: DataFrame, key: Sequence[str] | str, order: Sequence[str]) -> DataFrame:
     """One row per key, the smallest by ``order`` (which must be unique per key).
@@ -38,9 +40,7 @@ def running_unique(docs: DataFrame, doc_id: str = "id", term_pos: str = "term_po
     slim = docs.select(doc_id, term_pos, pos)
     firsts = first_by_term(slim, doc_id, [term_pos, pos])
     per_term = (
-        slim.select(term_pos, F.lit(0).alias("n"))
-        .distinct()
-        .unionByName(firsts.select(term_pos, F.lit(1).alias("n")))
+        union_all(slim.select(term_pos, F.lit(0).alias("n")).distinct(), firsts.select(term_pos, F.lit(1).alias("n")))
         .groupBy(term_pos)
         .agg(F.sum("n").alias("new_docs"))
     )

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodestone.constants import CONDITIONS, DEFAULT_THRESHOLD
+from lodestone.functions.numbers import settled
 from lodestone.functions.text import tokens
 from lodestone.functions.vectors import sigmoid
 
@@ -103,7 +104,7 @@ def embedding_summary(df: DataFrame, by: list[str], vector: str = "embedding", t
     """Per (model, strategy): chunks, mean chunk size and vector length."""
     return df.groupBy(*by).agg(
         F.count("*").alias("num_chunks"),
-        F.round(F.avg(F.length(text)), 1).alias("avg_chunk_chars"),
+        settled(F.avg(F.length(text)), 1).alias("avg_chunk_chars"),
         F.max(F.size(vector)).alias("dimension"),
     )
 

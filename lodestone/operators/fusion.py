@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import add
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.functions.vectors import cosine
@@ -16,11 +18,23 @@ RRF_DIGITS = 9
 
 def fuse(lists: Sequence[tuple[DataFrame, float]], ids: Sequence[str], rrf_k: int = 60) -> DataFrame:
     """(query_id, *ids, rrf): sum of weight / (rrf_k + rank); an absent list adds nothing."""
-    votes = None
-    for ranked, weight in lists:
-        vote = ranked.select("query_id", *ids, (F.lit(float(weight)) / (rrf_k + F.col("rank"))).alias("vote"))
-        votes = vote if votes is None else votes.unionByName(vote)
-    return votes.groupBy("query_id", *ids).agg(F.round(F.sum("vote"), RRF_DIGITS).alias("rrf"))
+    joined = side_by_side([ranked for ranked, _ in lists], ids)
+    votes = [vote(F.col(f"rank_{i}"), F.lit(float(weight)), F.lit(rrf_k)) for i, (_, weight) in enumerate(lists)]
+    return joined.select("query_id", *ids, F.round(reduce(add, votes), RRF_DIGITS).alias("rrf"))
+
+
+def side_by_side(lists: Sequence[DataFrame], ids: Sequence[str]) -> DataFrame:
+    """(query_id, *ids, rank_0, rank_1, ...): the lists full-outer-joined, null where a list lacks the item.
+
+    Lists come out of a window per query, so they are partitioned alike and
+    the join adds no shuffle.
+    """
+    named = [ranked.select("query_id", *ids, F.col("rank").alias(f"rank_{i}")) for i, ranked in enumerate(lists)]
+    return reduce(lambda a, b: a.join(b, ["query_id", *ids], "full_outer"), named)
+
+
+def vote(rank: Column, weight: Column, rrf_k: Column) -> Column:
+    return F.coalesce(weight / (rrf_k + rank), F.lit(0.0))
 
 
 def with_similarity(candidates: DataFrame, items: DataFrame, queries: DataFrame, ids: Sequence[str],

@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.constants import LOG_RESPONSE_CHARS
+from lodestone.functions.numbers import settled
 from lodestone.functions.text import occurrences
+from lodestone.functions.unions import union_all
 
 
 def largest_groups(df: DataFrame, key: str, n: int = 5) -> DataFrame:
@@ -34,14 +36,14 @@ def usage_daily(logs: DataFrame, until: Column, days: int = 7) -> DataFrame:
     recent = logs.filter(F.col("created_at") > until - F.make_dt_interval(F.lit(days)))
     return recent.groupBy(F.to_date("created_at").alias("day")).agg(
         F.count("*").alias("total_queries"),
-        F.round(F.avg("latency_ms"), 6).alias("avg_latency_ms"),
-        F.round(F.avg(F.col("success").cast("int")), 6).alias("success_rate"),
+        settled(F.avg("latency_ms"), 6).alias("avg_latency_ms"),
+        settled(F.avg(F.col("success").cast("int")), 6).alias("success_rate"),
     )
 
 
 def prediction_frequency(logs: DataFrame) -> DataFrame:
     return logs.filter("prediction IS NOT NULL").groupBy("prediction").agg(
-        F.count("*").alias("frequency"), F.round(F.avg("confidence"), 6).alias("avg_confidence")
+        F.count("*").alias("frequency"), settled(F.avg("confidence"), 6).alias("avg_confidence")
     )
 
 
@@ -65,7 +67,7 @@ def register_models(registry: DataFrame, new: DataFrame) -> DataFrame:
     """The registry after the new rows came in, in order of created_at: the last
     registration of a model type is its only active row."""
     types = new.groupBy("model_type").agg(F.max(F.struct("created_at", "version")).alias("last"))
-    both = registry.unionByName(new.withColumn("is_active", F.lit(False)), allowMissingColumns=True)
+    both = union_all(registry, new.withColumn("is_active", F.lit(False)))
     touched = F.col("last").isNotNull()
     is_last = (F.col("created_at") == F.col("last.created_at")) & (F.col("version") == F.col("last.version"))
     return both.join(types, "model_type", "left").withColumn(
@@ -82,4 +84,4 @@ def throughput(runs: DataFrame, baseline_scale: int = 1) -> DataFrame:
     rate = F.when(F.col("total_ms") > 0, F.col("docs") / (F.col("total_ms") / 1000.0)).otherwise(F.lit(0.0))
     rated = runs.withColumn("docs_per_sec", F.round(rate, 2))
     base = rated.filter(F.col("scale") == baseline_scale).select("docs_per_sec").scalar()
-    return rated.withColumn("speed_up", F.round(F.when(F.lit(base) > 0, F.col("docs_per_sec") / base), 2))
+    return rated.withColumn("speed_up", settled(F.when(F.lit(base) > 0, F.col("docs_per_sec") / base), 2))

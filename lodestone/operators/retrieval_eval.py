@@ -14,9 +14,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lodestone.constants import TOPIC_COVERED_ABOVE
+from lodestone.functions.numbers import settled
 from lodestone.functions.text import contains_any, keywords_found, preview, relative_gain_pct
 from lodestone.functions.vectors import cosine
-from lodestone.operators.fusion import RRF_DIGITS, with_similarity
+from lodestone.operators.fusion import RRF_DIGITS, side_by_side, vote, with_similarity
 
 DIGITS = 4
 
@@ -49,8 +50,8 @@ def keyword_scores(hits: DataFrame, cases: DataFrame, k: int, by: Sequence[str]
     found = keywords_found(F.coalesce("_joined", F.lit("")), keywords)
     return cases.join(per_case, key, "left").select(
         *key,
-        F.round(F.coalesce(F.col("_relevant") / F.lit(k), F.lit(0.0)), DIGITS).alias("precision_at_k"),
-        F.round(F.when(wanted > 0, found / wanted).otherwise(F.lit(0.0)), DIGITS).alias("keyword_coverage"),
+        settled(F.coalesce(F.col("_relevant") / F.lit(k), F.lit(0.0)), DIGITS).alias("precision_at_k"),
+        settled(F.when(wanted > 0, found / wanted).otherwise(F.lit(0.0)), DIGITS).alias("keyword_coverage"),
     )
 
 
@@ -89,7 +90,7 @@ def semantic_scores(hits: DataFrame, topics: DataFrame, by: Sequence[str] = (),
         per_case = cases.select(*key).join(per_case, key, "left")
 
     def value(c: str) -> Column:
-        return F.round(F.coalesce(c, F.lit(0.0)), DIGITS)
+        return settled(F.coalesce(c, F.lit(0.0)), DIGITS)
 
     return per_case.select(
         *key,
@@ -109,9 +110,9 @@ def with_case_keywords(scores: DataFrame, keyword_cases: DataFrame) -> DataFrame
 
 def config_means(per_case: DataFrame, by: Sequence[str], metrics: Sequence[str], latency: str | None = None) -> DataFrame:
     """Mean of each metric over the cases of a configuration."""
-    means = [F.round(F.avg(m), DIGITS).alias(f"mean_{m}") for m in metrics]
+    means = [settled(F.avg(m), DIGITS).alias(f"mean_{m}") for m in metrics]
     if latency:
-        means.append(F.round(F.avg(latency), 2).alias(f"mean_{latency}"))
+        means.append(settled(F.avg(latency), 2).alias(f"mean_{latency}"))
     return per_case.groupBy(*by).agg(*means, F.count("*").alias("num_cases"))
 
 
@@ -123,23 +124,23 @@ def rank_configs(means: DataFrame, metric: str, by: Sequence[str]) -> DataFrame:
 def versus_runner_up(ranked: DataFrame, metric: str, latency: str | None = None) -> DataFrame:
     """The winner with its lead over the second place."""
     nxt = W.orderBy("rank")
-    out = ranked.withColumn("lead", F.round(F.col(metric) - F.lead(metric).over(nxt), DIGITS))
+    out = ranked.withColumn("lead", settled(F.col(metric) - F.lead(metric).over(nxt), DIGITS))
     if latency:
-        out = out.withColumn("latency_lead", F.round(F.col(latency) - F.lead(latency).over(nxt), 2))
+        out = out.withColumn("latency_lead", settled(F.col(latency) - F.lead(latency).over(nxt), 2))
     return out.filter("rank = 1")
 
 
 def by_difficulty(per_case: DataFrame, cases: DataFrame, metric: str, by: Sequence[str] = ()) -> DataFrame:
     joined = per_case.join(cases.select("query_id", "difficulty"), "query_id")
     return joined.groupBy(*by, "difficulty").agg(
-        F.count("*").alias("n"), F.round(F.avg(metric), DIGITS).alias(f"mean_{metric}")
+        F.count("*").alias("n"), settled(F.avg(metric), DIGITS).alias(f"mean_{metric}")
     )
 
 
 def best_combined(means: DataFrame, order: str, precision: str = "mean_semantic_precision",
                   coverage: str = "mean_topic_coverage") -> DataFrame:
     """The configuration with the highest 0.5 * precision + 0.5 * coverage; the earliest on a tie."""
-    scored = means.withColumn("combined", F.round(0.5 * F.col(precision) + 0.5 * F.col(coverage), 6))
+    scored = means.withColumn("combined", settled(0.5 * F.col(precision) + 0.5 * F.col(coverage), 6))
     return scored.orderBy(F.desc("combined"), order).limit(1)
 
 
@@ -147,7 +148,7 @@ def improvement(means: DataFrame, baseline: str, label: str, metrics: Sequence[s
     """Gain in percent over the baseline row; 0 where the baseline is 0."""
     base = means.filter(F.col(label) == baseline)
     gains = [
-        F.round(relative_gain_pct(F.col(m), F.lit(base.select(m).scalar())), 1).alias(f"{m}_gain_pct")
+        settled(relative_gain_pct(F.col(m), F.lit(base.select(m).scalar())), 1).alias(f"{m}_gain_pct")
         for m in metrics
     ]
     return means.select("*", *gains)
@@ -171,24 +172,20 @@ def sweep_fusion(vector_hits: DataFrame, bm25_hits: DataFrame, items: DataFrame,
         ]
     )
 
-    def votes(hits: DataFrame, weight: str) -> DataFrame:
-        each = hits.select("query_id", *ids, "rank", F.explode(settings).alias("c")).filter("rank <= c.depth")
-        return each.select(
-            "query_id", *ids, F.col("c.label").alias("label"),
-            F.struct("c.k", "c.floor", "c.floor_last").alias("cut"),
-            (F.col(f"c.{weight}") / (F.col("c.rrf_k") + F.col("rank"))).alias("vote"),
-        )
-
-    every = votes(vector_hits, "vector_weight").unionByName(votes(bm25_hits, "bm25_weight"))
-    fused = every.groupBy("label", "query_id", *ids, "cut").agg(F.round(F.sum("vote"), RRF_DIGITS).alias("rrf"))
-    seen = vector_hits.select("query_id", *ids).unionByName(bm25_hits.select("query_id", *ids)).distinct()
-    sims = with_similarity(seen, items, queries, ids)
-    scored = fused.join(sims, ["query_id", *ids])
-    passes = F.col("cut.floor").isNull() | (F.col("vec_sim") >= F.col("cut.floor"))
-    early = scored.filter(F.col("cut.floor_last") | passes)
+    candidates = with_similarity(side_by_side([vector_hits, bm25_hits], ids), items, queries, ids)
+    each = candidates.withColumn("c", F.explode(settings))
+
+    def given(rank: str, weight: str) -> Column:
+        in_depth = F.when(F.col(rank) <= F.col("c.depth"), F.col(rank))
+        return vote(in_depth, F.col(f"c.{weight}"), F.col("c.rrf_k"))
+
+    rrf = F.round(given("rank_0", "vector_weight") + given("rank_1", "bm25_weight"), RRF_DIGITS)
+    passes = F.col("c.floor").isNull() | (F.col("vec_sim") >= F.col("c.floor"))
+    scored = each.withColumns({"rrf": rrf, "label": F.col("c.label"), "passes": passes})
+    early = scored.filter((F.col("rrf") > 0) & (F.col("c.floor_last") | F.col("passes")))
     order = W.partitionBy("label", "query_id").orderBy(F.desc("rrf"), *ids)
-    ranked = early.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= F.col("cut.k"))
-    return ranked.filter(passes).select("label", "query_id", *ids, "rrf", "vec_sim", "rank")
+    ranked = early.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= F.col("c.k"))
+    return ranked.filter("passes").select("label", "query_id", *ids, "rrf", "vec_sim", "rank")
 
 
 def sweep_k(hits: DataFrame, ks: Sequence[int]) -> DataFrame:

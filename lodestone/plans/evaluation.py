@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lodestone.functions.unions import union_all
 from lodestone.operators.encoding import ENCODERS, embed, resolve
 from lodestone.operators.retrieval_eval import keyword_scores, per_config, semantic_scores
 from lodestone.operators.vector_search import vector_topk
@@ -31,7 +31,7 @@ def grid_hits(spark: SparkSession, docs: DataFrame, cases: DataFrame, models: Se
             hits = vector_topk(index, encode_queries(cases, model), IDS, k)
             kept = hits.join(index.select(*IDS, "chunk_text", "embedding"), IDS)
             branches.append(kept.select(F.lit(model).alias("model"), F.lit(strategy).alias("strategy"), "*"))
-    return reduce(DataFrame.unionByName, branches)
+    return union_all(*branches)
 
 
 def grid_cases(cases: DataFrame, models: Sequence[str], strategies: Sequence[str]) -> DataFrame:
@@ -49,12 +49,12 @@ def semantic_grid(spark: SparkSession, docs: DataFrame, cases: DataFrame, topics
                   strategies: Sequence[str], k: int = 5) -> DataFrame:
     """(model, strategy, query_id, semantic_precision, topic_coverage, best_similarity, kept); topics are texts."""
     hits = grid_hits(spark, docs, cases, models, strategies, k)
-    encoded = reduce(
-        DataFrame.unionByName,
-        [
-            embed(topics.select("query_id", "topic_pos", "topic"), m, "topic", "topic_vector", precise=True)
+    texts = topics.select("query_id", "topic_pos", "topic")
+    encoded = union_all(
+        *[
+            embed(texts, m, "topic", "topic_vector", precise=True)
             .select(F.lit(m).alias("model"), "query_id", "topic_pos", "topic_vector")
             for m in models
-        ],
+        ]
     )
     return semantic_scores(hits, encoded, BY, ["model", "query_id"], cases=grid_cases(cases, models, strategies))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.constants import NO_FINDING, THRESHOLD_GRID
+from lodestone.functions.numbers import settled
 from lodestone.operators import classifier as cl
 from lodestone.operators.encoding import placeholder_scores
 from lodestone.operators.vector_search import vector_topk
@@ -38,7 +39,7 @@ def labels_multi_hot(spark, sf):
 
 
 @query("label_distribution", f"""WITH {LONG_SQL}
-SELECT condition, sum(label)::BIGINT AS positives, round(100.0::DOUBLE * sum(label) / count(*), 1) AS pct FROM l GROUP BY condition""")
+SELECT condition, sum(label)::BIGINT AS positives, round(100.0::DOUBLE * sum(label) / count(*) + 1e-9, 1) AS pct FROM l GROUP BY condition""")
 def label_distribution(spark, sf):
     return cl.label_distribution(cl.multi_hot_long(_findings(spark, sf), "item_id", ["Good Text", "Toxic Text"]))
 
@@ -83,10 +84,10 @@ def group_split_exact(spark, sf):
 CONFUSION_SQL = f"""{LABEL_SCORES}, m AS (
   SELECT condition, count(*) FILTER (WHERE score <= 0.5 AND label = 0) AS tn, count(*) FILTER (WHERE score > 0.5 AND label = 0) AS fp,
          count(*) FILTER (WHERE score <= 0.5 AND label = 1) AS fn, count(*) FILTER (WHERE score > 0.5 AND label = 1) AS tp FROM scored GROUP BY condition),
-prf AS (SELECT *, round(CASE WHEN tp + fp > 0 THEN tp::DOUBLE / (tp + fp) ELSE 0 END, 6) AS precision,
-  round(CASE WHEN tp + fn > 0 THEN tp::DOUBLE / (tp + fn) ELSE 0 END, 6) AS recall,
-  round(CASE WHEN 2 * tp + fp + fn > 0 THEN 2.0::DOUBLE * tp / (2 * tp + fp + fn) ELSE 0 END, 6) AS f1,
-  round((tp + tn)::DOUBLE / (tp + tn + fp + fn), 6) AS accuracy FROM m)"""
+prf AS (SELECT *, round(CASE WHEN tp + fp > 0 THEN tp::DOUBLE / (tp + fp) ELSE 0 END + 1e-9, 6) AS precision,
+  round(CASE WHEN tp + fn > 0 THEN tp::DOUBLE / (tp + fn) ELSE 0 END + 1e-9, 6) AS recall,
+  round(CASE WHEN 2 * tp + fp + fn > 0 THEN 2.0::DOUBLE * tp / (2 * tp + fp + fn) ELSE 0 END + 1e-9, 6) AS f1,
+  round((tp + tn)::DOUBLE / (tp + tn + fp + fn) + 1e-9, 6) AS accuracy FROM m)"""
 
 
 @query("confusion", f"WITH {CONFUSION_SQL} SELECT * FROM m")
@@ -102,7 +103,7 @@ def class_prf(spark, sf):
 @query("class_matrix", f"""WITH {CENTROIDS},
 s AS (SELECT vec_id, e.label AS actual, c.label AS predicted, round(list_cosine_similarity(v, cv), 6) AS sim FROM e, c),
 p AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY sim DESC, predicted) = 1)
-SELECT actual, predicted, count(*) AS n, round(count(*) / (sum(count(*)) OVER (PARTITION BY actual))::DOUBLE, 6) AS share FROM p GROUP BY actual, predicted""")
+SELECT actual, predicted, count(*) AS n, round(count(*) / (sum(count(*)) OVER (PARTITION BY actual))::DOUBLE + 1e-9, 6) AS share FROM p GROUP BY actual, predicted""")
 def class_matrix(spark, sf):
     items = table(spark, sf, "embeddings")
     classes = centroids(items, "label").select(F.col("label").alias("predicted"), F.col("vector").alias("embedding"))
@@ -114,7 +115,7 @@ def class_matrix(spark, sf):
 
 # Pair counting, a second way to the same area.
 AUC_SQL = f"""{LABEL_SCORES}, auc AS (
-  SELECT t.condition, t.positives, t.negatives, round(CASE WHEN pairs > 0 THEN won / pairs ELSE 0 END, 6) AS auc FROM (
+  SELECT t.condition, t.positives, t.negatives, round(CASE WHEN pairs > 0 THEN won / pairs ELSE 0 END + 1e-9, 6) AS auc FROM (
     SELECT condition, sum(label)::BIGINT AS positives, sum(1 - label)::BIGINT AS negatives, sum(label)::DOUBLE * sum(1 - label) AS pairs FROM scored GROUP BY condition) t
   LEFT JOIN (SELECT a.condition, sum(CASE WHEN a.score > b.score THEN 1.0::DOUBLE WHEN a.score = b.score THEN 0.5 ELSE 0 END) AS won
     FROM scored a JOIN scored b ON a.condition = b.condition AND a.label = 1 AND b.label = 0 GROUP BY a.condition) w USING (condition))"""
@@ -126,7 +127,7 @@ def roc_auc(spark, sf):
 
 
 @query("macro_metrics", f"""WITH {AUC_SQL}, {CONFUSION_SQL.split(', m AS', 1)[1].join(['m AS', ''])}
-SELECT round(avg(CASE WHEN auc > 0 THEN auc END), 6) AS mean_auc, round(avg(f1), 6) AS mean_f1 FROM prf JOIN auc USING (condition)""")
+SELECT round(avg(CASE WHEN auc > 0 THEN auc END) + 1e-9, 6) AS mean_auc, round(avg(f1) + 1e-9, 6) AS mean_f1 FROM prf JOIN auc USING (condition)""")
 def macro_metrics(spark, sf):
     scored = label_scores(spark, sf)
     return cl.macro_metrics(cl.roc_auc(cl.roc_steps(scored)), cl.precision_recall_f1(cl.confusion(scored)))
@@ -139,7 +140,7 @@ st AS MATERIALIZED (
   FROM g WINDOW w AS (PARTITION BY condition ORDER BY score DESC))"""
 
 
-@query("roc_points", f"WITH {STEPS_SQL} SELECT condition, score, round(fp::DOUBLE / n, 6) AS fpr, round(tp::DOUBLE / p, 6) AS tpr FROM st")
+@query("roc_points", f"WITH {STEPS_SQL} SELECT condition, score, round(fp::DOUBLE / n + 1e-9, 6) AS fpr, round(tp::DOUBLE / p + 1e-9, 6) AS tpr FROM st")
 def roc_points(spark, sf):
     return cl.roc_points(cl.roc_steps(label_scores(spark, sf)))
 
@@ -152,7 +153,7 @@ rd AS (
   SELECT i, (t0 + (t1 - t0) * (i * n / 99.0::DOUBLE - f0) / (f1 - f0)) / p AS tpr FROM seg, grid WHERE f1 > f0 AND i * n >= f0 * 99 AND i * n < f1 * 99
   UNION ALL SELECT 99, 1.0::DOUBLE FROM (SELECT DISTINCT condition FROM st)),
 curve AS (
-  SELECT i::INTEGER AS grid, round(i / 99.0::DOUBLE, 6) AS fpr, round(CASE WHEN i = 0 THEN 0.0::DOUBLE WHEN i = 99 THEN 1.0 ELSE avg(tpr) END, 6) AS mean_tpr FROM rd GROUP BY i)"""
+  SELECT i::INTEGER AS grid, round(i / 99.0::DOUBLE, 6) AS fpr, round(CASE WHEN i = 0 THEN 0.0::DOUBLE WHEN i = 99 THEN 1.0 ELSE avg(tpr) END + 1e-9, 6) AS mean_tpr FROM rd GROUP BY i)"""
 
 
 @query("mean_roc", f"WITH {MEAN_ROC_SQL} SELECT * FROM curve")
@@ -161,13 +162,13 @@ def mean_roc(spark, sf):
 
 
 @query("mean_roc_area", f"""WITH {MEAN_ROC_SQL}
-SELECT round(sum(a), 4) AS mean_auc FROM (SELECT (fpr - lag(fpr) OVER (ORDER BY grid)) * (mean_tpr + lag(mean_tpr) OVER (ORDER BY grid)) / 2 AS a FROM curve)""")
+SELECT round(sum(a) + 1e-9, 4) AS mean_auc FROM (SELECT (fpr - lag(fpr) OVER (ORDER BY grid)) * (mean_tpr + lag(mean_tpr) OVER (ORDER BY grid)) / 2 AS a FROM curve)""")
 def mean_roc_area(spark, sf):
     return cl.mean_roc_area(cl.mean_roc(cl.roc_steps(label_scores(spark, sf))))
 
 
 @query("log_loss", f"""WITH {LABEL_SCORES}
-SELECT condition, round(avg(-CASE WHEN label = 1 THEN ln(p) ELSE ln(1 - p) END), 6) AS log_loss
+SELECT condition, round(avg(-CASE WHEN label = 1 THEN ln(p) ELSE ln(1 - p) END) + 1e-9, 6) AS log_loss
 FROM (SELECT condition, label, greatest(least(score, 1 - 1e-7::DOUBLE), 1e-7::DOUBLE) AS p FROM scored) GROUP BY condition""")
 def log_loss(spark, sf):
     return cl.log_loss(label_scores(spark, sf))
@@ -180,7 +181,7 @@ cnt AS (
   SELECT condition, grid, threshold, count(*) FILTER (WHERE label = 1 AND score >= threshold) AS tp,
          count(*) FILTER (WHERE label = 0 AND score >= threshold) AS fp, count(*) FILTER (WHERE label = 1 AND score < threshold) AS fn
   FROM scored, tg GROUP BY ALL),
-cv AS (SELECT *, round(CASE WHEN 2 * tp + fp + fn > 0 THEN 2.0::DOUBLE * tp / (2 * tp + fp + fn) ELSE 0 END, 6) AS f1 FROM cnt),
+cv AS (SELECT *, round(CASE WHEN 2 * tp + fp + fn > 0 THEN 2.0::DOUBLE * tp / (2 * tp + fp + fn) ELSE 0 END + 1e-9, 6) AS f1 FROM cnt),
 bt AS (SELECT condition, round(threshold, 6) AS threshold, f1 AS best_f1 FROM cv QUALIFY row_number() OVER (PARTITION BY condition ORDER BY f1 DESC, grid) = 1)"""
 
 
@@ -195,8 +196,8 @@ def best_threshold(spark, sf):
 
 
 @query("tuning_gain", f"""WITH {CONFUSION_SQL}, {CURVE_SQL}
-SELECT round(avg(f1), 6) AS mean_f1_default, round(avg(best_f1), 6) AS mean_f1_tuned,
-       round(CASE WHEN avg(f1) > 0 THEN (avg(best_f1) - avg(f1)) / avg(f1) * 100 ELSE 0 END, 2) AS gain_pct FROM prf JOIN bt USING (condition)""")
+SELECT round(avg(f1) + 1e-9, 6) AS mean_f1_default, round(avg(best_f1) + 1e-9, 6) AS mean_f1_tuned,
+       round(CASE WHEN avg(f1) > 0 THEN (avg(best_f1) - avg(f1)) / avg(f1) * 100 ELSE 0 END + 1e-9, 2) AS gain_pct FROM prf JOIN bt USING (condition)""")
 def tuning_gain(spark, sf):
     scored = label_scores(spark, sf)
     f1s = cl.precision_recall_f1(cl.confusion(scored))
@@ -232,15 +233,15 @@ def placeholder_predictions(spark, sf):
 
 
 HISTORY_SQL = """history AS (
-  SELECT event_type AS model, extract(day FROM ts)::INTEGER AS epoch, round(avg(value), 6) AS val_loss,
-         round(avg(CASE WHEN value > 10 THEN 1.0::DOUBLE ELSE 0 END), 6) AS val_acc FROM events GROUP BY ALL)"""
+  SELECT event_type AS model, extract(day FROM ts)::INTEGER AS epoch, round(avg(value) + 1e-9, 6) AS val_loss,
+         round(avg(CASE WHEN value > 10 THEN 1.0::DOUBLE ELSE 0 END) + 1e-9, 6) AS val_acc FROM events GROUP BY ALL)"""
 
 
 def _history(spark, sf) -> DataFrame:
     """Days as epochs of one training run per event type."""
     return table(spark, sf, "events").groupBy(F.col("event_type").alias("model"), F.dayofmonth("ts").alias("epoch")).agg(
-        F.round(F.avg("value"), 6).alias("val_loss"),
-        F.round(F.avg((F.col("value") > 10).cast("double")), 6).alias("val_acc"),
+        settled(F.avg("value"), 6).alias("val_loss"),
+        settled(F.avg((F.col("value") > 10).cast("double")), 6).alias("val_acc"),
     )
 
 
@@ -252,12 +253,12 @@ def best_epoch(spark, sf):
     return cl.best_epoch(_history(spark, sf), ["model"])
 
 
-@query("model_compare", f"""WITH {HISTORY_SQL}, r AS (SELECT model, round(avg(val_loss), 6) AS mean_loss, max(val_acc) AS best_acc FROM history GROUP BY model),
+@query("model_compare", f"""WITH {HISTORY_SQL}, r AS (SELECT model, round(avg(val_loss) + 1e-9, 6) AS mean_loss, max(val_acc) AS best_acc FROM history GROUP BY model),
 long AS (SELECT model, 'mean_loss' AS metric, mean_loss AS value FROM r UNION ALL SELECT model, 'best_acc', best_acc FROM r),
-pct AS (SELECT model, metric, round(CASE WHEN value <= 1 THEN value * 100 ELSE value END, 4) AS value_pct FROM long)
+pct AS (SELECT model, metric, round(CASE WHEN value <= 1 THEN value * 100 ELSE value END + 1e-9, 4) AS value_pct FROM long)
 SELECT *, row_number() OVER (PARTITION BY metric ORDER BY value_pct DESC, model) = 1 AS winner FROM pct""")
 def model_compare(spark, sf):
     results = _history(spark, sf).groupBy("model").agg(
-        F.round(F.avg("val_loss"), 6).alias("mean_loss"), F.max("val_acc").alias("best_acc")
+        settled(F.avg("val_loss"), 6).alias("mean_loss"), F.max("val_acc").alias("best_acc")
     )
     return cl.compare_models(results, "model", ["mean_loss", "best_acc"])

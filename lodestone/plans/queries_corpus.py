@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lodestone.constants import SWEEP_SIZES
 from lodestone.functions.text import preview
+from lodestone.functions.unions import union_all
 from lodestone.operators import chunking, cleaning, dedup, monitoring, records
 from lodestone.plans import corpus as job
 from lodestone.plans.catalog import query
@@ -36,7 +37,7 @@ def corpus_stage_counts(spark, sf):
     chunks = chunking.chunk(docs.filter(cleaning.is_valid()), "fixed_512")
     per_hash = chunks.groupBy("content_hash").agg(F.count("*").alias("c"))
     per_chunk = per_hash.agg(F.sum("c").alias("chunked"), F.count("*").alias("unique"))
-    return per_doc.unionByName(per_chunk.unpivot([], ["chunked", "unique"], "stage", "n"))
+    return union_all(per_doc, per_chunk.unpivot([], ["chunked", "unique"], "stage", "n"))
 
 
 @query("chunk_window", f"WITH {CLEAN}, {window_chunks(512, 64)} SELECT {CHUNK_COLUMNS} FROM chunks WHERE chunk_text <> ''")
@@ -80,7 +81,7 @@ def chunk_size_sweep(spark, sf):
 
 
 @query("chunk_stats", f"""WITH {CLEAN}, {word_chunks(512)}
-SELECT lang, count(*) AS chunks, min(length(chunk_text)) AS min_chars, round(avg(length(chunk_text)), 4) AS avg_chars,
+SELECT lang, count(*) AS chunks, min(length(chunk_text)) AS min_chars, round(avg(length(chunk_text)) + 1e-9, 4) AS avg_chars,
        max(length(chunk_text)) AS max_chars FROM chunks GROUP BY lang""")
 def chunk_stats(spark, sf):
     chunks = chunking.chunk(cleaning.clean(corpus(spark, sf)), "fixed_512", keep=("lang",))

@@ -25,9 +25,9 @@ judged AS (
          string_agg(chunk_text, ' ' ORDER BY rank) AS joined
   FROM {hits} h JOIN cases USING (query_id) GROUP BY h.query_id),
 {name} AS (
-  SELECT query_id, difficulty, round(coalesce(relevant / 5.0::DOUBLE, 0), 4) AS precision_at_k,
+  SELECT query_id, difficulty, round(coalesce(relevant / 5.0::DOUBLE, 0) + 1e-9, 4) AS precision_at_k,
          round(CASE WHEN len(expected_keywords) > 0 THEN len(list_filter(expected_keywords, lambda w: contains(lower(coalesce(joined, '')), w)))::DOUBLE
-               / len(expected_keywords) ELSE 0 END, 4) AS keyword_coverage
+               / len(expected_keywords) ELSE 0 END + 1e-9, 4) AS keyword_coverage
   FROM cases LEFT JOIN judged USING (query_id))"""
 
 
@@ -62,7 +62,7 @@ def _grid_sql() -> str:
 
 GRID = _grid_sql()
 MEANS = f"""{GRID}, means AS (
-  SELECT model, strategy, round(avg(precision_at_k), 4) AS mean_precision_at_k, round(avg(keyword_coverage), 4) AS mean_keyword_coverage,
+  SELECT model, strategy, round(avg(precision_at_k) + 1e-9, 4) AS mean_precision_at_k, round(avg(keyword_coverage) + 1e-9, 4) AS mean_keyword_coverage,
          count(*) AS num_cases FROM grid GROUP BY model, strategy),
 ranked AS (SELECT *, row_number() OVER (ORDER BY mean_precision_at_k DESC, model, strategy) AS rank FROM means)"""
 
@@ -87,7 +87,7 @@ def config_ranking(spark, sf):
     return _ranked(spark, sf)[1]
 
 
-@query("config_winner", f"""{MEANS}, w AS (SELECT *, round(mean_precision_at_k - lead(mean_precision_at_k) OVER (ORDER BY rank), 4) AS lead FROM ranked),
+@query("config_winner", f"""{MEANS}, w AS (SELECT *, round(mean_precision_at_k - lead(mean_precision_at_k) OVER (ORDER BY rank) + 1e-9, 4) AS lead FROM ranked),
 d AS (SELECT count(DISTINCT model) AS models, count(DISTINCT strategy) AS strategies FROM means)
 SELECT w.*, models, strategies FROM w, d WHERE rank = 1""")
 def config_winner(spark, sf):
@@ -99,15 +99,15 @@ def config_winner(spark, sf):
     )
 
 
-@query("config_by_difficulty", f"{GRID} SELECT model, strategy, difficulty, count(*) AS n, round(avg(precision_at_k), 4) AS mean_precision_at_k FROM grid GROUP BY ALL")
+@query("config_by_difficulty", f"{GRID} SELECT model, strategy, difficulty, count(*) AS n, round(avg(precision_at_k) + 1e-9, 4) AS mean_precision_at_k FROM grid GROUP BY ALL")
 def config_by_difficulty(spark, sf):
     return ev.by_difficulty(_grid(spark, sf), benchmark_cases(spark, sf), "precision_at_k", BY)
 
 
 @query("config_gain", f"""{MEANS}, named AS (SELECT *, model || '/' || strategy AS label FROM means), base AS (SELECT * FROM named WHERE label = 'hash32/fixed_256')
 SELECT n.label, n.mean_precision_at_k, n.mean_keyword_coverage,
-  round(CASE WHEN b.mean_precision_at_k > 0 THEN (n.mean_precision_at_k - b.mean_precision_at_k) / b.mean_precision_at_k * 100 ELSE 0 END, 1) AS mean_precision_at_k_gain_pct,
-  round(CASE WHEN b.mean_keyword_coverage > 0 THEN (n.mean_keyword_coverage - b.mean_keyword_coverage) / b.mean_keyword_coverage * 100 ELSE 0 END, 1) AS mean_keyword_coverage_gain_pct
+  round(CASE WHEN b.mean_precision_at_k > 0 THEN (n.mean_precision_at_k - b.mean_precision_at_k) / b.mean_precision_at_k * 100 ELSE 0 END + 1e-9, 1) AS mean_precision_at_k_gain_pct,
+  round(CASE WHEN b.mean_keyword_coverage > 0 THEN (n.mean_keyword_coverage - b.mean_keyword_coverage) / b.mean_keyword_coverage * 100 ELSE 0 END + 1e-9, 1) AS mean_keyword_coverage_gain_pct
 FROM named n, base b""")
 def config_gain(spark, sf):
     means = _ranked(spark, sf)[1].select(F.concat_ws("/", *BY).alias("label"), "mean_precision_at_k", "mean_keyword_coverage")
@@ -139,8 +139,8 @@ def _score_sql(sims: str, by: str) -> str:
     """(by, query_id, metrics) from sims(by, query_id, hit, pos, sim)."""
     return f"""
 best AS (SELECT {by}, hit, max(sim) AS m FROM {sims} GROUP BY ALL),
-sp AS (SELECT {by}, round(avg(m), 4) AS semantic_precision, round(max(m), 4) AS best_similarity, count(*) AS kept FROM best GROUP BY ALL),
-tc AS (SELECT {by}, round(avg(CASE WHEN m > 0.45::DOUBLE THEN 1.0::DOUBLE ELSE 0 END), 4) AS topic_coverage
+sp AS (SELECT {by}, round(avg(m) + 1e-9, 4) AS semantic_precision, round(max(m) + 1e-9, 4) AS best_similarity, count(*) AS kept FROM best GROUP BY ALL),
+tc AS (SELECT {by}, round(avg(CASE WHEN m > 0.45::DOUBLE THEN 1.0::DOUBLE ELSE 0 END) + 1e-9, 4) AS topic_coverage
        FROM (SELECT {by}, pos, max(sim) AS m FROM {sims} GROUP BY ALL) GROUP BY ALL)"""
 
 
@@ -157,7 +157,7 @@ def semantic_scores(spark, sf):
 @query("k_sweep", f"""{_semantic_sql(max(K_SWEEP))}, ks AS (SELECT unnest({K_SWEEP}) AS k),
 sims AS (SELECT k, query_id, vec_id AS hit, pos, round(list_cosine_similarity(v, tv), 6) AS sim FROM h JOIN ks ON rank <= k JOIN t USING (query_id)),
 {_score_sql('sims', 'k, query_id')}
-SELECT k, round(avg(semantic_precision), 4) AS mean_semantic_precision, round(avg(topic_coverage), 4) AS mean_topic_coverage, count(*) AS num_cases
+SELECT k, round(avg(semantic_precision) + 1e-9, 4) AS mean_semantic_precision, round(avg(topic_coverage) + 1e-9, 4) AS mean_topic_coverage, count(*) AS num_cases
 FROM sp JOIN tc USING (k, query_id) GROUP BY k""")
 def k_sweep(spark, sf):
     items, queries, topics = _vector_cases(spark, sf)
@@ -225,8 +225,8 @@ sims AS (
 per_case AS (
   SELECT label, q.query_id, coalesce(semantic_precision, 0) AS semantic_precision, coalesce(topic_coverage, 0) AS topic_coverage, coalesce(kept, 0) AS kept
   FROM settings CROSS JOIN q LEFT JOIN sp USING (label, query_id) LEFT JOIN tc USING (label, query_id)),
-means AS (SELECT label, round(avg(semantic_precision), 4) AS mean_semantic_precision, round(avg(topic_coverage), 4) AS mean_topic_coverage,
-  round(avg(kept), 4) AS mean_kept, count(*) AS num_cases FROM per_case GROUP BY label)"""
+means AS (SELECT label, round(avg(semantic_precision) + 1e-9, 4) AS mean_semantic_precision, round(avg(topic_coverage) + 1e-9, 4) AS mean_topic_coverage,
+  round(avg(kept) + 1e-9, 4) AS mean_kept, count(*) AS num_cases FROM per_case GROUP BY label)"""
 
 
 def _sweep_means(spark, sf) -> DataFrame:
@@ -244,7 +244,7 @@ def config_sweep(spark, sf):
 
 
 @query("config_best", f"""{SWEEP_MEANS}
-SELECT means.*, pos, round(0.5::DOUBLE * mean_semantic_precision + 0.5::DOUBLE * mean_topic_coverage, 6) AS combined
+SELECT means.*, pos, round(0.5::DOUBLE * mean_semantic_precision + 0.5::DOUBLE * mean_topic_coverage + 1e-9, 6) AS combined
 FROM means JOIN settings USING (label) ORDER BY combined DESC, pos LIMIT 1""")
 def config_best(spark, sf):
     places = F.array(*[F.lit(s["label"]) for s in SETTINGS])

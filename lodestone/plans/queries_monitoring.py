@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lodestone.functions.numbers import settled
 from lodestone.operators import monitoring
 from lodestone.plans.catalog import query
 from lodestone.plans.tables import request_log, stream_table, table
@@ -12,8 +13,8 @@ from lodestone.streaming.usage import start_usage
 
 
 @query("usage_daily", """
-SELECT ts::DATE::VARCHAR AS day, count(*) AS total_queries, round(avg(value), 6) AS avg_latency_ms,
-       round(avg(CASE WHEN event_type <> 'error' THEN 1.0::DOUBLE ELSE 0 END), 6) AS success_rate
+SELECT ts::DATE::VARCHAR AS day, count(*) AS total_queries, round(avg(value) + 1e-9, 6) AS avg_latency_ms,
+       round(avg(CASE WHEN event_type <> 'error' THEN 1.0::DOUBLE ELSE 0 END) + 1e-9, 6) AS success_rate
 FROM events WHERE ts > (SELECT max(ts) FROM events) - INTERVAL 7 DAY GROUP BY 1 ORDER BY 1 DESC""")
 def usage_daily(spark, sf):
     logs = request_log(spark, sf)
@@ -31,7 +32,7 @@ def prediction_frequency(spark, sf):
 
 @query("model_active", """
 WITH new AS (
-  SELECT event_type AS model_type, 'w' || strftime(date_trunc('week', ts), '%Y%m%d') AS version, round(avg(value), 6) AS accuracy, max(ts) AS created_at
+  SELECT event_type AS model_type, 'w' || strftime(date_trunc('week', ts), '%Y%m%d') AS version, round(avg(value) + 1e-9, 6) AS accuracy, max(ts) AS created_at
   FROM events GROUP BY event_type, version)
 SELECT model_type, version, accuracy, strftime(created_at, '%Y-%m-%d %H:%M:%S.%f') AS created_at FROM new n
 QUALIFY row_number() OVER (PARTITION BY model_type ORDER BY n.created_at DESC, version DESC) = 1""")
@@ -42,7 +43,7 @@ def model_active(spark, sf):
     def versions(mark: str, unit: str):
         start = F.date_format(F.date_trunc(unit, F.col("ts").cast("timestamp")), "yyyyMMdd")
         return events.groupBy(F.col("event_type").alias("model_type"), F.concat(F.lit(mark), start).alias("version")).agg(
-            F.round(F.avg("value"), 6).alias("accuracy"), F.max("ts").alias("created_at")
+            settled(F.avg("value"), 6).alias("accuracy"), F.max("ts").alias("created_at")
         )
 
     daily = versions("d", "day")
@@ -52,8 +53,8 @@ def model_active(spark, sf):
 
 
 @query("usage_windows_stream", """
-SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, count(*) AS total_queries, round(avg(value), 6) AS avg_latency_ms,
-       round(avg(CASE WHEN event_type <> 'error' THEN 1.0::DOUBLE ELSE 0 END), 6) AS success_rate
+SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, count(*) AS total_queries, round(avg(value) + 1e-9, 6) AS avg_latency_ms,
+       round(avg(CASE WHEN event_type <> 'error' THEN 1.0::DOUBLE ELSE 0 END) + 1e-9, 6) AS success_rate
 FROM events GROUP BY date_trunc('day', ts)
 HAVING date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""")
 def usage_windows_stream(spark, sf):
@@ -66,6 +67,6 @@ def usage_windows_stream(spark, sf):
     return closed.select(
         F.date_format("window_start", "yyyy-MM-dd").alias("day"),
         "total_queries",
-        F.round("avg_latency_ms", 6).alias("avg_latency_ms"),
-        F.round("success_rate", 6).alias("success_rate"),
+        settled("avg_latency_ms", 6).alias("avg_latency_ms"),
+        settled("success_rate", 6).alias("success_rate"),
     )

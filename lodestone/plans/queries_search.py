@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lodestone.constants import EXACT_FUSION, HYBRID_PRESET
 from lodestone.functions.text import relevance_grade
+from lodestone.functions.unions import union_all
 from lodestone.operators import cleaning, encoding, lexical, prompts, vector_search
 from lodestone.operators.chunking import chunk
 from lodestone.operators.classifier import apply_thresholds
@@ -53,8 +54,8 @@ def hash_embed(spark, sf):
 
 
 @query("embed_summary", f"""WITH {CLEAN}, {word_chunks(512)}, {word_chunks(256, 'small')}
-SELECT 'hash64' AS model, 'fixed_512' AS strategy, count(*) AS num_chunks, round(avg(length(chunk_text)), 1) AS avg_chunk_chars, 64 AS dimension FROM chunks
-UNION ALL SELECT 'hash32', 'fixed_256', count(*), round(avg(length(chunk_text)), 1), 32 FROM small""")
+SELECT 'hash64' AS model, 'fixed_512' AS strategy, count(*) AS num_chunks, round(avg(length(chunk_text)) + 1e-9, 1) AS avg_chunk_chars, 64 AS dimension FROM chunks
+UNION ALL SELECT 'hash32', 'fixed_256', count(*), round(avg(length(chunk_text)) + 1e-9, 1), 32 FROM small""")
 def embed_summary(spark, sf):
     docs = cleaning.clean(corpus(spark, sf))
 
@@ -62,7 +63,7 @@ def embed_summary(spark, sf):
         vectors = encoding.embed(chunk(docs, strategy).select("chunk_text"), model)
         return vectors.select(F.lit(model).alias("model"), F.lit(strategy).alias("strategy"), "*")
 
-    both = one("hash64", "fixed_512").unionByName(one("hash32", "fixed_256"))
+    both = union_all(one("hash64", "fixed_512"), one("hash32", "fixed_256"))
     return encoding.embedding_summary(both, ["model", "strategy"])
 
 
@@ -211,7 +212,7 @@ def request_validation(spark, sf):
 
 RETRIEVE = f"""{CLEAN}, {word_chunks(512)}, {REQUESTS}, {embedding('cv', 'chunks', 'doc_id, chunk_index', 'chunk_text')},
 {embedding('qv', 'freq', 'query_id', 'focused_query')}, {vector_hits('v', 7)},
-hits AS MATERIALIZED (SELECT query_id, doc_id, chunk_index, chunk_text, round(similarity, 4) AS similarity, rank FROM v JOIN chunks USING (doc_id, chunk_index))"""
+hits AS MATERIALIZED (SELECT query_id, doc_id, chunk_index, chunk_text, round(similarity + 1e-9, 4) AS similarity, rank FROM v JOIN chunks USING (doc_id, chunk_index))"""
 
 
 @query("batch_retrieve", f"WITH {RETRIEVE} SELECT query_id, doc_id, chunk_index, chunk_text, similarity, rank FROM hits")
@@ -220,7 +221,7 @@ def batch_retrieve(spark, sf):
 
 
 # Three decimals with halves away from zero, as the Java formatter prints a four-digit number.
-RELEVANCE = "printf('%.3f', similarity + 0.000001::DOUBLE)"
+RELEVANCE = "printf('%.3f', round(similarity + 1e-9, 3))"
 BLOCK = f"""blocks AS (SELECT query_id, count(*) AS n, string_agg('[Source ' || rank || '] (PMID: ' || doc_id || ', relevance: ' ||
   {RELEVANCE} || ')' || chr(10) || chunk_text, chr(10) || chr(10) ORDER BY rank) AS context FROM hits GROUP BY query_id)"""
 
@@ -229,7 +230,7 @@ def _prompt_sql(finding: str, confidence: str) -> str:
     gap = "chr(10) || chr(10)"
     return (
         f"{quoted(prompts.CLINICAL_PROMPT_HEAD)} || {gap} || '**AI Classification Result:**' || chr(10) || '- Prediction: ' || {finding} "
-        f"|| chr(10) || '- Confidence: ' || printf('%.1f%%', ({confidence}) * 100 + 0.000001::DOUBLE) || {gap} || '**Clinical Query:**' || chr(10) || query || {gap} "
+        f"|| chr(10) || '- Confidence: ' || printf('%.1f%%', round(({confidence}) * 100 + 1e-9, 1)) || {gap} || '**Clinical Query:**' || chr(10) || query || {gap} "
         f"|| '**Retrieved Medical Literature (' || n || ' sources):**' || chr(10) || context || {gap} || {quoted(prompts.CLINICAL_PROMPT_TAIL)}"
     )
 
@@ -251,16 +252,16 @@ per AS (
   SELECT item_id, count(*) FILTER (WHERE detected) AS n, max(probability) AS confidence, min(condition) FILTER (WHERE pos = 1) AS top,
          string_agg(condition, ', ' ORDER BY pos) FILTER (WHERE detected) AS names,
          string_agg(words, ' ' ORDER BY pos) FILTER (WHERE detected AND dpos <= 3) AS ctx,
-         string_agg(condition || ' (' || printf('%.0f%%', probability * 100 + 0.000001::DOUBLE) || ')', ', ' ORDER BY pos) FILTER (WHERE detected AND dpos <= 5) AS described,
+         string_agg(condition || ' (' || printf('%.0f%%', round(probability * 100 + 1e-9, 0)) || ')', ', ' ORDER BY pos) FILTER (WHERE detected AND dpos <= 5) AS described,
          min(words) FILTER (WHERE pos = 1) AS top_words
   FROM (SELECT *, count(*) FILTER (WHERE detected) OVER (PARTITION BY item_id ORDER BY pos) AS dpos FROM ranked) JOIN context USING (condition)
   GROUP BY item_id),
 made AS MATERIALIZED (
   SELECT item_id, confidence, coalesce(names, '') AS detected_conditions,
     CASE WHEN n > 0 THEN 'Chest X-ray findings suggest: ' || names || '. Provide clinical guidance.'
-         ELSE 'Chest X-ray analysis. Top finding: ' || top || ' (' || printf('%.0f%%', confidence * 100 + 0.000001::DOUBLE) || ' confidence).' END AS query,
+         ELSE 'Chest X-ray analysis. Top finding: ' || top || ' (' || printf('%.0f%%', round(confidence * 100 + 1e-9, 0)) || ' confidence).' END AS query,
     CASE WHEN n > 0 THEN ctx ELSE top_words END AS terms,
-    CASE WHEN n > 0 THEN described ELSE top || ' (' || printf('%.0f%%', confidence * 100 + 0.000001::DOUBLE) || ')' END AS finding
+    CASE WHEN n > 0 THEN described ELSE top || ' (' || printf('%.0f%%', round(confidence * 100 + 1e-9, 0)) || ')' END AS finding
   FROM per),
 asked AS MATERIALIZED (SELECT *, query || ' ' || terms AS focused_query FROM made)"""
 
@@ -277,7 +278,7 @@ def synthesised_queries(spark, sf):
 
 @query("batch_analyse", f"""WITH {CLEAN}, {word_chunks(512)}, {SYNTH}, {embedding('cv', 'chunks', 'doc_id, chunk_index', 'chunk_text')},
 aq AS (SELECT item_id AS query_id, focused_query FROM asked), {embedding('qv', 'aq', 'query_id', 'focused_query')}, {vector_hits('v', 7)},
-hits AS (SELECT query_id, doc_id, chunk_index, chunk_text, round(similarity, 4) AS similarity, rank FROM v JOIN chunks USING (doc_id, chunk_index)), {BLOCK}
+hits AS (SELECT query_id, doc_id, chunk_index, chunk_text, round(similarity + 1e-9, 4) AS similarity, rank FROM v JOIN chunks USING (doc_id, chunk_index)), {BLOCK}
 SELECT query_id, {_prompt_sql('finding', 'confidence')} AS prompt FROM blocks JOIN asked ON item_id = query_id""")
 def batch_analyse(spark, sf):
     made = search.batch_analyse(_predictions(spark, sf), "item_id", text_index(spark, sf), ENCODER)

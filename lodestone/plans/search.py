@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.constants import EXACT_FUSION, HYBRID_PRESET, SERVED_PRESET
+from lodestone.functions.numbers import settled
 from lodestone.operators.encoding import embed
 from lodestone.operators.fusion import fuse, rerank, weighted_hybrid
 from lodestone.operators.lexical import bm25_topk
@@ -27,7 +28,7 @@ def with_texts(hits: DataFrame, index: DataFrame) -> DataFrame:
 def retrieve(requests: DataFrame, index: DataFrame, encoder: str, k: int = SERVED_PRESET["k"], text: str = "query") -> DataFrame:
     """Vector top-k with chunk texts; similarity rounded to 4 digits."""
     hits = vector_topk(index, encode_queries(requests, encoder, text), IDS, k)
-    return with_texts(hits, index).withColumn("similarity", F.round("similarity", 4))
+    return with_texts(hits, index).withColumn("similarity", settled("similarity", 4))
 
 
 def hybrid_lists(requests: DataFrame, index: DataFrame, encoder: str, depth: int) -> tuple[DataFrame, DataFrame, DataFrame]:

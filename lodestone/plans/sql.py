@@ -130,5 +130,5 @@ cond AS (
   FROM (SELECT unnest(range(0, {len(CONDITIONS)})) AS i)),
 raw AS (SELECT doc_id AS item_id, condition, t, {share("doc_id || ':' || condition", 11)} AS u FROM labels, cond),
 pred AS MATERIALIZED (
-  SELECT item_id, condition, round(round(u * u * u, 6), 4) AS probability, round(t, 3) AS threshold,
+  SELECT item_id, condition, round(round(u * u * u, 6) + 1e-9, 4) AS probability, round(t, 3) AS threshold,
          round(u * u * u, 6) >= t AS detected FROM raw)"""

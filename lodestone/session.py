@@ -12,6 +12,7 @@ from pyspark.sql import SparkSession
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
+    "spark.sql.unionOutputPartitioning": "false",  # see functions/unions.py
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "4096",
