@@ -9,13 +9,16 @@ from lodestone.constants import NOISE_BELOW, TOPIC_COVERED_ABOVE
 from lodestone.functions.numbers import settled
 
 
+WHITESPACE = " \t\n\x0b\f\r"
+
+
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
 def strip_ws(c: Column | str) -> Column:
     """Strip all leading and trailing ASCII whitespace (Spark's trim takes spaces only)."""
-    return F.regexp_replace(_col(c), r"^\s+|\s+\z", "")
+    return F.btrim(_col(c), F.lit(WHITESPACE))
 
 
 def combined_text(title: Column | str, abstract: Column | str, full_text: Column | str | None = None) -> Column:

@@ -8,11 +8,11 @@ stream through it.
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,9 +25,6 @@ from lodestone.functions.vectors import sigmoid
 Encoder = Callable[[list[str]], np.ndarray]
 EncoderFactory = Callable[[], Encoder]
 
-_SPACES = re.compile(r"[ \t\n\x0b\f\r]+")
-
-
 def _bucket_and_sign(token: str, dim: int) -> tuple[int, float]:
     digest = hashlib.md5(token.encode()).hexdigest()
     return int(digest[:8], 16) % dim, 1.0 if int(digest[8], 16) % 2 == 0 else -1.0
@@ -39,18 +36,24 @@ def hashing_encoder(dim: int = 64) -> EncoderFactory:
     def factory() -> Encoder:
         known: dict[str, tuple[int, float]] = {}
 
-        def encode(texts: list[str]) -> np.ndarray:
+        def hashed(token: str) -> tuple[int, float]:
             if len(known) > 1_000_000:
                 known.clear()
-            out = np.zeros((len(texts), dim))
-            for row, text in enumerate(texts):
-                for token in _SPACES.split((text or "").lower()):
-                    if not token:
-                        continue
-                    hit = known.get(token)
-                    if hit is None:
-                        hit = known[token] = _bucket_and_sign(token, dim)
-                    out[row, hit[0]] += hit[1]
+            if token not in known:
+                known[token] = _bucket_and_sign(token, dim)
+            return known[token]
+
+        def encode(texts: list[str]) -> np.ndarray:
+            words = pc.ascii_split_whitespace(pc.utf8_lower(pa.array(texts, type=pa.string())))
+            row = np.repeat(np.arange(len(texts)), np.asarray(pc.fill_null(pc.list_value_length(words), 0)))
+            coded = words.flatten().dictionary_encode()
+            entries = [hashed(t) if t else (0, 0.0) for t in coded.dictionary.to_pylist()]
+            buckets = np.array([e[0] for e in entries], dtype="int64")
+            signs = np.array([e[1] for e in entries])
+            code = np.asarray(coded.indices)
+            cells = row * dim + (buckets[code] if len(code) else code)
+            out = np.bincount(cells, weights=signs[code] if len(code) else None, minlength=len(texts) * dim)
+            out = out.astype("float64").reshape(len(texts), dim)
             length = np.linalg.norm(out, axis=1, keepdims=True)
             return np.divide(out, length, out=out, where=length > 0)
 

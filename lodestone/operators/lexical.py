@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from lodestone.functions.text import tokens
 from lodestone.operators import topk
+from lodestone.session import materialise
 
 K1 = 1.5
 B = 0.75
@@ -47,11 +48,15 @@ def term_statistics(chunks: DataFrame, vocabulary: DataFrame | None = None, toks
 
 
 def weighted_queries(chunks: DataFrame, queries: DataFrame, text: str = "query", toks: str = "tokens") -> DataFrame:
-    """(query_id, terms, weights, mean_len): qtf * idf for each query term that occurs."""
+    """(query_id, terms, weights, mean_len): qtf * idf for each query term that occurs.
+
+    Runs the statistics pass.
+    """
     terms = query_terms(queries, text)
     vocabulary = terms.select("term").distinct()
     bounded = vocabulary.limit(MAX_VOCABULARY + 1).count() <= MAX_VOCABULARY
-    stats = term_statistics(chunks, vocabulary if bounded else None, toks)
+    # One pass over the chunks; the small result is read three times below.
+    stats = materialise(term_statistics(chunks, vocabulary if bounded else None, toks), "terms")
     totals = stats.filter(F.col("term").isNull())
     n = F.lit(totals.select("df").scalar()).cast("double")
     mean_len = totals.select(F.col("total_len") / F.col("df")).scalar()

@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.functions.unions import union_all
+from lodestone.operators.chunking import chunk
+from lodestone.operators.cleaning import clean
 from lodestone.operators.encoding import ENCODERS, embed, resolve
 from lodestone.operators.retrieval_eval import keyword_scores, per_config, semantic_scores
 from lodestone.operators.vector_search import vector_topk
-from lodestone.plans.corpus import build_index
 from lodestone.plans.search import IDS, encode_queries
+from lodestone.session import materialise
 
 BY = ["model", "strategy"]
 
@@ -24,12 +26,16 @@ def grid_hits(spark: SparkSession, docs: DataFrame, cases: DataFrame, models: Se
     The configurations are a short fixed list; each one adds a branch to one plan.
     """
     branches = []
-    for model in models:
-        resolve(ENCODERS, model)
-        for strategy in strategies:
-            index = build_index(spark, docs, strategy, model, precise=precise)
-            hits = vector_topk(index, encode_queries(cases, model), IDS, k)
-            kept = hits.join(index.select(*IDS, "chunk_text", "embedding"), IDS)
+    for strategy in strategies:
+        vectors = chunk(clean(docs), strategy).select(*IDS, "chunk_text")
+        for model in models:
+            resolve(ENCODERS, model)
+            vectors = embed(vectors, model, out=f"embedding_{model}", precise=precise)
+        index = materialise(vectors, "grid")  # chunked once, encoded by every model
+        for model in models:
+            items = index.select(*IDS, "chunk_text", F.col(f"embedding_{model}").alias("embedding"))
+            hits = vector_topk(items, encode_queries(cases, model), IDS, k)
+            kept = hits.join(items, IDS)
             branches.append(kept.select(F.lit(model).alias("model"), F.lit(strategy).alias("strategy"), "*"))
     return union_all(*branches)
 

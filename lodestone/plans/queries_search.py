@@ -38,6 +38,7 @@ from lodestone.plans.tables import (
     table,
     user_requests,
 )
+from lodestone.sources.readers import spread
 
 ENCODER = "hash64"
 
@@ -49,7 +50,7 @@ def text_index(spark, sf) -> DataFrame:
 
 @query("hash_embed", f"WITH {embedding('e', 'documents', 'doc_id', 'text')} SELECT doc_id, bucket AS position, round(v, 6) AS value FROM e")
 def hash_embed(spark, sf):
-    vectors = encoding.embed(table(spark, sf, "documents").select("doc_id", "text"), ENCODER, "text", precise=True)
+    vectors = encoding.embed(spread(table(spark, sf, "documents").select("doc_id", "text")), ENCODER, "text", precise=True)
     return encoding.embedding_entries(vectors, ["doc_id"]).withColumn("value", F.round("value", 6))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lodestone.constants import CONDITIONS
 from lodestone.functions.text import tokens
 from lodestone.operators.ranking import hash_share
+from lodestone.sources.readers import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,7 +38,7 @@ def as_corpus(documents: DataFrame) -> DataFrame:
 
 
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return as_corpus(table(spark, sf_dir, "documents"))
+    return as_corpus(spread(table(spark, sf_dir, "documents")))
 
 
 def benchmark_queries(spark: SparkSession, sf_dir: str) -> DataFrame:

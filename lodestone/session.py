@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Cluster managers set memory, parallelism and spark.checkpoint.dir themselves;
 # these are only the settings the operators rely on.
@@ -43,6 +43,16 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+def materialise(df: DataFrame, label: str) -> DataFrame:
+    """The rows, written once to the shared folder and read back, for tables that are read several times.
+
+    Unlike cached blocks the files outlive lost executors.
+    """
+    path = fresh_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def fresh_dir(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that no earlier run has used."""
     return f"{checkpoint_root(spark)}/lodestone-{label}-{uuid.uuid4().hex}"

@@ -26,6 +26,16 @@ def first_existing(spark: SparkSession, candidates: Sequence[str]) -> str:
     raise FileNotFoundError(f"none of these exists: {', '.join(candidates)}")
 
 
+def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Deals the rows of a scan out to all cores when its files make too few splits.
+
+    A scan that already has a split per core is returned as it is, so a large
+    table is never shuffled for this.
+    """
+    wanted = partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted)
+
+
 def read_corpus(spark: SparkSession, path: str, lines: bool = False, schema: T.StructType = schemas.DOCUMENT) -> DataFrame:
     """Documents from JSON arrays, or from JSON lines, which split at scale.
 

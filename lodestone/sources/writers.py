@@ -87,6 +87,10 @@ def save_registry(spark: SparkSession, registry: DataFrame, new: DataFrame) -> s
 
 
 def save_index(embedded: DataFrame, path: str, model: str, strategy: str) -> str:
-    """Chunks and vectors in one table, partitioned by model and strategy."""
-    tagged = embedded.withColumns({"embedding_model": F.lit(model), "chunking_strategy": F.lit(strategy)})
-    return write_parquet(tagged, path, ["embedding_model", "chunking_strategy"])
+    """Chunks and vectors in one table, partitioned by model and strategy.
+
+    One call fills one partition, so its folder is named outright and no rows
+    are sorted for it; other partitions of the table stay as they are.
+    """
+    write_parquet(embedded, f"{path}/embedding_model={model}/chunking_strategy={strategy}")
+    return path
