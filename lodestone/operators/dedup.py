@@ -53,7 +53,8 @@ def unseen(batch: DataFrame, stored: DataFrame, key: Sequence[str] | str, order:
     """Rows of the batch to insert: the first per key whose key is not stored."""
     key = [key] if isinstance(key, str) else list(key)
     # The anti join goes first: it needs no more than the keys of the target.
-    return keep_first(batch.join(stored.select(*key), key, "left_anti"), key, order)
+    new = batch.join(stored.select(*key), key, "left_anti").select(*batch.columns)
+    return keep_first(new, key, order)
 
 
 def insert_counts(batch: DataFrame, stored: DataFrame, key: Sequence[str] | str) -> DataFrame:

@@ -130,15 +130,11 @@ def read_images(spark: SparkSession, image_dir: str) -> DataFrame:
     The order is the top folder, then images_NNN/images/, then images_NNN/, for NNN 001 to 012.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(image_dir)
-    inner = F.regexp_extract("path", r"/images_(\d{3})/images/[^/]+$", 1)
-    outer = F.regexp_extract("path", r"/images_(\d{3})/[^/]+$", 1)
-
-    def numbered(folder):
-        return (folder != "") & folder.cast("int").between(1, 12)
-
+    inner = F.regexp_extract("path", r"/images_(\d{3})/images/[^/]+$", 1).try_cast("int")
+    outer = F.regexp_extract("path", r"/images_(\d{3})/[^/]+$", 1).try_cast("int")
     place = (
-        F.when(numbered(inner), inner.cast("int"))
-        .when(numbered(outer), outer.cast("int") + 12)
+        F.when(inner.between(1, 12), inner)
+        .when(outer.between(1, 12), outer + 12)
         .when(~F.col("path").rlike(r"/images_\d{3}/"), F.lit(0))
     )
     named = files.select(F.element_at(F.split("path", "/"), -1).alias("image"), place.alias("place"), "path", "content")
