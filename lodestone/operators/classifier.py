@@ -24,7 +24,8 @@ from lodestone.constants import (
 )
 from lodestone.functions.numbers import settled
 from lodestone.functions.unions import union_all
-from lodestone.operators.ranking import hash_rank, hash_share, running_totals
+from lodestone.operators.ranking import hash_cuts, hash_share, running_totals, seeded_hash
+from lodestone.session import materialise
 
 DIGITS = 6
 
@@ -70,18 +71,15 @@ def downsample_majority(df: DataFrame, item_id: str, findings: str = "findings",
     """All rows with a finding and as many of the rest, chosen by seeded hash."""
     positive, negative = split_findings(df, findings)
     wanted = positive.agg(F.count("*").alias("n")).scalar()
-    kept = hash_rank(negative, item_id, seed).filter(F.col("hash_rank") <= wanted).drop("hash_rank")
-    return union_all(positive, kept)
-
-
-def _named_split(position: Column, train: Column, val: Column) -> Column:
-    return F.when(position < train, "train").when(position < val, "val").otherwise("test")
+    cut = hash_cuts(negative, item_id, seed, last=wanted)["last"]
+    return union_all(positive, negative.filter(seeded_hash(F.col(item_id), seed) <= cut))
 
 
 def split_by_hash(df: DataFrame, group: str, shares: tuple[float, float] = SPLIT_SHARES, seed: int = SPLIT_SEED) -> DataFrame:
     """Adds ``split``; rows of a group stay together.  No shuffle; shares hold on average."""
     place = hash_share(F.col(group), seed)
-    return df.withColumn("split", _named_split(place, F.lit(shares[0]), F.lit(shares[0] + shares[1])))
+    split = F.when(place < shares[0], "train").when(place < shares[0] + shares[1], "val").otherwise("test")
+    return df.withColumn("split", split)
 
 
 def split_exact(df: DataFrame, group: str, shares: tuple[float, float] = SPLIT_SHARES, seed: int = SPLIT_SEED) -> DataFrame:
@@ -90,9 +88,10 @@ def split_exact(df: DataFrame, group: str, shares: tuple[float, float] = SPLIT_S
     n = groups.agg(F.count("*").alias("n")).scalar()
     train = F.floor(n * F.lit(shares[0]))
     val = train + F.floor(n * F.lit(shares[1]))
-    # ranks start at 1
-    assigned = hash_rank(groups, group, seed).withColumn("split", _named_split(F.col("hash_rank") - 1, train, val))
-    return df.join(assigned.drop("hash_rank"), group)
+    cuts = hash_cuts(groups, group, seed, train=train, val=val)
+    digest = seeded_hash(F.col(group), seed)
+    split = F.when(digest <= cuts["train"], "train").when(digest <= cuts["val"], "val").otherwise("test")
+    return df.withColumn("split", split)
 
 
 def label_distribution(long_labels: DataFrame) -> DataFrame:
@@ -177,10 +176,12 @@ def roc_steps(scored: DataFrame, by: Sequence[str] = ("condition",)) -> DataFram
     """One row per distinct score: the step of the ROC curve it makes, from the highest score down.
 
     (pos, neg) at the score, and counts (tp0, fp0) -> (tp, fp) before and after it.
+    Runs one pass that counts per distinct score; the steps are worked out from those counts.
     """
     by = list(by)
     real = (F.col("label") == 1).cast("long")
     per_score = scored.groupBy(*by, "score").agg(F.sum(real).alias("pos"), F.sum(1 - real).alias("neg"))
+    per_score = materialise(per_score, "scores")
     totals = per_score.groupBy(*by).agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
     steps = running_totals(per_score, by, "score", ["pos", "neg"]).join(totals, by)
     return steps.withColumnsRenamed({"cum_pos": "tp", "cum_neg": "fp"}).withColumns(
@@ -231,14 +232,16 @@ def mean_roc(steps: DataFrame, points: int = 100, by: Sequence[str] = ("conditio
     last = points - 1
     usable = steps.filter("p > 0 AND n > 0")
     # grid points x with fp0/n <= x < fp/n, in whole numbers so that no point is lost or met twice
-    lo = F.expr(f"(fp0 * {last} + n - 1) div n")
-    hi = F.expr(f"(fp * {last} + n - 1) div n - 1")
-    spans = usable.filter("neg > 0").withColumns({"lo": lo, "hi": hi}).filter("hi >= lo")
-    inside = spans.withColumn("grid", F.explode(F.sequence(F.col("lo").cast("int"), F.col("hi").cast("int"))))
+    lo = F.expr(f"cast((fp0 * {last} + n - 1) div n as int)")
+    hi = F.expr(f"cast((fp * {last} + n - 1) div n - 1 as int)")
+    none = F.array().cast("array<int>")
+    spanned = F.when((F.col("neg") > 0) & (hi >= lo), F.sequence(lo, hi)).otherwise(none)
+    is_end = (F.col("tp") == F.col("p")) & (F.col("fp") == F.col("n"))
+    ends = F.when(is_end, F.array(F.lit(last))).otherwise(none)
+    points_of = usable.withColumn("grid", F.explode(F.concat(spanned, ends)))
     at = (F.col("grid") * F.col("n") / F.lit(float(last)) - F.col("fp0")) / F.col("neg")
-    tpr = (F.col("tp0") + F.col("pos") * at) / F.col("p")
-    at_one = usable.select(*by).distinct().select(*by, F.lit(last).alias("grid"), F.lit(1.0).alias("tpr"))
-    curve = union_all(inside.select(*by, "grid", tpr.alias("tpr")), at_one)
+    inside = (F.col("tp0") + F.col("pos") * at) / F.col("p")
+    curve = points_of.select(*by, "grid", F.when(F.col("grid") == last, F.lit(1.0)).otherwise(inside).alias("tpr"))
     mean = F.when(F.col("grid") == 0, F.lit(0.0)).when(F.col("grid") == last, F.lit(1.0)).otherwise(F.avg("tpr"))
     return curve.groupBy("grid").agg(settled(mean, DIGITS).alias("mean_tpr")).withColumn(
         "fpr", F.round(F.col("grid") / F.lit(float(last)), DIGITS)

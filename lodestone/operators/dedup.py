@@ -52,9 +52,10 @@ def running_unique(docs: DataFrame, doc_id: str = "id", term_pos: str = "term_po
 def unseen(batch: DataFrame, stored: DataFrame, key: Sequence[str] | str, order: Sequence[str]) -> DataFrame:
     """Rows of the batch to insert: the first per key whose key is not stored."""
     key = [key] if isinstance(key, str) else list(key)
-    # The anti join goes first: it needs no more than the keys of the target.
-    new = batch.join(stored.select(*key), key, "left_anti").select(*batch.columns)
-    return keep_first(new, key, order)
+    # Duplicates go first, combined map-side, so a key that fills a third of the
+    # batch is one row when the join meets it; the join reuses the partitioning.
+    firsts = keep_first(batch, key, order)
+    return firsts.join(stored.select(*key), key, "left_anti").select(*batch.columns)
 
 
 def insert_counts(batch: DataFrame, stored: DataFrame, key: Sequence[str] | str) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from lodestone.functions.vectors import cosine
 from lodestone.operators.encoding import token_overlap
 from lodestone.operators.topk import SCORE_DIGITS, rank_rows
+from lodestone.session import materialise
 
 RRF_DIGITS = 9
 
@@ -41,9 +42,11 @@ def with_similarity(candidates: DataFrame, items: DataFrame, queries: DataFrame,
                     vector: str = "embedding") -> DataFrame:
     """Cosine to the query for every candidate, also those only BM25 found.
 
-    Plain equi joins: candidates are few per query, so Spark broadcasts them
-    when they are small and shuffles otherwise.
+    The candidates are written first (running the search): with their size
+    known, Spark broadcasts them to the scan of the items when they are small
+    and shuffles otherwise.
     """
+    candidates = materialise(candidates, "candidates")
     joined = candidates.join(items.select(*ids, F.col(vector).alias("_v")), list(ids)).join(
         queries.select("query_id", "query_vector"), "query_id"
     )
@@ -74,7 +77,7 @@ def rerank(candidates: DataFrame, texts: DataFrame, queries: DataFrame, ids: Seq
            pair_score=None) -> DataFrame:
     """Rescore (query, text) pairs and keep k.  ``pair_score`` is a column, or a
     function DataFrame -> DataFrame that adds ``pair_score``; default token overlap."""
-    pairs = candidates.join(texts, list(ids)).join(queries.select("query_id", "query"), "query_id")
+    pairs = materialise(candidates, "candidates").join(texts, list(ids)).join(queries.select("query_id", "query"), "query_id")
     if callable(pair_score):
         pairs = pair_score(pairs)
     else:

@@ -44,6 +44,18 @@ def hash_rank(distinct_keys: DataFrame, key: str, seed: int, by: Sequence[str] =
     )
 
 
+def hash_cuts(distinct_keys: DataFrame, key: str, seed: int, **ranks: Column) -> Column:
+    """A scalar struct with, per name, the digest of the key at that rank (null below rank 1).
+
+    Rows can then be told apart by comparing digests, without a join or a
+    shuffle of the rows themselves; only the keys are ranked.
+    """
+    ranked = hash_rank(distinct_keys.select(key), key, seed)
+    digest = seeded_hash(F.col(key), seed)
+    cuts = [F.max(F.when(F.col("hash_rank") <= rank, digest)).alias(name) for name, rank in ranks.items()]
+    return ranked.agg(F.struct(*cuts).alias("cuts")).scalar()
+
+
 def running_totals(distinct: DataFrame, by: Sequence[str], order: str, sums: Sequence[str], ranges: int = RANGES) -> DataFrame:
     """Adds ``cum_<s>``: sum of ``s`` over this and all larger values of ``order`` (within ``by``).
 

@@ -130,6 +130,12 @@ def versus_runner_up(ranked: DataFrame, metric: str, latency: str | None = None)
     return out.filter("rank = 1")
 
 
+def with_distinct_counts(configs: DataFrame, **columns: str) -> DataFrame:
+    """Adds how many different values each column has, to a table of one row per configuration."""
+    whole = W.partitionBy()
+    return configs.withColumns({name: F.size(F.collect_set(c).over(whole)).cast("long") for name, c in columns.items()})
+
+
 def by_difficulty(per_case: DataFrame, cases: DataFrame, metric: str, by: Sequence[str] = ()) -> DataFrame:
     joined = per_case.join(cases.select("query_id", "difficulty"), "query_id")
     return joined.groupBy(*by, "difficulty").agg(
@@ -146,11 +152,12 @@ def best_combined(means: DataFrame, order: str, precision: str = "mean_semantic_
 
 def improvement(means: DataFrame, baseline: str, label: str, metrics: Sequence[str]) -> DataFrame:
     """Gain in percent over the baseline row; 0 where the baseline is 0."""
-    base = means.filter(F.col(label) == baseline)
-    gains = [
-        settled(relative_gain_pct(F.col(m), F.lit(base.select(m).scalar())), 1).alias(f"{m}_gain_pct")
-        for m in metrics
-    ]
+    whole = W.partitionBy()  # one row per configuration
+
+    def base(m: str) -> Column:
+        return F.max(F.when(F.col(label) == baseline, F.col(m))).over(whole)
+
+    gains = [settled(relative_gain_pct(F.col(m), base(m)), 1).alias(f"{m}_gain_pct") for m in metrics]
     return means.select("*", *gains)
 
 

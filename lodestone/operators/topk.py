@@ -28,6 +28,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lodestone.session import materialise
+
 SCORE_DIGITS = 6
 MAX_BLOCK_QUERIES = 4096  # queries sent to every task; more go through tiles
 MAX_BLOCK_BYTES = 64 << 20
@@ -143,19 +145,23 @@ def topk_scan(items: DataFrame, block: pa.Table, make: MakeScorer, ids: Sequence
 
 def topk_tiled(items: DataFrame, queries: DataFrame, make: MakeScorer, ids: Sequence[str], k: int,
                keys: Sequence[str] = ()) -> DataFrame:
-    """Exact for any sizes: each (item tile, query tile) pair is one bounded task group."""
+    """Exact for any sizes: each (item tile, query tile) pair is one bounded task group.
+
+    Runs a job that counts both sides per key.
+    """
     if not keys:
         keys = ["_all"]
         items, queries = items.withColumn("_all", F.lit(0)), queries.withColumn("_all", F.lit(0))
     keys = list(keys)
     spark_schema, arrow_schema = _schemas(items, queries, ids)
-    # Fresh column identities: queries are often derived from the items themselves.
-    queries = queries.select(*[F.col(c).alias(c) for c in queries.columns])
+    # Written once: the queries are counted and then spread.
+    queries = materialise(queries, "queries")
 
     def tiles(df: DataFrame, per_tile: int, name: str) -> DataFrame:
         return df.groupBy(*keys).agg(F.ceil(F.count("*") / per_tile).cast("int").alias(name))
 
-    layout = tiles(items, TILE_ITEMS, "_its").join(tiles(queries, TILE_QUERIES, "_qts"), keys)
+    # One row per key.  Read from a file its size is known when the joins are planned.
+    layout = materialise(tiles(items, TILE_ITEMS, "_its").join(tiles(queries, TILE_QUERIES, "_qts"), keys), "layout")
 
     def spread(df: DataFrame, own: str, other: str, own_ids: Sequence[str]) -> DataFrame:
         own_tile = f"_{own}"

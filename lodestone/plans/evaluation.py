@@ -13,7 +13,7 @@ from lodestone.operators.cleaning import clean
 from lodestone.operators.encoding import ENCODERS, embed, resolve
 from lodestone.operators.retrieval_eval import keyword_scores, per_config, semantic_scores
 from lodestone.operators.vector_search import vector_topk
-from lodestone.plans.search import IDS, encode_queries
+from lodestone.plans.search import IDS, encode_queries, with_texts
 from lodestone.session import materialise
 
 BY = ["model", "strategy"]
@@ -35,7 +35,7 @@ def grid_hits(spark: SparkSession, docs: DataFrame, cases: DataFrame, models: Se
         for model in models:
             items = index.select(*IDS, "chunk_text", F.col(f"embedding_{model}").alias("embedding"))
             hits = vector_topk(items, encode_queries(cases, model), IDS, k)
-            kept = hits.join(items, IDS)
+            kept = with_texts(hits, items, "chunk_text", "embedding")
             branches.append(kept.select(F.lit(model).alias("model"), F.lit(strategy).alias("strategy"), "*"))
     return union_all(*branches)
 

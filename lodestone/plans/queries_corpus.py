@@ -17,10 +17,10 @@ from lodestone.session import fresh_dir
 from lodestone.streaming.ingest import start_ingest
 
 WINDOW = {"kind": "window", "size": 512, "overlap": 64}
-CHUNK_COLUMNS = "doc_id, chunk_index, chunk_text, length(chunk_text) AS char_count, md5(chunk_text) AS content_hash"
+CHUNK_COLUMNS = "doc_id, chunk_index, chunk_text, length(chunk_text)::INTEGER AS char_count, md5(chunk_text) AS content_hash"
 
 
-@query("corpus_clean", f"WITH {CLEAN} SELECT id, title, combined_text, length(combined_text) AS text_length, lang FROM clean")
+@query("corpus_clean", f"WITH {CLEAN} SELECT id, title, combined_text, length(combined_text)::INTEGER AS text_length, lang FROM clean")
 def corpus_clean(spark, sf):
     return cleaning.clean(corpus(spark, sf)).select("id", "title", "combined_text", "text_length", "lang")
 
@@ -56,7 +56,7 @@ def chunk_words_256(spark, sf):
 
 
 @query("chunk_document", f"WITH {CLEAN} SELECT id AS doc_id, 0 AS chunk_index, combined_text AS chunk_text, "
-       "length(combined_text) AS char_count, md5(combined_text) AS content_hash FROM clean")
+       "length(combined_text)::INTEGER AS char_count, md5(combined_text) AS content_hash FROM clean")
 def chunk_document(spark, sf):
     return chunking.chunk(cleaning.clean(corpus(spark, sf)), "document")
 
@@ -81,15 +81,15 @@ def chunk_size_sweep(spark, sf):
 
 
 @query("chunk_stats", f"""WITH {CLEAN}, {word_chunks(512)}
-SELECT lang, count(*) AS chunks, min(length(chunk_text)) AS min_chars, round(avg(length(chunk_text)) + 1e-9, 4) AS avg_chars,
-       max(length(chunk_text)) AS max_chars FROM chunks GROUP BY lang""")
+SELECT lang, count(*) AS chunks, min(length(chunk_text))::INTEGER AS min_chars, round(avg(length(chunk_text)) + 1e-9, 4) AS avg_chars,
+       max(length(chunk_text))::INTEGER AS max_chars FROM chunks GROUP BY lang""")
 def chunk_stats(spark, sf):
     chunks = chunking.chunk(cleaning.clean(corpus(spark, sf)), "fixed_512", keep=("lang",))
     return chunking.chunk_summary(chunks, "lang")
 
 
 DEDUP_SQL = f"""WITH {CLEAN}, {word_chunks(512)}
-SELECT doc_id, chunk_index, chunk_text, length(chunk_text) AS char_count, md5(chunk_text) AS content_hash FROM chunks
+SELECT doc_id, chunk_index, chunk_text, length(chunk_text)::INTEGER AS char_count, md5(chunk_text) AS content_hash FROM chunks
 QUALIFY row_number() OVER (PARTITION BY md5(chunk_text) ORDER BY doc_id, chunk_index) = 1"""
 
 

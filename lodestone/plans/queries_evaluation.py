@@ -14,7 +14,7 @@ from lodestone.operators.vector_search import vector_topk
 from lodestone.plans.catalog import query
 from lodestone.plans.evaluation import BY, keyword_grid
 from lodestone.plans.queries_search import ENCODER, CENTROIDS, _lists_sql, text_index
-from lodestone.plans.search import IDS, hybrid_lists
+from lodestone.plans.search import IDS, hybrid_lists, with_texts
 from lodestone.plans.sql import CASES, CLEAN, QUERIES, bm25_hits, embedding, vector_hits, word_chunks
 from lodestone.plans.tables import benchmark_cases, benchmark_queries, benchmark_topics, centroids, corpus, table
 
@@ -37,7 +37,7 @@ SELECT query_id, precision_at_k, keyword_coverage FROM per_case""")
 def keyword_scores(spark, sf):
     index = text_index(spark, sf)
     cases = benchmark_cases(spark, sf)
-    hits = bm25_topk(index, cases, IDS, 5).join(index.select(*IDS, "chunk_text"), IDS)
+    hits = with_texts(bm25_topk(index, cases, IDS, 5), index)
     return ev.keyword_scores(hits, cases, 5)
 
 
@@ -64,7 +64,7 @@ GRID = _grid_sql()
 MEANS = f"""{GRID}, means AS (
   SELECT model, strategy, round(avg(precision_at_k) + 1e-9, 4) AS mean_precision_at_k, round(avg(keyword_coverage) + 1e-9, 4) AS mean_keyword_coverage,
          count(*) AS num_cases FROM grid GROUP BY model, strategy),
-ranked AS (SELECT *, row_number() OVER (ORDER BY mean_precision_at_k DESC, model, strategy) AS rank FROM means)"""
+ranked AS (SELECT *, (row_number() OVER (ORDER BY mean_precision_at_k DESC, model, strategy))::INTEGER AS rank FROM means)"""
 
 
 def _grid(spark, sf) -> DataFrame:
@@ -92,11 +92,8 @@ d AS (SELECT count(DISTINCT model) AS models, count(DISTINCT strategy) AS strate
 SELECT w.*, models, strategies FROM w, d WHERE rank = 1""")
 def config_winner(spark, sf):
     ranked = _ranked(spark, sf)[1]
-    # a few rows, one per configuration
-    counts = ranked.agg(F.count_distinct("model").alias("m"), F.count_distinct("strategy").alias("s"))
-    return ev.versus_runner_up(ranked, "mean_precision_at_k").select(
-        "*", counts.select("m").scalar().alias("models"), counts.select("s").scalar().alias("strategies")
-    )
+    counted = ev.with_distinct_counts(ranked, models="model", strategies="strategy")
+    return ev.versus_runner_up(counted, "mean_precision_at_k")
 
 
 @query("config_by_difficulty", f"{GRID} SELECT model, strategy, difficulty, count(*) AS n, round(avg(precision_at_k) + 1e-9, 4) AS mean_precision_at_k FROM grid GROUP BY ALL")
@@ -132,7 +129,7 @@ t AS MATERIALIZED (
     SELECT label, pos, i, avg(x) AS x FROM (SELECT label, vec_id % 4 AS pos, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM e) GROUP BY label, pos, i)
   GROUP BY label, pos),
 s AS (SELECT c.label AS query_id, vec_id, v, round(list_cosine_similarity(v, cv), 6) AS similarity FROM e, c),
-h AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, vec_id) AS rank FROM s QUALIFY rank <= {k})"""
+h AS MATERIALIZED (SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, vec_id))::INTEGER AS rank FROM s QUALIFY rank <= {k})"""
 
 
 def _score_sql(sims: str, by: str) -> str:
@@ -195,7 +192,7 @@ votes AS (
 fused AS (SELECT label, query_id, doc_id, chunk_index, round(sum(vote), 9) AS rrf FROM votes GROUP BY ALL),
 sim AS (SELECT f.*, coalesce(similarity, 0) AS vec_sim FROM fused f LEFT JOIN v_s USING (query_id, doc_id, chunk_index)),
 early AS (SELECT sim.*, k, floor FROM sim JOIN settings USING (label) WHERE late OR floor IS NULL OR vec_sim >= floor),
-cut AS (SELECT *, row_number() OVER (PARTITION BY label, query_id ORDER BY rrf DESC, doc_id, chunk_index) AS rank FROM early QUALIFY rank <= k),
+cut AS (SELECT *, (row_number() OVER (PARTITION BY label, query_id ORDER BY rrf DESC, doc_id, chunk_index))::INTEGER AS rank FROM early QUALIFY rank <= k),
 final AS MATERIALIZED (SELECT label, query_id, doc_id, chunk_index, rrf, vec_sim, rank FROM cut WHERE floor IS NULL OR vec_sim >= floor)"""
 
 
@@ -231,7 +228,7 @@ means AS (SELECT label, round(avg(semantic_precision) + 1e-9, 4) AS mean_semanti
 
 def _sweep_means(spark, sf) -> DataFrame:
     hits, index = _sweep_hits(spark, sf)
-    with_vectors = hits.join(index.select(*IDS, "embedding"), IDS)
+    with_vectors = with_texts(hits, index, "embedding")
     topics = embed(benchmark_topics(spark, sf), ENCODER, "topic", "topic_vector", precise=True)
     cases = ev.per_config(benchmark_queries(spark, sf).select("query_id"), [{"label": s["label"]} for s in SETTINGS])
     per_case = ev.semantic_scores(with_vectors, topics, ["label"], cases=cases)

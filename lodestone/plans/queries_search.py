@@ -76,7 +76,7 @@ def _all_as_queries(spark, sf) -> tuple[DataFrame, DataFrame]:
 @query("vector_topk", """
 WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings),
 s AS (SELECT a.vec_id AS query_id, b.vec_id, round(list_cosine_similarity(a.v, b.v), 6) AS similarity FROM e a, e b)
-SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, vec_id) AS rank FROM s QUALIFY rank <= 5""")
+SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, vec_id))::INTEGER AS rank FROM s QUALIFY rank <= 5""")
 def vector_topk(spark, sf):
     items, queries = _all_as_queries(spark, sf)
     return vector_search.vector_topk(items, queries, ["vec_id"], 5)
@@ -92,7 +92,7 @@ c AS MATERIALIZED (
 
 @query("vector_topk_filtered", f"""WITH {CENTROIDS},
 s AS (SELECT c.label AS query_id, vec_id, round(list_cosine_similarity(v, cv), 6) AS similarity FROM e JOIN c USING (label))
-SELECT *, round(1 - similarity, 6) AS distance, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, vec_id) AS rank
+SELECT *, round(1 - similarity, 6) AS distance, (row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, vec_id))::INTEGER AS rank
 FROM s QUALIFY rank <= 10""")
 def vector_topk_filtered(spark, sf):
     """Each label's mean vector searches only the vectors of its own label."""
@@ -149,7 +149,7 @@ def _fused_sql(k: int, depth: int = EXACT_FUSION["depth"]) -> str:
   SELECT query_id, doc_id, chunk_index, 1.0::DOUBLE / (60 + rank) AS vote FROM v
   UNION ALL SELECT query_id, doc_id, chunk_index, 1.0::DOUBLE / (60 + rank) FROM b),
 fused AS (SELECT query_id, doc_id, chunk_index, round(sum(vote), 9) AS rrf FROM votes GROUP BY ALL),
-top AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY rrf DESC, doc_id, chunk_index) AS rank FROM fused QUALIFY rank <= {k})"""
+top AS (SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY rrf DESC, doc_id, chunk_index))::INTEGER AS rank FROM fused QUALIFY rank <= {k})"""
 
 
 @query("rrf_fuse", f"{_fused_sql(5)} SELECT query_id, doc_id, chunk_index, rrf, rank FROM top")
@@ -163,7 +163,7 @@ WEIGHTED_SQL = f"""{_lists_sql(HYBRID_PRESET['depth'])}, votes AS (
 fused AS (SELECT query_id, doc_id, chunk_index, round(sum(vote), 9) AS rrf FROM votes GROUP BY ALL),
 kept AS (SELECT query_id, doc_id, chunk_index, rrf, coalesce(similarity, 0) AS vec_sim
   FROM fused LEFT JOIN v_s USING (query_id, doc_id, chunk_index) WHERE coalesce(similarity, 0) >= 0.30::DOUBLE),
-top AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY rrf DESC, doc_id, chunk_index) AS rank FROM kept QUALIFY rank <= 7)"""
+top AS (SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY rrf DESC, doc_id, chunk_index))::INTEGER AS rank FROM kept QUALIFY rank <= 7)"""
 
 
 @query("rrf_weighted_floor", f"{WEIGHTED_SQL} SELECT query_id, doc_id, chunk_index, rrf, vec_sim, rank FROM top")
@@ -184,7 +184,7 @@ pairs AS (
   SELECT query_id, doc_id, chunk_index, list_distinct({toks('query')}) AS qt, list_distinct({toks('chunk_text')}) AS ct
   FROM top JOIN chunks USING (doc_id, chunk_index) JOIN q USING (query_id)),
 rescored AS (SELECT query_id, doc_id, chunk_index, round(len(list_intersect(qt, ct))::DOUBLE / len(qt), 6) AS pair_score FROM pairs)
-SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY pair_score DESC, doc_id, chunk_index) AS rank FROM rescored QUALIFY rank <= 5""")
+SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY pair_score DESC, doc_id, chunk_index))::INTEGER AS rank FROM rescored QUALIFY rank <= 5""")
 def hybrid_rerank(spark, sf):
     found = search.retrieve_reranked(benchmark_queries(spark, sf), text_index(spark, sf), ENCODER)
     return found.select("query_id", *IDS, "pair_score", "rank")

@@ -13,6 +13,7 @@ from lodestone.operators.lexical import bm25_topk
 from lodestone.operators.prompts import build_prompts, focus_query, synthesise_queries
 from lodestone.operators.topk import rank_rows
 from lodestone.operators.vector_search import vector_topk
+from lodestone.session import materialise
 
 IDS = ["doc_id", "chunk_index"]
 
@@ -21,8 +22,9 @@ def encode_queries(queries: DataFrame, encoder: str, text: str = "query", precis
     return embed(queries.select("query_id", text), encoder, text=text, out="query_vector", precise=precise)
 
 
-def with_texts(hits: DataFrame, index: DataFrame) -> DataFrame:
-    return hits.join(index.select(*IDS, "chunk_text"), IDS)
+def with_texts(hits: DataFrame, index: DataFrame, *columns: str) -> DataFrame:
+    """Hits with columns of the index.  Written first, so that the join knows how small they are."""
+    return materialise(hits, "hits").join(index.select(*IDS, *(columns or ("chunk_text",))), IDS)
 
 
 def retrieve(requests: DataFrame, index: DataFrame, encoder: str, k: int = SERVED_PRESET["k"], text: str = "query") -> DataFrame:

@@ -67,7 +67,7 @@ def vector_hits(name: str, depth: int, q: str = "qv", c: str = "cv") -> str:
   SELECT query_id, doc_id, chunk_index, round(sum(a.v * b.v), 6) AS similarity
   FROM {q} a JOIN {c} b USING (bucket) GROUP BY query_id, doc_id, chunk_index),
 {name} AS MATERIALIZED (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, doc_id, chunk_index) AS rank
+  SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, doc_id, chunk_index))::INTEGER AS rank
   FROM {name}_s QUALIFY rank <= {depth})"""
 
 
@@ -85,7 +85,7 @@ def bm25_hits(name: str, depth: int, chunks: str = "chunks", queries: str = "q")
          round(sum(qtf * ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * dl / mean))), 6) AS bm25
   FROM {name}_q JOIN {name}_f USING (term) JOIN {name}_d USING (term), {name}_n GROUP BY query_id, doc_id, chunk_index),
 {name} AS MATERIALIZED (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY bm25 DESC, doc_id, chunk_index) AS rank
+  SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY bm25 DESC, doc_id, chunk_index))::INTEGER AS rank
   FROM {name}_s QUALIFY rank <= {depth})"""
 
 
