@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from lodestone.constants import BM25_WEIGHT_SWEEP, FLOOR_SWEEP, K_SWEEP
 from lodestone.operators import retrieval_eval as ev
 from lodestone.operators.encoding import embed
-from lodestone.operators.fusion import with_similarity
 from lodestone.operators.lexical import bm25_topk
 from lodestone.operators.vector_search import vector_topk
 from lodestone.plans.catalog import query
