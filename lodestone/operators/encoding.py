@@ -34,26 +34,26 @@ def hashing_encoder(dim: int = 64) -> EncoderFactory:
     """Signed feature hashing of tokens, scaled to unit length."""
 
     def factory() -> Encoder:
-        known: dict[str, tuple[int, float]] = {}
+        known: dict[str, int] = {"": 2 * dim}  # token -> bucket, plus dim when the sign is negative
 
-        def hashed(token: str) -> tuple[int, float]:
+        def codes(tokens: list[str]) -> np.ndarray:
             if len(known) > 1_000_000:
                 known.clear()
-            if token not in known:
-                known[token] = _bucket_and_sign(token, dim)
-            return known[token]
+                known[""] = 2 * dim
+            for token in set(tokens).difference(known):
+                bucket, sign = _bucket_and_sign(token, dim)
+                known[token] = bucket if sign > 0 else bucket + dim
+            return np.fromiter(map(known.__getitem__, tokens), dtype="int64", count=len(tokens))
 
         def encode(texts: list[str]) -> np.ndarray:
             words = pc.ascii_split_whitespace(pc.utf8_lower(pa.array(texts, type=pa.string())))
             row = np.repeat(np.arange(len(texts)), np.asarray(pc.fill_null(pc.list_value_length(words), 0)))
-            coded = words.flatten().dictionary_encode()
-            entries = [hashed(t) if t else (0, 0.0) for t in coded.dictionary.to_pylist()]
-            buckets = np.array([e[0] for e in entries], dtype="int64")
-            signs = np.array([e[1] for e in entries])
-            code = np.asarray(coded.indices)
-            cells = row * dim + (buckets[code] if len(code) else code)
-            out = np.bincount(cells, weights=signs[code] if len(code) else None, minlength=len(texts) * dim)
-            out = out.astype("float64").reshape(len(texts), dim)
+            distinct = words.flatten().dictionary_encode()
+            cell = codes(distinct.dictionary.to_numpy(zero_copy_only=False).tolist())[np.asarray(distinct.indices)]
+            # one column per signed bucket, and one for the empty words at the edges of a text
+            width = 2 * dim + 1
+            counts = np.bincount(row * width + cell, minlength=len(texts) * width).reshape(len(texts), width)
+            out = (counts[:, :dim] - counts[:, dim : 2 * dim]).astype("float64")
             length = np.linalg.norm(out, axis=1, keepdims=True)
             return np.divide(out, length, out=out, where=length > 0)
 
@@ -115,9 +115,14 @@ def embedding_summary(df: DataFrame, by: list[str], vector: str = "embedding", t
 Predictor = Callable[[list], np.ndarray]
 
 
-def score_items(df: DataFrame, predictor: Callable[[], Predictor], item_id: str, payload: str,
+PREDICTORS: dict[str, Callable[[], Predictor]] = {}  # image or item models by name
+PAIR_SCORERS: dict[str, Callable] = {}  # models that score (query, text) pairs by name
+
+
+def score_items(df: DataFrame, predictor: str | Callable[[], Predictor], item_id: str, payload: str,
                 conditions: list[str] = CONDITIONS, logits: bool = True, batch_size: int = 64) -> DataFrame:
     """Long (item, condition, score) from a model that maps payloads to one row of scores each."""
+    predictor = resolve(PREDICTORS, predictor) if isinstance(predictor, str) else predictor
     item_type = df.schema[item_id].dataType
     wide = T.StructType([T.StructField(item_id, item_type), T.StructField("_scores", T.ArrayType(T.DoubleType()))])
 
@@ -159,9 +164,10 @@ def token_overlap(query: str = "query", text: str = "chunk_text"):
     return F.when(F.size(wanted) > 0, shared / F.size(wanted)).otherwise(F.lit(0.0))
 
 
-def score_pairs(df: DataFrame, scorer: Callable[[], Callable[[list[tuple[str, str]]], np.ndarray]], query: str = "query",
-                text: str = "chunk_text", out: str = "pair_score", batch_size: int = 64) -> DataFrame:
+def score_pairs(df: DataFrame, scorer: str | Callable[[], Callable[[list[tuple[str, str]]], np.ndarray]],
+                query: str = "query", text: str = "chunk_text", out: str = "pair_score", batch_size: int = 64) -> DataFrame:
     """Adds the score a model gives to each (query, text) pair."""
+    scorer = resolve(PAIR_SCORERS, scorer) if isinstance(scorer, str) else scorer
     schema = T.StructType([*df.schema.fields, T.StructField(out, T.DoubleType(), True)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -31,8 +31,8 @@ def hash_rank(distinct_keys: DataFrame, key: str, seed: int, by: Sequence[str] =
     """Adds ``hash_rank``, 1..n in order of the seeded hash (within ``by``).  Keys must be distinct."""
     by = list(by)
     digest = seeded_hash(F.col(key), seed)
-    ranged = distinct_keys.withColumns({"_h": digest, "_range": F.substr(digest, F.lit(1), F.lit(3))})
-    counts = ranged.groupBy(*by, "_range").agg(F.count("*").alias("_n"))  # at most 4096 per ``by``
+    ranged = distinct_keys.withColumns({"_h": digest, "_range": F.substr(digest, F.lit(1), F.lit(4))})
+    counts = ranged.groupBy(*by, "_range").agg(F.count("*").alias("_n"))  # at most 65,536 per ``by``
     before = W.partitionBy(*by).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
     offsets = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
     inside = W.partitionBy(*by, "_range").orderBy("_h", key)

@@ -33,7 +33,7 @@ from lodestone.session import materialise
 SCORE_DIGITS = 6
 MAX_BLOCK_QUERIES = 4096  # queries sent to every task; more go through tiles
 MAX_BLOCK_BYTES = 64 << 20
-TILE_ITEMS = 100_000
+TILE_ITEMS = 50_000
 TILE_QUERIES = 2048
 CELLS_PER_STEP = 4 << 20  # scores held at once in a task
 

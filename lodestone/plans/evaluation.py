@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from lodestone.functions.unions import union_all
 from lodestone.operators.chunking import chunk
 from lodestone.operators.cleaning import clean
-from lodestone.operators.encoding import ENCODERS, embed, resolve
+from lodestone.operators.encoding import ENCODERS, embed, embedding_summary, resolve
 from lodestone.operators.retrieval_eval import keyword_scores, per_config, semantic_scores
 from lodestone.operators.vector_search import vector_topk
 from lodestone.plans.search import IDS, encode_queries, with_texts
@@ -40,6 +41,29 @@ def grid_hits(spark: SparkSession, docs: DataFrame, cases: DataFrame, models: Se
     return union_all(*branches)
 
 
+def embedding_comparison(spark: SparkSession, docs: DataFrame, models: Sequence[str], strategies: Sequence[str]) -> DataFrame:
+    """(model, strategy, num_chunks, avg_chunk_chars, embed_time_sec, avg_embed_time_ms, dimension).
+
+    Runs one timed embedding job per configuration, over chunks written before the clock starts.
+    """
+    timed = []
+    for strategy in strategies:
+        chunks = materialise(chunk(clean(docs), strategy).select("chunk_text"), "compare")
+        for model in models:
+            started = time.perf_counter()
+            tagged = embed(chunks, model).withColumns({"model": F.lit(model), "strategy": F.lit(strategy)})
+            row = embedding_summary(tagged, BY).first()
+            seconds = time.perf_counter() - started
+            if row is not None:
+                per_chunk = round(seconds / row["num_chunks"] * 1000, 2)
+                timed.append((*row[:4], round(seconds, 3), per_chunk, row["dimension"]))
+    return spark.createDataFrame(
+        timed,
+        "model string, strategy string, num_chunks long, avg_chunk_chars double, embed_time_sec double, "
+        "avg_embed_time_ms double, dimension int",
+    )
+
+
 def grid_cases(cases: DataFrame, models: Sequence[str], strategies: Sequence[str]) -> DataFrame:
     return per_config(cases, [{"model": m, "strategy": s} for m in models for s in strategies])
 

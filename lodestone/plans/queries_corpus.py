@@ -204,6 +204,19 @@ def insert_counts(spark, sf):
     return dedup.insert_counts(*_batch_and_stored(spark, sf), "content_hash")
 
 
+@query("insert_embeddings", f"""WITH {CLEAN}, {word_chunks(512)}, batch AS (
+  SELECT doc_id, chunk_index, md5(chunk_text) AS content_hash, unnest(['hash32', 'hash64']) AS embedding_model FROM chunks),
+stored AS (SELECT DISTINCT content_hash, 'hash64' AS embedding_model FROM batch WHERE doc_id IN (SELECT doc_id FROM labels))
+SELECT doc_id, chunk_index, content_hash, embedding_model FROM batch ANTI JOIN stored USING (content_hash, embedding_model)
+QUALIFY row_number() OVER (PARTITION BY content_hash, embedding_model ORDER BY doc_id, chunk_index) = 1""")
+def insert_embeddings(spark, sf):
+    """Chunks for two models; one model already holds the chunks of the labelled documents."""
+    both = F.explode(F.array(F.lit("hash32"), F.lit("hash64"))).alias("embedding_model")
+    batch = chunking.chunk(cleaning.clean(corpus(spark, sf)), "fixed_512").select("doc_id", "chunk_index", "content_hash", both)
+    stored = batch.filter("embedding_model = 'hash64'").join(table(spark, sf, "labels").select("doc_id"), "doc_id", "left_semi")
+    return dedup.unseen(batch, stored, ["content_hash", "embedding_model"], ["doc_id", "chunk_index"])
+
+
 def _landed(spark, sf) -> DataFrame:
     """Pages as landed nested records."""
     html = F.col("html")

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from lodestone.constants import BM25_WEIGHT_SWEEP, FLOOR_SWEEP, K_SWEEP
 from lodestone.operators import retrieval_eval as ev
+from lodestone.operators.chunking import chunk
+from lodestone.operators.cleaning import clean
 from lodestone.operators.encoding import embed
 from lodestone.operators.lexical import bm25_topk
 from lodestone.operators.vector_search import vector_topk
@@ -16,6 +18,7 @@ from lodestone.plans.queries_search import ENCODER, CENTROIDS, _lists_sql, text_
 from lodestone.plans.search import IDS, hybrid_lists, with_texts
 from lodestone.plans.sql import CASES, CLEAN, QUERIES, bm25_hits, embedding, vector_hits, word_chunks
 from lodestone.plans.tables import benchmark_cases, benchmark_queries, benchmark_topics, centroids, corpus, table
+from lodestone.session import materialise
 
 # Per case: hits(query_id, rank, chunk_text) against cases.
 SCORES = """
@@ -34,9 +37,9 @@ judged AS (
 hits AS (SELECT query_id, rank, chunk_text FROM b JOIN chunks USING (doc_id, chunk_index)), {SCORES.format(hits='hits', name='per_case')}
 SELECT query_id, precision_at_k, keyword_coverage FROM per_case""")
 def keyword_scores(spark, sf):
-    index = text_index(spark, sf)
+    chunks = materialise(chunk(clean(corpus(spark, sf)), "fixed_512").select(*IDS, "chunk_text"), "chunks")
     cases = benchmark_cases(spark, sf)
-    hits = with_texts(bm25_topk(index, cases, IDS, 5), index)
+    hits = with_texts(bm25_topk(chunks, cases, IDS, 5), chunks)
     return ev.keyword_scores(hits, cases, 5)
 
 
@@ -100,6 +103,17 @@ def config_by_difficulty(spark, sf):
     return ev.by_difficulty(_grid(spark, sf), benchmark_cases(spark, sf), "precision_at_k", BY)
 
 
+@query("results_export", f"""{MEANS}, nested AS (
+  SELECT model, strategy, to_json(list({{'query_id': query_id, 'precision_at_k': precision_at_k, 'keyword_coverage': keyword_coverage}} ORDER BY query_id)) AS per_case
+  FROM grid GROUP BY model, strategy)
+SELECT model, strategy, mean_precision_at_k, mean_keyword_coverage, num_cases, per_case::VARCHAR AS per_case FROM means JOIN nested USING (model, strategy)""")
+def results_export(spark, sf):
+    per_case = _grid(spark, sf)
+    means = ev.config_means(per_case, BY, ["precision_at_k", "keyword_coverage"])
+    nested = ev.nested_results(per_case, means, BY, ["precision_at_k", "keyword_coverage"])
+    return nested.withColumn("per_case", F.to_json("per_case"))
+
+
 @query("config_gain", f"""{MEANS}, named AS (SELECT *, model || '/' || strategy AS label FROM means), base AS (SELECT * FROM named WHERE label = 'hash32/fixed_256')
 SELECT n.label, n.mean_precision_at_k, n.mean_keyword_coverage,
   round(CASE WHEN b.mean_precision_at_k > 0 THEN (n.mean_precision_at_k - b.mean_precision_at_k) / b.mean_precision_at_k * 100 ELSE 0 END + 1e-9, 1) AS mean_precision_at_k_gain_pct,

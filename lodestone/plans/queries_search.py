@@ -38,7 +38,8 @@ from lodestone.plans.tables import (
     table,
     user_requests,
 )
-from lodestone.sources.readers import spread
+from lodestone.session import fresh_dir
+from lodestone.sources.readers import load_index, spread
 
 ENCODER = "hash64"
 
@@ -120,6 +121,19 @@ def ivf_recall(spark, sf):
     return vector_search.recall_at_k(*_cells(spark, sf), ["vec_id"])
 
 
+@query("index_search", f"""WITH {CLEAN}, {word_chunks(256)}, {QUERIES}, {embedding('cv', 'chunks', 'doc_id, chunk_index', 'chunk_text', 32)},
+{embedding('qv', 'q', 'query_id', 'query', 32)}, {vector_hits('v', 5)}
+SELECT query_id, doc_id, chunk_index, similarity, round(1 - similarity, 6) AS distance, rank FROM v""")
+def index_search(spark, sf):
+    """One saved table holds two models; the search reads the partition of one of them."""
+    path = fresh_dir(spark, "index")
+    for model, strategy in [("hash32", "fixed_256"), ("hash64", "document")]:
+        build_index(spark, corpus(spark, sf), strategy, model, path, precise=True)
+    one = load_index(spark, path, "hash32", "fixed_256")
+    found = vector_search.vector_topk(one, search.encode_queries(benchmark_queries(spark, sf), "hash32"), IDS, 5)
+    return vector_search.with_distance(found).withColumn("distance", F.round("distance", 6))
+
+
 @query("bm25_topk", f"""WITH {CLEAN}, {word_chunks(512)}, {QUERIES}, {bm25_hits('b', 10)}
 SELECT query_id, doc_id, chunk_index, bm25, rank FROM b""")
 def bm25_topk(spark, sf):

@@ -117,3 +117,10 @@ def test_k_sweep_and_previews(spark):
     assert ev.hit_previews(hits).first()["preview"] == "x" * 120 + "..."
     with_kw = ev.with_case_keywords(hits.select("query_id").distinct(), spark.createDataFrame([(9, 0.5)], "query_id int, keyword_precision double"))
     assert with_kw.first()["keyword_precision"] == 0.0
+
+
+def test_embedding_comparison(spark):
+    docs = spark.createDataFrame([(1, "Title", "word " * 60)], "id int, title string, abstract string")
+    got = {(r["model"], r["strategy"]): r for r in evaluation.embedding_comparison(spark, docs, ["hash32", "hash64"], ["document", "fixed_256"]).collect()}
+    assert len(got) == 4 and got["hash64", "document"]["dimension"] == 64 and got["hash32", "fixed_256"]["num_chunks"] == 2
+    assert all(r["embed_time_sec"] > 0 for r in got.values())
