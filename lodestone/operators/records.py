@@ -22,7 +22,7 @@ def flatten_records(raw: DataFrame, default_year: int | None = None, namespace:
     citation = F.col("MedlineCitation")
     article = citation["Article"]
     number = strip_ws(citation["PMID"])
-    year = F.try_to_number(article["Journal"]["JournalIssue"]["PubDate"]["Year"], F.lit("9999")).cast("int")
+    year = article["Journal"]["JournalIssue"]["PubDate"]["Year"].try_cast("int")
     if default_year is not None:
         year = F.coalesce(year, F.lit(default_year))
     flat = raw.select(

@@ -149,7 +149,8 @@ def topk_tiled(items: DataFrame, queries: DataFrame, make: MakeScorer, ids: Sequ
 
     Runs a job that counts both sides per key.
     """
-    if not keys:
+    everything = not keys
+    if everything:
         keys = ["_all"]
         items, queries = items.withColumn("_all", F.lit(0)), queries.withColumn("_all", F.lit(0))
     keys = list(keys)
@@ -162,6 +163,8 @@ def topk_tiled(items: DataFrame, queries: DataFrame, make: MakeScorer, ids: Sequ
 
     # One row per key.  Read from a file its size is known when the joins are planned.
     layout = materialise(tiles(items, TILE_ITEMS, "_its").join(tiles(queries, TILE_QUERIES, "_qts"), keys), "layout")
+    if everything:
+        layout = F.broadcast(layout)  # a single row
 
     def spread(df: DataFrame, own: str, other: str, own_ids: Sequence[str]) -> DataFrame:
         own_tile = f"_{own}"

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lodestone.operators.dedup import unseen
 from lodestone.operators.monitoring import log_rows, register_models
@@ -43,7 +44,8 @@ def insert_if_absent(spark: SparkSession, batch: DataFrame, target: str, key: Se
     for c in key:
         bad = bad | F.col(c).isNull()
     seen = batch.observe(read, F.count(F.lit(1)).alias("rows"), F.count_if(bad).alias("bad")).filter(~bad)
-    stored = spark.read.parquet(target).select(*key) if path_exists(spark, target) else batch.select(*key).limit(0)
+    keys = T.StructType([batch.schema[c] for c in key])  # only the key columns of the target are read
+    stored = spark.read.schema(keys).parquet(target) if path_exists(spark, target) else batch.select(*key).limit(0)
     new = unseen(seen, stored, key, order).observe(wrote, F.count(F.lit(1)).alias("rows"))
     writer = new.write.mode("append")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(target)
