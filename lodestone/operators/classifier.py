@@ -84,7 +84,7 @@ def split_by_hash(df: DataFrame, group: str, shares: tuple[float, float] = SPLIT
 
 def split_exact(df: DataFrame, group: str, shares: tuple[float, float] = SPLIT_SHARES, seed: int = SPLIT_SEED) -> DataFrame:
     """As ``split_by_hash`` with exactly int(n * share) groups in train and val."""
-    groups = df.select(group).distinct()
+    groups = materialise(df.select(group).distinct(), "groups")  # counted, then ranked
     n = groups.agg(F.count("*").alias("n")).scalar()
     train = F.floor(n * F.lit(shares[0]))
     val = train + F.floor(n * F.lit(shares[1]))

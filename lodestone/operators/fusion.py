@@ -78,9 +78,9 @@ def rerank(candidates: DataFrame, texts: DataFrame, queries: DataFrame, ids: Seq
     """Rescore (query, text) pairs and keep k.  ``pair_score`` is a column, or a
     function DataFrame -> DataFrame that adds ``pair_score``; default token overlap."""
     pairs = materialise(candidates, "candidates").join(texts, list(ids)).join(queries.select("query_id", "query"), "query_id")
-    if callable(pair_score):
-        pairs = pair_score(pairs)
-    else:
+    if pair_score is None or isinstance(pair_score, Column):
         pairs = pairs.withColumn("pair_score", token_overlap() if pair_score is None else pair_score)
+    else:
+        pairs = pair_score(pairs)
     pairs = pairs.withColumn("pair_score", F.round("pair_score", SCORE_DIGITS)).drop("rank")
     return rank_rows(pairs, ids, k, "pair_score")

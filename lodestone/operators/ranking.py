@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-RANGES = 256
+from lodestone.session import materialise
 
 
 def seeded_hash(key: Column, seed: int) -> Column:
@@ -56,21 +56,18 @@ def hash_cuts(distinct_keys: DataFrame, key: str, seed: int, **ranks: Column) ->
     return ranked.agg(F.struct(*cuts).alias("cuts")).scalar()
 
 
-def running_totals(distinct: DataFrame, by: Sequence[str], order: str, sums: Sequence[str], ranges: int = RANGES) -> DataFrame:
+def running_totals(distinct: DataFrame, by: Sequence[str], order: str, sums: Sequence[str], ranges: int | None = None) -> DataFrame:
     """Adds ``cum_<s>``: sum of ``s`` over this and all larger values of ``order`` (within ``by``).
 
     Rows must be distinct in (by, order), so a value that a third of the data
-    shares is one row here; quantile cut points then spread the rows evenly
-    over the ranges whatever their distribution.
+    shares is one row here.  Spark's range partitioning then deals them out
+    evenly whatever their distribution; the dealt rows are written once, so
+    totals and rows agree on the ranges.
     """
     by = list(by)
-    shares = [i / ranges for i in range(1, ranges)]
-    cuts = distinct.groupBy(*by).agg(
-        F.percentile_approx(order, F.array(*[F.lit(s) for s in shares]), F.lit(20 * ranges)).alias("_cuts")
-    )
-    ranged = distinct.join(cuts, by).withColumn(
-        "_range", F.size(F.filter("_cuts", lambda c: c < F.col(order)))
-    ).drop("_cuts")
+    keys = [F.col(c) for c in [*by, order]]
+    dealt = distinct.repartitionByRange(ranges, *keys) if ranges else distinct.repartitionByRange(*keys)
+    ranged = materialise(dealt.withColumn("_range", F.spark_partition_id()), "ranges")
     totals = ranged.groupBy(*by, "_range").agg(*[F.sum(s).alias(f"_t_{s}") for s in sums])
     above = W.partitionBy(*by).orderBy(F.desc("_range")).rowsBetween(W.unboundedPreceding, -1)
     offsets = totals.select(

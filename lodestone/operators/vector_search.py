@@ -51,7 +51,8 @@ def _make(vector: str):
 def vector_topk(items: DataFrame, queries: DataFrame, ids: Sequence[str], k: int, vector: str = "embedding",
                 score: str = "similarity") -> DataFrame:
     """(query_id, *ids, similarity, rank) over all items; queries carry query_id, query_vector."""
-    found = topk.topk(items.select(*ids, vector), queries.select("query_id", "query_vector"), _make(vector), ids, k)
+    items = items.select(*ids, vector).filter(F.col(vector).isNotNull())
+    found = topk.topk(items, queries.select("query_id", "query_vector"), _make(vector), ids, k)
     return found.withColumnRenamed("score", score)
 
 
@@ -59,7 +60,7 @@ def vector_topk_within(items: DataFrame, queries: DataFrame, keys: Sequence[str]
                        vector: str = "embedding", score: str = "similarity") -> DataFrame:
     """As ``vector_topk``, each query against the items that share its keys
     (for example the same model and chunking strategy)."""
-    items = items.select(*dict.fromkeys([*keys, *ids, vector]))
+    items = items.select(*dict.fromkeys([*keys, *ids, vector])).filter(F.col(vector).isNotNull())
     queries = queries.select(*keys, "query_id", "query_vector")
     found = topk.topk_tiled(items, queries, _make(vector), ids, k, keys)
     return found.withColumnRenamed("score", score)

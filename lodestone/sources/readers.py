@@ -163,7 +163,7 @@ def read_class_folders(spark: SparkSession, root: str) -> DataFrame:
     ).filter("split <> ''")
     names = placed.select("class_name").distinct()  # a handful
     numbered = names.withColumn("class_index", F.row_number().over(W.orderBy("class_name")) - 1)
-    return placed.join(F.broadcast(numbered), "class_name")
+    return placed.join(numbered, "class_name")
 
 
 def read_thresholds(spark: SparkSession, path: str, conditions: Sequence[str] = CONDITIONS,

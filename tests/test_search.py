@@ -79,6 +79,12 @@ def test_cells_reach_everything_when_all_are_probed(vectors):
     assert vector_search.recall_at_k(some, exact, ["item"]).first()[0] >= 0.5
 
 
+def test_null_vectors_are_left_out(spark):
+    items = spark.createDataFrame([(1, None), (2, [1.0, 2.0])], "item long, embedding array<double>")
+    queries = spark.createDataFrame([(1, [1.0, 0.0])], "query_id long, query_vector array<double>")
+    assert [r["item"] for r in vector_search.vector_topk(items, queries, ["item"], 5).collect()] == [2]
+
+
 def test_mixed_lengths_are_refused(spark):
     items = spark.createDataFrame([(1, [1.0]), (2, [1.0, 2.0])], "item long, embedding array<double>").coalesce(1)
     queries = spark.createDataFrame([(1, [1.0])], "query_id long, query_vector array<double>")
@@ -170,6 +176,9 @@ def test_rerank(spark):
     got = fusion.rerank(ranked(spark, [20, 10, 30]), texts, queries, ["item"], 2).orderBy("rank").collect()
     assert [(r["item"], r["pair_score"]) for r in got] == [(30, 1.0), (10, 0.5)]
 
+    by_column = fusion.rerank(ranked(spark, [20, 10, 30]), texts, queries, ["item"], 1, -F.length("chunk_text").cast("double"))
+    assert by_column.first()["item"] == 20
+
     def longest():
         return lambda pairs: np.array([len(t) for _, t in pairs], dtype=float)
 
