@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from lodestone.llm.bpe import round_trip_digests
+from lodestone.llm.suffixes import contamination_report
+from lodestone.llm.token_counts import token_counts
 from lodestone.llm.token_files import read_token_digests, write_token_files
 from lodestone.session import fresh_dir
 
@@ -31,3 +35,21 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_dir(spark, "token-files")
     write_token_files(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
     return read_token_digests(spark, path)
+
+
+@query("op2_byte_bpe")
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return round_trip_digests(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
+@query("op8_token_counts")
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    lines = F.split(F.coalesce("text", F.lit("")), "\n", -1)
+    return token_counts(docs, lines, "\n", public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+
+
+@query("op10_decontamination")
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
