@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lodestone.llm.anchors import repeat_report
 from lodestone.llm.bpe import round_trip_digests
 from lodestone.llm.suffixes import contamination_report
 from lodestone.llm.token_counts import token_counts
@@ -53,3 +54,8 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_decontamination")
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op3_anchor_dedup")
+def op3_anchor_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeat_report(table(spark, sf_dir, "documents"))
