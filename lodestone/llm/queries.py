@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from lodestone.llm.anchors import repeat_report
 from lodestone.llm.bpe import round_trip_digests
+from lodestone.llm.near_dups import near_duplicates
 from lodestone.llm.suffixes import contamination_report
 from lodestone.llm.token_counts import token_counts
 from lodestone.llm.token_files import read_token_digests, write_token_files
@@ -59,3 +60,9 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_anchor_dedup")
 def op3_anchor_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeat_report(table(spark, sf_dir, "documents"))
+
+
+@query("op9_near_duplicates")
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(table(spark, sf_dir, "documents"), width=2)
+    return found.select("doc_id", "n_shingles", "component_id", "kept", "class_id")
