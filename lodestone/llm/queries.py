@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.llm.anchors import repeat_report
+from lodestone.llm.bit_slices import topk
 from lodestone.llm.bpe import round_trip_digests
 from lodestone.llm.near_dups import near_duplicates
 from lodestone.llm.suffixes import contamination_report
@@ -66,3 +67,25 @@ def op3_anchor_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"), width=2)
     return found.select("doc_id", "n_shingles", "component_id", "kept", "class_id")
+
+
+OP6_SQL = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), pairs AS (
+    SELECT a.vec_id AS query_id, b.vec_id,
+           list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2]))::BIGINT AS score
+    FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM pairs
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
+@query("op6_bit_sliced_topk", OP6_SQL)
+def op6_bit_sliced_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5)
