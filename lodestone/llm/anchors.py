@@ -175,11 +175,14 @@ class Repeats:
         self.all = materialise(marked.select("doc_id", "n_words", "sha256", F.coalesce(F.col("doc_id") > F.col("smallest"), F.lit(False)).alias("copy")), "anchors-all")
         known = _filter(seen.filter("chunk IS NOT NULL"))
         hits = materialise(_probe(texts.filter("doc_id IS NOT NULL"), known), "anchors-hits")
-        places = hits.join(_shared(hits, "run").select("run"), "run").groupBy("doc_id").agg(F.collect_set("pos").alias("pos"))
+        # Written first, so that Spark deals out both sides of the join anew and can split a run that a third of the rows share.
+        runs = materialise(_shared(hits, "run").select("run"), "anchors-runs")
+        places = hits.join(runs, "run").groupBy("doc_id").agg(F.collect_set("pos").alias("pos"))
         places = places.join(self.all.filter("copy").select("doc_id").distinct(), "doc_id", "left_anti")
         self.near = materialise(texts.join(places, "doc_id"), "anchors-near")
         windows = materialise(_windows(self.near), "anchors-windows")
-        again = windows.join(_shared(windows, "w1", "w2"), ["w1", "w2"]).filter("doc_id > smallest")
+        firsts = materialise(_shared(windows, "w1", "w2"), "anchors-firsts")
+        again = windows.join(firsts, ["w1", "w2"]).filter("doc_id > smallest")
         starts = again.groupBy("doc_id").agg(F.collect_set("pos").alias("starts"))  # no more than the document's words
         self.cut = self.near.drop("pos").dropDuplicates(["doc_id"]).join(starts, "doc_id")
 
