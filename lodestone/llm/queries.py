@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from lodestone.llm.anchors import repeat_report
 from lodestone.llm.bit_slices import topk
 from lodestone.llm.bpe import round_trip_digests
+from lodestone.llm import lsa_votes, warc
 from lodestone.llm.near_dups import near_duplicates
 from lodestone.llm.suffixes import contamination_report
 from lodestone.llm.token_counts import token_counts
@@ -89,3 +90,62 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <=
 @query("op6_bit_sliced_topk", OP6_SQL)
 def op6_bit_sliced_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5)
+
+
+@query("op4_lsa_votes")
+def op4_lsa_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return lsa_votes.score(docs, lsa_votes.fit(docs, table(spark, sf_dir, "labels")))
+
+
+HTTP_HEADERS = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8"
+CRAWL_DATE = "2024-01-01T00:00:00Z"
+
+
+def _sql_text(value: str) -> str:
+    shown = {"\n": "chr(10)", "\r": "chr(13)"}
+    parts = [shown[c] if c in shown else "'" + c.replace("'", "''") + "'" for c in value]
+    return " || ".join(parts) if parts else "''"
+
+
+def _sql_steps(text: str, steps, function: str) -> str:
+    for pattern, with_ in steps:
+        flag = ", 'g'" if function == "regexp_replace" else ""
+        text = f"{function}({text}, '{pattern.replace(chr(39), chr(39) * 2)}', {_sql_text(with_)}{flag})"
+    return text
+
+
+def _op7_sql() -> str:
+    one_line = lambda x: f"trim(regexp_replace({x}, '[ \\t\\r\\n\\f]+', ' ', 'g'))"
+    text = _sql_steps(_sql_steps(_sql_steps("html", warc.TO_TEXT, "regexp_replace"), warc.ENTITIES, "replace"), warc.TIDY, "regexp_replace")
+    title = one_line(_sql_steps(f"regexp_extract(html, '{warc.TITLE}', 1)", warc.ENTITIES, "replace"))
+    nl = "chr(13) || chr(10)"
+    headers = " || ".join(f"'source-header: {h}' || {nl}" for h in HTTP_HEADERS.split("\r\n"))
+    urn = lambda x: f"'<urn:uuid:' || {x}[1:8] || '-' || {x}[9:12] || '-' || {x}[13:16] || '-' || {x}[17:20] || '-' || {x}[21:32] || '>'"
+    return f"""
+    WITH p AS (
+        SELECT coalesce(html, '') AS html, {one_line("coalesce(url, '')")} AS target_uri, coalesce(page_id::VARCHAR, '') || ' ' || coalesce(url, '') AS name FROM pages
+    ), s AS (SELECT *, sha256(name) AS h FROM p), r AS (SELECT *, {urn("h")} AS refers_to FROM s), b AS (
+        SELECT 'metadata' AS warc_type, 'application/warc-fields' AS content_type, refers_to, target_uri,
+               'title: ' || {title} || {nl} || 'lang: ' || {one_line(f"regexp_extract(html, '{warc.LANGUAGE}', 1)")} || {nl}
+               || 'source-payload-digest: sha256:' || sha256(html) || {nl} || 'source-length: ' || strlen(html)::VARCHAR || {nl} || {headers}
+               || array_to_string(list_transform(regexp_extract_all(html, '{warc.LINK}', 1), lambda l: 'outlink: ' || {one_line("l")} || {nl}), '') AS block FROM r
+      UNION ALL
+        SELECT 'conversion', 'text/plain; charset=utf-8', refers_to, target_uri, {text} FROM r
+    ), d AS (SELECT *, sha256(warc_type || ' ' || refers_to) AS i FROM b)
+    SELECT warc_type, {urn("i")} AS record_id, refers_to, target_uri, target_uri AS refers_to_uri, '{CRAWL_DATE}' AS date, '{CRAWL_DATE}' AS refers_to_date,
+           content_type, strlen(block)::BIGINT AS content_length, 'sha256:' || sha256(block) AS block_digest, true AS intact FROM d
+    """
+
+
+@query("op7_warc_derivatives", _op7_sql())
+def op7_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name = F.concat(F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.lit(" "), F.coalesce("url", F.lit("")))
+    responses = table(spark, sf_dir, "pages").select(
+        warc.urn(F.sha2(name, 256)).alias("record_id"), F.col("url").alias("target_uri"), F.lit(CRAWL_DATE).alias("date"),
+        F.lit(HTTP_HEADERS).alias("http_headers"), F.col("html").alias("payload"),
+    )
+    path = fresh_dir(spark, "warc")
+    warc.write_warc(warc.derivatives(responses), path)
+    records = warc.read_warc(spark, path)
+    return records.withColumn("intact", F.col("block_digest") == warc.sha256(F.col("block"))).drop("block")
