@@ -8,10 +8,12 @@ other coordinates are skipped and only looked up for pairs that have met.
 Pairs go on with enough matching coordinates and minimum hashes, and are
 confirmed on the full shingle sets.
 
-A list never gives all its pairs.  Each has a leader, picked by a hash so that
-the lists of one group have many; members are first held against leaders, the
-best one first, which joins most of a group however large it is.  Only lists
-that then still hold several components are compared within, in tiles, and only
+A list never gives all its pairs.  In a round each list that still holds several
+components has a leader, the member with the smallest id under the round's
+mask, so that the lists of one group mostly have the same; a member of another
+component is held against the best of its leaders.  That joins most of a group,
+however large it is, with a few pairs per document.  Only lists that hold several
+components even after the last round are compared within, in tiles, and only
 across components.  A link that this leaves out joins what is already joined.
 
 At a similarity of exactly 0.8 a coordinate matches with probability 0.512; a
@@ -44,7 +46,7 @@ BASE_MATCHES = 58  # of the minimum hashes
 PREFIX = COORDINATES - MATCHES + 1
 SIMILAR = 80  # per cent
 TILE = 2_000
-BEST_ROUNDS = 2  # rounds in which a document is held against one leader only
+MASKS = [0, *np.random.default_rng(0x1EAD).integers(0, 1 << 62, 3).tolist()]  # a round each; the first picks the smallest id
 
 SKETCH = "doc_id long, n_shingles long, e1 long, e2 long, base binary"
 ODD = np.random.default_rng(0x5EED).integers(0, 1 << 63, COORDINATES * PER_COORDINATE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -126,9 +128,24 @@ def _promising(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) ->
     return size & (coordinates >= MATCHES) & (matches >= BASE_MATCHES), matches
 
 
-def _leader_pairs(shared: DataFrame, leaders: DataFrame, reps: DataFrame) -> DataFrame:
-    """(a, b, matches): documents and the leaders of their lists, if they can be similar."""
-    pairs = shared.join(leaders, "key").filter("doc_id <> leader").select(F.col("doc_id").alias("a"), F.col("leader").alias("b")).distinct()
+def _labelled(shared: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """(key, doc_id, label) of the lists that hold several components."""
+    rows = shared.withColumn("label", F.col("doc_id"))
+    if labels is None:
+        return rows
+    rows = materialise(relabel(rows, "label", labels), "near-labelled")
+    mixed = rows.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi")
+    return materialise(rows.join(materialise(mixed.select("key"), "near-mixed"), "key"), "near-labelled")
+
+
+def _leader_pairs(rows: DataFrame, mask: int, reps: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """(a, b, matches): documents and the leaders of their lists, of other components, if they can be similar."""
+    masked = F.col("doc_id").bitwiseXOR(F.lit(mask))
+    leaders = materialise(rows.groupBy("key").agg(F.min(masked).alias("masked")).select("key", F.col("masked").bitwiseXOR(F.lit(mask)).alias("b")), "near-leaders")
+    pairs = rows.join(leaders, "key").filter("doc_id <> b").select(F.col("doc_id").alias("a"), "b", F.col("label").alias("la")).distinct()
+    if labels is not None:
+        pairs = relabel(pairs.withColumn("lb", F.col("b")), "lb", labels).filter("la <> lb").drop("lb")
+    pairs = pairs.drop("la")
     for c in ("a", "b"):
         pairs = pairs.join(reps.select(F.col("doc_id").alias(c), F.col("n_shingles").alias(f"n{c}"), F.col("base").alias(f"base_{c}")), c)
 
@@ -174,11 +191,9 @@ def _sets(texts: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
 
 def _across(shared: DataFrame, reps: DataFrame, labels: DataFrame | None) -> DataFrame:
     """Pairs that can be similar, of lists that hold several components, across components."""
-    rows = shared.withColumn("label", F.col("doc_id"))
-    rows = rows if labels is None else relabel(rows, "label", labels)
-    rows = materialise(rows, "near-labelled")
-    mixed = rows.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n")).filter("lo <> hi")
-    rows = rows.join(mixed.select("key", F.ceil(F.col("n") / TILE).cast("int").alias("tiles")), "key")
+    rows = _labelled(shared, labels)
+    tiles = rows.groupBy("key").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
+    rows = rows.join(materialise(tiles, "near-tiles"), "key")
     rows = rows.join(reps.select("doc_id", "n_shingles", "base"), "doc_id")
     own = F.pmod(F.xxhash64("doc_id"), F.col("tiles")).cast("int")
     # Each pair of a list's tiles is a group; a tile is in as many groups as the list has tiles.
@@ -220,29 +235,17 @@ def near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
     reps = materialise(sketched.join(members.filter("doc_id = class_id").select("doc_id"), "doc_id").select("doc_id", "n_shingles", "base"), "near-reps")
 
     postings = _postings(reps)
-    # the member with the smallest id under the list's own mask
-    mask = F.xxhash64("key").bitwiseAND(F.lit((1 << 62) - 1))
-    lists = postings.groupBy("key").agg(F.count("*").alias("n"), F.min(F.col("doc_id").bitwiseXOR(mask)).alias("masked")).filter("n > 1")
-    leaders = materialise(lists.select("key", F.col("masked").bitwiseXOR(mask).alias("leader")), "near-leaders")
-    shared = materialise(postings.join(leaders.select("key"), "key"), "near-shared")
+    lists = materialise(postings.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key"), "near-lists")
+    shared = materialise(postings.join(lists, "key"), "near-shared")
     sets = materialise(_sets(texts, shared.select("doc_id").distinct(), width), "near-sets")
-    pairs = materialise(_leader_pairs(shared, leaders, reps), "near-pairs")
 
     labels = None
-    for best_only in [True] * BEST_ROUNDS + [False]:
-        if labels is not None:
-            for c in ("a", "b"):
-                pairs = relabel(pairs.withColumn(f"l{c}", F.col(c)), f"l{c}", labels)
-            pairs = materialise(pairs.filter("la <> lb").drop("la", "lb"), "near-left")
-        now = pairs.select("a", "b")
-        if best_only:
-            now = pairs.groupBy("a").agg(F.max(F.col("matches").cast("long") * (1 << 40) + F.pmod(F.xxhash64("b"), F.lit(1 << 40))).alias("top"))
-            chosen = F.col("matches").cast("long") * (1 << 40) + F.pmod(F.xxhash64("b"), F.lit(1 << 40)) == F.col("top")
-            now = materialise(pairs.join(now, "a").filter(chosen).select("a", "b"), "near-best")
-            pairs = pairs.join(now, ["a", "b"], "left_anti")
-        else:
-            now = now.unionByName(_across(shared, reps, labels)).distinct()
-        labels = contract(_confirmed(now, sets), labels)
+    for mask in MASKS:
+        pairs = materialise(_leader_pairs(_labelled(shared, labels), mask, reps, labels), "near-pairs")
+        rank = F.col("matches").cast("long") * (1 << 40) + F.pmod(F.xxhash64("b"), F.lit(1 << 40))
+        best = pairs.groupBy("a").agg(F.max(rank).alias("top"))
+        labels = contract(_confirmed(pairs.join(best, "a").filter(rank == F.col("top")).select("a", "b"), sets), labels)
+    labels = contract(_confirmed(_across(shared, reps, labels).distinct(), sets), labels)
 
     found = members if labels is None else relabel(members.withColumn("component_id", F.col("class_id")), "component_id", labels)
     found = found.withColumn("component_id", F.col("class_id")) if labels is None else found
