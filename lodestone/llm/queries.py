@@ -10,6 +10,7 @@ from lodestone.llm.anchors import repeat_report
 from lodestone.llm.bit_slices import topk
 from lodestone.llm.bpe import round_trip_digests
 from lodestone.llm import lsa_votes, warc
+from lodestone.llm.mixing_lm import mixing_scores
 from lodestone.llm.near_dups import near_duplicates
 from lodestone.llm.suffixes import contamination_report
 from lodestone.llm.token_counts import token_counts
@@ -149,3 +150,8 @@ def op7_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     warc.write_warc(warc.derivatives(responses), path)
     records = warc.read_warc(spark, path)
     return records.withColumn("intact", F.col("block_digest") == warc.sha256(F.col("block"))).drop("block")
+
+
+@query("op5_mixing_lm")
+def op5_mixing_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing_scores(table(spark, sf_dir, "documents"))

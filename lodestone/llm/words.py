@@ -68,6 +68,17 @@ def powers(base: int, n: int) -> np.ndarray:
     return np.cumprod(out)
 
 
+def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
+    """Two hashes of the bytes of each span; spans mustn't be empty."""
+    if not len(starts):
+        return [np.zeros(0, np.uint64) for _ in BASES]
+    lengths = ends - starts
+    where = np.cumsum(lengths) - lengths
+    value = data[ranges(starts, lengths)].astype(np.uint64) + np.uint64(1)
+    place = np.arange(len(value), dtype=np.int64) - np.repeat(where, lengths)
+    return [mix(np.add.reduceat(value * powers(base, int(lengths.max()))[place], where)) for base in BASES]
+
+
 def each_slice(texts: pa.Array, separators: np.ndarray, lower: bool) -> Iterator[Words]:
     """The words of a column, some rows at a time."""
     everything, at = buffers(texts)
@@ -84,15 +95,7 @@ def each_slice(texts: pa.Array, separators: np.ndarray, lower: bool) -> Iterator
         after[:-1] = inside[1:]
         starts = np.flatnonzero(inside & (~before | edge[:-1]))
         ends = np.flatnonzero(inside & (~after | edge[1:])) + 1
-        lengths = ends - starts
-        where = np.cumsum(lengths) - lengths
-        value = data[ranges(starts, lengths)].astype(np.uint64) + np.uint64(1)
-        place = np.arange(len(value), dtype=np.int64) - np.repeat(where, lengths)
-        hashes = []
-        for base in BASES:
-            power = powers(base, int(lengths.max()) if len(lengths) else 0)
-            hashes.append(mix(np.add.reduceat(value * power[place], where)) if len(starts) else np.zeros(0, np.uint64))
-        yield Words((lo, hi), data, starts, ends, np.searchsorted(starts, bounds), *hashes)
+        yield Words((lo, hi), data, starts, ends, np.searchsorted(starts, bounds), *hash_spans(data, starts, ends))
 
 
 def rolling(h: np.ndarray, width: int, family: int = 0) -> np.ndarray:
