@@ -1,7 +1,7 @@
 """Operator 9: near-duplicates by an inverted join on signature coordinates.
 
 Texts with equal shingle sets are one class, and its smallest document stands
-for it.  A signature has 96 minimum hashes, three to a coordinate.  A document is
+for it.  A signature has 224 minimum hashes; the first 96 are three to a coordinate.  A document is
 posted under each coordinate-value pair of a prefix; documents that share at
 least MATCHES of the coordinates must meet in the prefix, so the lists of the
 other coordinates are skipped and only looked up for pairs that have met.
@@ -18,7 +18,7 @@ across components.  A link that this leaves out joins what is already joined.
 
 At a similarity of exactly 0.8 a coordinate matches with probability 0.512; a
 pair then has fewer than MATCHES of 32 with a chance under 1e-6, and fewer than
-BASE_MATCHES of 96 minimum hashes with one of about 1e-6.
+BASE_MATCHES of the 224 minimum hashes with one of about 3e-6.
 
 Cases: a text without words has no shingles, no links, and is kept; a text with
 fewer words than a shingle is one shingle; a null doc_id takes no part and is
@@ -41,15 +41,16 @@ from lodestone.llm.words import BLANKS, Words, each_slice, mix, rolling
 from lodestone.session import materialise
 
 COORDINATES, PER_COORDINATE = 32, 3
+MORE = 128  # minimum hashes beside those of the coordinates
 MATCHES = 4  # of the coordinates
-BASE_MATCHES = 58  # of the minimum hashes
+BASE_MATCHES = 151  # of all 224 minimum hashes
 PREFIX = COORDINATES - MATCHES + 1
 SIMILAR = 80  # per cent
 TILE = 2_000
 MASKS = [0, *np.random.default_rng(0x1EAD).integers(0, 1 << 62, 3).tolist()]  # a round each; the first picks the smallest id
 
 SKETCH = "doc_id long, n_shingles long, e1 long, e2 long, base binary"
-ODD = np.random.default_rng(0x5EED).integers(0, 1 << 63, COORDINATES * PER_COORDINATE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+ODD = np.random.default_rng(0x5EED).integers(0, 1 << 63, COORDINATES * PER_COORDINATE + MORE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def _shingle_sets(words: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -67,7 +68,7 @@ def _shingle_sets(words: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _coordinates(base: np.ndarray) -> np.ndarray:
     """Rows of minimum hashes to rows of coordinate values."""
-    parts = base.reshape(len(base), COORDINATES, PER_COORDINATE).astype(np.uint64)
+    parts = base[:, : COORDINATES * PER_COORDINATE].reshape(len(base), COORDINATES, PER_COORDINATE).astype(np.uint64)
     out = np.zeros(parts.shape[:2], np.uint64)
     for k in range(PER_COORDINATE):
         out = mix(out ^ (parts[:, :, k] + np.uint64((k + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)))
@@ -119,13 +120,13 @@ def _postings(reps: DataFrame) -> DataFrame:
     return reps.select("doc_id", "base").mapInArrow(post, "key long, doc_id long")
 
 
-def _promising(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(whether pairs can be similar, their matching minimum hashes)."""
+def _promising(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> np.ndarray:
+    """Whether pairs can be similar."""
     same = a == b
     matches = same.sum(axis=1)
-    coordinates = same.reshape(len(a), COORDINATES, PER_COORDINATE).all(axis=2).sum(axis=1)
+    coordinates = same[:, : COORDINATES * PER_COORDINATE].reshape(len(a), COORDINATES, PER_COORDINATE).all(axis=2).sum(axis=1)
     size = 100 * np.minimum(na, nb) >= SIMILAR * np.maximum(na, nb)
-    return size & (coordinates >= MATCHES) & (matches >= BASE_MATCHES), matches
+    return size & (coordinates >= MATCHES) & (matches >= BASE_MATCHES)
 
 
 def _labelled(shared: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -139,22 +140,25 @@ def _labelled(shared: DataFrame, labels: DataFrame | None) -> DataFrame:
 
 
 def _leader_pairs(rows: DataFrame, mask: int, reps: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """(a, b, matches): documents and the leaders of their lists, of other components, if they can be similar."""
+    """(a, b): each document and the leader it meets most often, of another component, if they can be similar."""
     masked = F.col("doc_id").bitwiseXOR(F.lit(mask))
     leaders = materialise(rows.groupBy("key").agg(F.min(masked).alias("masked")).select("key", F.col("masked").bitwiseXOR(F.lit(mask)).alias("b")), "near-leaders")
-    pairs = rows.join(leaders, "key").filter("doc_id <> b").select(F.col("doc_id").alias("a"), "b", F.col("label").alias("la")).distinct()
+    pairs = rows.join(leaders, "key").filter("doc_id <> b").groupBy(F.col("doc_id").alias("a"), "b", F.col("label").alias("la")).agg(F.count("*").alias("n"))
     if labels is not None:
         pairs = relabel(pairs.withColumn("lb", F.col("b")), "lb", labels).filter("la <> lb").drop("lb")
-    pairs = pairs.drop("la")
+    # the leader of most of a document's lists
+    rank = F.col("n") * (1 << 40) + F.pmod(F.xxhash64("b"), F.lit(1 << 40))
+    pairs = materialise(pairs.select("a", "b", rank.alias("rank")), "near-met")
+    pairs = pairs.join(pairs.groupBy("a").agg(F.max("rank").alias("rank")), ["a", "rank"]).drop("rank")
     for c in ("a", "b"):
         pairs = pairs.join(reps.select(F.col("doc_id").alias(c), F.col("n_shingles").alias(f"n{c}"), F.col("base").alias(f"base_{c}")), c)
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
-            good, matches = _promising(_base(x["base_a"]), _base(x["base_b"]), x["na"].to_numpy(), x["nb"].to_numpy())
-            yield pa.RecordBatch.from_arrays([x["a"], x["b"], pa.array(matches.astype(np.int32))], ["a", "b", "matches"]).filter(pa.array(good))
+            good = _promising(_base(x["base_a"]), _base(x["base_b"]), x["na"].to_numpy(), x["nb"].to_numpy())
+            yield pa.RecordBatch.from_arrays([x["a"], x["b"]], ["a", "b"]).filter(pa.array(good))
 
-    return pairs.mapInArrow(match, "a long, b long, matches int")
+    return pairs.mapInArrow(match, "a long, b long")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -215,7 +219,7 @@ def _across(shared: DataFrame, reps: DataFrame, labels: DataFrame | None) -> Dat
                 continue
             # a pair is this list's if no earlier coordinate of the prefix has it
             j = j[keys[i][np.argmax(keys[j] == keys[i], axis=1)] == key]
-            good, _ = _promising(np.broadcast_to(base[i], (len(j), base.shape[1])), base[j], np.full(len(j), n[i]), n[j])
+            good = _promising(np.broadcast_to(base[i], (len(j), base.shape[1])), base[j], np.full(len(j), n[i]), n[j])
             out[0].append(np.full(int(good.sum()), ids[i]))
             out[1].append(ids[j[good]])
         a, b = (np.concatenate([ids[:0], *x]) for x in out)
@@ -241,10 +245,8 @@ def near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
 
     labels = None
     for mask in MASKS:
-        pairs = materialise(_leader_pairs(_labelled(shared, labels), mask, reps, labels), "near-pairs")
-        rank = F.col("matches").cast("long") * (1 << 40) + F.pmod(F.xxhash64("b"), F.lit(1 << 40))
-        best = pairs.groupBy("a").agg(F.max(rank).alias("top"))
-        labels = contract(_confirmed(pairs.join(best, "a").filter(rank == F.col("top")).select("a", "b"), sets), labels)
+        pairs = _leader_pairs(_labelled(shared, labels), mask, reps, labels)
+        labels = contract(_confirmed(pairs, sets), labels)
     labels = contract(_confirmed(_across(shared, reps, labels).distinct(), sets), labels)
 
     found = members if labels is None else relabel(members.withColumn("component_id", F.col("class_id")), "component_id", labels)
