@@ -235,7 +235,8 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     copies = found.all.filter("copy").select(F.col("doc_id").alias("_id"), F.lit("").alias("_text")).distinct()
     changed = found.cut.mapInArrow(texts, "_id long, _text string").unionByName(copies)
     joined = docs.join(changed, docs["doc_id"].cast("long") == changed["_id"], "left")
-    new = {"text": F.when(F.col("_id").isNotNull(), F.col("_text")).otherwise(docs["text"])}
+    hit = changed["_id"].isNotNull()
+    new = {"text": F.when(hit, changed["_text"]).otherwise(docs["text"])}
     if "n_chars" in docs.columns:
-        new["n_chars"] = F.when(F.col("_id").isNotNull(), F.length("_text")).otherwise(docs["n_chars"]).cast(docs.schema["n_chars"].dataType)
+        new["n_chars"] = F.when(hit, F.length(changed["_text"])).otherwise(docs["n_chars"]).cast(docs.schema["n_chars"].dataType)
     return joined.select(*[new[c].alias(c) if c in new else docs[c] for c in docs.columns])

@@ -34,6 +34,7 @@ from lodestone.llm.words import NOT_ALNUM, Words, each_slice
 from lodestone.session import materialise
 
 WINDOW = 13
+SEEN = "_found in earlier blocks"  # a column between passes
 SHARE = 20  # contaminated: 20 * n_hit >= n_words
 BLOCK_BYTES = 16 << 20  # of benchmark texts sent to the tasks at once
 REPORT = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
@@ -141,7 +142,7 @@ def _scan(docs: DataFrame, benchmark: DataFrame, text_col: str, last) -> DataFra
     schema, finish = last
     blocks = [Suffixes.of([], [])]
     blocks = list(_blocks(benchmark)) or blocks
-    found = T.StructType([*docs.schema, T.StructField("_seen", T.BinaryType())])
+    found = T.StructType([*docs.schema, T.StructField(SEEN, T.BinaryType())])
     for k, block in enumerate(blocks):
         held = spark.sparkContext.broadcast(vars(block))
         final = k == len(blocks) - 1
@@ -151,14 +152,14 @@ def _scan(docs: DataFrame, benchmark: DataFrame, text_col: str, last) -> DataFra
 
             for batch in batches:
                 names = batch.schema.names
-                before = batch["_seen"].to_pylist() if "_seen" in names else [None] * batch.num_rows
+                before = batch[SEEN].to_pylist() if SEEN in names else [None] * batch.num_rows
                 rows = [pickle.loads(x) if x else ([], set(), 0) for x in before]
                 _mark(batch[text_col], Suffixes(**held.value), rows)
-                plain = batch.select([n for n in names if n != "_seen"])
+                plain = batch.select([n for n in names if n != SEEN])
                 if final:
                     yield from finish(plain, rows)
                 else:
-                    yield pa.RecordBatch.from_arrays([*plain.columns, pa.array([pickle.dumps(r) for r in rows], pa.binary())], [*plain.schema.names, "_seen"])
+                    yield pa.RecordBatch.from_arrays([*plain.columns, pa.array([pickle.dumps(r) for r in rows], pa.binary())], [*plain.schema.names, SEEN])
 
         docs = docs.mapInArrow(scan, schema if final else found)
         if not final:
