@@ -15,10 +15,10 @@ def word_chunks(text: Column, size: int) -> Column:
     """Whole words packed up to ``size`` characters; a longer word stands alone.
 
     The regex takes the longest run that ends at a space or at the end, which
-    is greedy packing, and stays in the JVM.
+    is greedy packing, and stays in the JVM.  A lone word takes the space behind it.
     """
     single_spaced = F.when(F.contains(text, F.lit("  ")), F.regexp_replace(text, " +", " ")).otherwise(text)
-    runs = F.regexp_extract_all(single_spaced, F.lit(rf"(?s)(.{{1,{size}}})(?: |\z)|([^ ]+)"), F.lit(0))
+    runs = F.regexp_extract_all(single_spaced, F.lit(rf"(?s)(.{{1,{size}}})(?: |\z)|([^ ]+ ?)"), F.lit(0))
     return F.filter(F.transform(runs, strip_ws), lambda c: c != "")
 
 

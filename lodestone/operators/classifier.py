@@ -63,7 +63,7 @@ def multi_hot_long(df: DataFrame, item_id: str, conditions: Sequence[str] = COND
 
 def split_findings(df: DataFrame, findings: str = "findings") -> tuple[DataFrame, DataFrame]:
     """(rows with a finding, rows without)."""
-    none = F.col(findings) == NO_FINDING
+    none = F.col(findings).eqNullSafe(NO_FINDING)  # an unknown finding isn't none
     return df.filter(~none), df.filter(none)
 
 
@@ -190,13 +190,16 @@ def roc_steps(scored: DataFrame, by: Sequence[str] = ("condition",)) -> DataFram
 
 
 def roc_points(steps: DataFrame, by: Sequence[str] = ("condition",)) -> DataFrame:
-    """(condition, score, fpr, tpr) of classes that have both labels; (0, 0) is implied."""
-    return steps.filter("p > 0 AND n > 0").select(
+    """(condition, score, fpr, tpr) of classes that have both labels; each curve starts at (0, 0), without a score."""
+    both = steps.filter("p > 0 AND n > 0")
+    points = both.select(
         *by,
         "score",
         settled(F.col("fp") / F.col("n"), DIGITS).alias("fpr"),
         settled(F.col("tp") / F.col("p"), DIGITS).alias("tpr"),
     )
+    origin = both.select(*by).distinct().select(*by, F.lit(None).cast("double").alias("score"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
+    return union_all(points, origin)
 
 
 def roc_auc(steps: DataFrame, by: Sequence[str] = ("condition",)) -> DataFrame:

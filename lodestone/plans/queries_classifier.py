@@ -140,7 +140,7 @@ st AS MATERIALIZED (
   FROM g WINDOW w AS (PARTITION BY condition ORDER BY score DESC))"""
 
 
-@query("roc_points", f"WITH {STEPS_SQL} SELECT condition, score, round(fp::DOUBLE / n + 1e-9, 6) AS fpr, round(tp::DOUBLE / p + 1e-9, 6) AS tpr FROM st")
+@query("roc_points", f"WITH {STEPS_SQL} SELECT condition, score, round(fp::DOUBLE / n + 1e-9, 6) AS fpr, round(tp::DOUBLE / p + 1e-9, 6) AS tpr FROM st UNION ALL SELECT DISTINCT condition, NULL, 0.0::DOUBLE, 0.0::DOUBLE FROM st")
 def roc_points(spark, sf):
     return cl.roc_points(cl.roc_steps(label_scores(spark, sf)))
 

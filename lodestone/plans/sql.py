@@ -32,7 +32,7 @@ def word_chunks(size: int, name: str = "chunks") -> str:
     return rf"""
 {name}_p AS (
   SELECT id, title, lang, list_filter(list_transform(
-      regexp_extract_all(regexp_replace(combined_text, ' +', ' ', 'g'), '(?s)(.{{1,{size}}})(?: |\z)|([^ ]+)'),
+      regexp_extract_all(regexp_replace(combined_text, ' +', ' ', 'g'), '(?s)(.{{1,{size}}})(?: |\z)|([^ ]+ ?)'),
       lambda c: regexp_replace(c, {WS})), lambda c: c <> '') AS cs FROM clean),
 {name} AS MATERIALIZED (
   SELECT id AS doc_id, title, lang, (generate_subscripts(cs, 1) - 1)::INTEGER AS chunk_index,

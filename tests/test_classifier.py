@@ -219,3 +219,12 @@ def test_class_matrix_and_bands(spark):
     assert got == {("x", "x"): (2, 0.666667), ("x", "y"): (1, 0.333333), ("y", "y"): (1, 1.0)}
     bands = spark.createDataFrame([(0.8,), (0.7,), (0.69,)], "auc double").select(cl.auc_band(F.col("auc")))
     assert [r[0] for r in bands.collect()] == ["good", "fair", "weak"]
+
+
+def test_unknown_findings_are_kept(spark):
+    from lodestone.operators.classifier import downsample_majority, split_findings
+
+    rows = spark.createDataFrame([(1, "Mass"), (2, None), (3, "No Finding"), (4, "No Finding"), (5, "No Finding")], "item_id long, findings string")
+    positive, negative = split_findings(rows)
+    assert ({r.item_id for r in positive.collect()}, negative.count()) == ({1, 2}, 3)
+    assert downsample_majority(rows, "item_id").count() == 4

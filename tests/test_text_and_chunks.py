@@ -78,6 +78,7 @@ def packed(text, size):
 
 
 @pytest.mark.parametrize("text", [
+    "xxxxxx ab cd", "ab xxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxx cd ef",
     "aaa bb c dddd eeeeeeeeeeeeeeeeeeee ff", "  double  spaced   text here ", "", "x" * 40, "one\ntwo three\nfour five six",
     "ends with newline\n", "exactly10c exactly10c", "é à ü ß œ " * 9,
 ])
