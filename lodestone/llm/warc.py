@@ -17,6 +17,7 @@ table gives no records; other columns are ignored.
 from __future__ import annotations
 
 from functools import reduce
+from html.entities import html5, name2codepoint
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +39,15 @@ TIDY = [(r"[ \t\r\f]+", " "), (r" ?\n ?", "\n"), (r"\n+", "\n"), (r"^[ \n]+|[ \n
 TITLE = r"(?is)<title\b[^>]*>(.*?)</title\s*>"
 LANGUAGE = r'(?i)<html\b[^>]*\blang="([^"]*)"'
 LINK = r'(?i)<a\b[^>]*\bhref="([^"]*)"'
+# ENTITIES, LANGUAGE and LINK are what the registered SQL states; the records follow HTML's own rules below
+
+# name, with its semicolon if it needs one -> text; a no-break space is a blank, as in ENTITIES.  A look-up goes
+# through them in order, so the names of old, which are the common ones, stand first
+COMMON = dict.fromkeys(["nbsp;", "amp;", "lt;", "gt;", "quot;", "copy;", "middot;", *(f"{n}{e}" for e in (";", "") for n in name2codepoint)])
+NAMED = {n: html5[n] for n in [*(n for n in COMMON if n in html5), *(n for n in html5 if n not in COMMON)]} | {"nbsp;": " ", "nbsp": " "}
+BARE = "|".join(sorted((n for n in NAMED if n[-1] != ";"), key=lambda n: (-len(n), n)))  # the longest first
+NUMBERED = {0xA0: " "} | {b: bytes([b]).decode("cp1252", "ignore") or chr(b) for b in range(0x80, 0xA0)}
+VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)"""  # of an attribute
 
 HEADER_FIELDS = {
     "warc_type": "WARC-Type", "record_id": "WARC-Record-ID", "refers_to": "WARC-Refers-To", "refers_to_uri": "WARC-Refers-To-Target-URI",
@@ -50,8 +60,47 @@ def _replaced(text: Column, steps: list[tuple[str, str]]) -> Column:
     return reduce(lambda x, s: F.regexp_replace(x, s[0], F.lit(s[1])), steps, text)
 
 
+def _table(values: dict) -> Column:
+    """A map literal."""
+    return F.str_to_map(F.lit("\x02".join(f"{k}\x01{v}" for k, v in values.items())), F.lit("\x02"), F.lit("\x01"))
+
+
+def _code_point(digits: Column, base: int, most: int) -> Column:
+    """The character of a number; what is none becomes the replacement character."""
+    short = F.regexp_replace(digits, "^0+", "")
+    code = F.when(F.length(short).between(1, most), F.conv(short, base, 10).cast("long"))
+    real = (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+    char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    return F.when(real, F.coalesce(F.try_element_at(_table(NUMBERED), code.cast("string")), char)).otherwise(F.lit("\ufffd"))
+
+
+def _reference(rest: Column) -> Column:
+    """What stands behind an ampersand, decoded: named, decimal and hexadecimal references, and old names without semicolon."""
+    stop = F.instr(rest, ";")
+    named = F.try_element_at(_table(NAMED), F.substr(rest, F.lit(1), stop))
+    behind = lambda pattern: F.regexp_replace(rest, pattern, "")
+    decimal, hexadecimal = F.regexp_extract(rest, r"^#([0-9]+)", 1), F.regexp_extract(rest, r"^#[xX]([0-9a-fA-F]+)", 1)
+    number = (
+        F.when(decimal != "", F.concat(_code_point(decimal, 10, 7), behind(r"^#[0-9]+;?")))
+        .when(hexadecimal != "", F.concat(_code_point(hexadecimal, 16, 6), behind(r"^#[xX][0-9a-fA-F]+;?")))
+    )
+    bare = F.concat(F.try_element_at(_table(NAMED), F.regexp_extract(rest, f"^(?:{BARE})", 0)), behind(f"^(?:{BARE})"))
+    name = F.coalesce(F.concat(named, F.substr(rest, stop + 1)), bare)
+    return F.coalesce(F.when(F.startswith(rest, F.lit("#")), number).otherwise(name), F.concat(F.lit("&"), rest))
+
+
 def _entities(text: Column) -> Column:
-    return reduce(lambda x, e: F.replace(x, F.lit(e[0]), F.lit(e[1])), ENTITIES, text)
+    """Each reference decoded once, so what an ampersand's reference gives is text."""
+    parts = F.transform(F.split(text, "&", -1), lambda part, i: F.when(i == 0, part).otherwise(_reference(part)))
+    return F.array_join(parts, "")
+
+
+def attributes(html: Column, tag: str, name: str) -> Column:
+    """Values of a tag's first attribute of a name, in double quotes, single quotes or none."""
+    before = rf"(?:[\s/]++|=|(?!{name}\s*+=)[^\s/>=]++(?:\s*+=\s*+{VALUE}?+)?+)*+"
+    found = F.regexp_extract_all(html, F.lit(rf"(?i)<{tag}(?=[\s/]){before}{name}\s*+=\s*+({VALUE})"), F.lit(1))
+    quoted = lambda v: F.substr(v, F.lit(1), F.lit(1)).isin('"', "'")
+    return F.transform(found, lambda v: F.when(quoted(v), F.substr(v, F.lit(2), F.length(v) - 2)).otherwise(v))
 
 
 def plain_text(html: Column) -> Column:
@@ -83,11 +132,11 @@ def derivatives(responses: DataFrame) -> DataFrame:
     sources = F.filter(F.split("http_headers", r"\r?\n"), lambda h: F.trim(h) != "")
     metadata = F.concat(
         field("title", one_line(_entities(F.regexp_extract("html", TITLE, 1)))),
-        field("lang", one_line(F.regexp_extract("html", LANGUAGE, 1))),
+        field("lang", one_line(F.get(attributes(F.col("html"), "html", "lang"), F.lit(0)))),
         field("source-payload-digest", sha256(F.col("html"))),
         field("source-length", F.octet_length("html").cast("string")),
         many("source-header", sources),
-        many("outlink", F.regexp_extract_all("html", F.lit(LINK), F.lit(1))),
+        many("outlink", attributes(F.col("html"), "a", "href")),
     )
     kinds = F.array(
         F.struct(F.lit("metadata").alias("warc_type"), F.lit("application/warc-fields").alias("content_type"), metadata.alias("block")),

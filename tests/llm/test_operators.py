@@ -258,6 +258,27 @@ def test_warc_round_trip(spark):
     assert warc.derivatives(responses.limit(0)).count() == 0
 
 
+def test_warc_references_and_attributes(spark):
+    references = [
+        "&copy;&middot;&hellip;", "&#8217;&#xE9;&#X1F600;", "&copy 2024 &ampx &notit; &notin;", "&amp;lt; &amp;#65;", "&#128;&#x9f;", "&#0;&#xD800;&#x110000;&#99999999999999999999;",
+        "a && b &nosuch; &; &#; &#x; &", "&#0000065;&#x000041;", "&NotEqualTilde;&fjlig;", "x&nbsp;&#160;&#xa0;y",
+    ]
+    want = [
+        "©·…", "’é😀", "© 2024 &x ¬it; ∉", "&lt; &#65;", "€Ÿ", "\ufffd" * 4,
+        "a && b &nosuch; &; &#; &#x; &", "AA", "≂̸fj", "x y",
+    ]
+    html = "<HTML class=x lang='de-AT'><title>" + references[0] + "</title><p>" + "<p>".join(references) + "<p>"
+    links = """<a href='/single'>1</a><A class=b HREF=/bare?x=1&y=2 id=k>2</A><a title="x > y" href = "/late">3</a><a data-href="/no">4</a><a
+    href="/it's">5</a><abbr href="/no">6</abbr><a href>7</a><a name='href="/no"' href=/yes/>8</a>"""
+    rows = [("<urn:uuid:1>", "u", "d", "", html + links), ("<urn:uuid:2>", "u", "d", "", "<p>none")]
+    records = warc.derivatives(spark.createDataFrame(rows, "record_id string, target_uri string, date string, http_headers string, payload string"))
+    blocks = {(r.refers_to[-2], r.warc_type): r.block for r in records.collect()}
+    assert blocks["1", "conversion"].split("\n")[: len(want)] == want
+    meta = blocks["1", "metadata"].split("\r\n")
+    assert "title: ©·…" in meta and "lang: de-AT" in meta and "lang: " in blocks["2", "metadata"].split("\r\n")
+    assert [m[9:] for m in meta if m.startswith("outlink: ")] == ["/single", "/bare?x=1&y=2", "/late", "/it's", "/yes/"]
+
+
 def test_quality_votes(spark, none):
     good = [(i, " ".join(f"word{(i * 7 + k) % 90} is" for k in range(40)) + ".") for i in range(200)]
     bad = [(1000 + i, " ".join(f"WORD{(i * 5 + k) % 90}!!" for k in range(40))) for i in range(60)]
