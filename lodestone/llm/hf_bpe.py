@@ -30,14 +30,39 @@ def _places(piece: str, sizes: list[int]) -> tuple[list[int], list[int]]:
     return begin, end
 
 
-def encoder(path: str, pattern: str, offsets: bool = False) -> UnitEncoder:
-    """The worker's encoder for a vocabulary file."""
+def _cutter(tokens: list, split):
+    """Cuts texts at added tokens first, the longest of those that begin together, then what lies between by ``split``."""
+    passes = []
+    for normalized in (False, True):  # the library's order
+        names = sorted((t for t in tokens if t.normalized == normalized), key=lambda t: -len(t.content))
+        if names:
+            passes.append(regex.compile("(" + "|".join(r"\s*" * t.lstrip + regex.escape(t.content) + r"\s*" * t.rstrip for t in names) + ")").split)
+
+    def cut(text: str) -> list[str]:
+        between, found = [text], [False]
+        for at_tokens in passes:
+            parts = [[x] if f else at_tokens(x) for x, f in zip(between, found)]
+            found = [f or i % 2 == 1 for p, f in zip(parts, found) for i in range(len(p))]
+            between = [x for p in parts for x in p]
+        return [x for part, f in zip(between, found) for x in ([part] if f else split(part))]
+
+    return cut
+
+
+def encoder(path: str, pattern: str, offsets: bool = False, encode_special_tokens: bool = True) -> UnitEncoder:
+    """The worker's encoder for a vocabulary file.
+
+    encode_special_tokens: as the library has it; special tokens in a text are spelled out, else each has its own id.
+    """
 
     def make() -> UnitEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
+        added = {t.content: (i, t) for i, t in tokenizer.get_added_tokens_decoder().items() if not (t.special and encode_special_tokens)}
+        if any(t.single_word for _, t in added.values()):
+            raise ValueError("added tokens that must be whole words aren't supported")
         letters, split, tokenize = byte_letters(), regex.compile(pattern).findall, tokenizer.model.tokenize
 
         def encode_piece(piece: str):
@@ -51,6 +76,13 @@ def encoder(path: str, pattern: str, offsets: bool = False) -> UnitEncoder:
             ids, many, begin, end = [], [], [], []
             for unit in units:
                 n, start = len(ids), 0
+                if added and unit.strip() in added:
+                    ids.append(added[unit.strip()][0])
+                    if offsets:
+                        begin.append(0)
+                        end.append(len(unit))
+                    many.append(1)
+                    continue
                 for piece in [unit] if (unit[1:] if unit[:1] == " " else unit).isalpha() else split(unit):
                     got = known.get(piece)
                     if got is None:
@@ -64,6 +96,9 @@ def encoder(path: str, pattern: str, offsets: bool = False) -> UnitEncoder:
             gc.enable()
             return np.array(ids, np.uint32), np.array(many, np.int64), np.array(begin, np.uint32), np.array(end, np.uint32)
 
-        return UnitEncoder(encode, split, offsets)
+        if not added:
+            return UnitEncoder(encode, split, offsets)
+        marks = "|".join(r"\Q" + content + r"\E" for content in added)
+        return UnitEncoder(encode, _cutter([t for _, t in added.values()], split), offsets, marks)
 
-    return worker_memory(f"hf:{path}:{offsets}", make)
+    return worker_memory(f"hf:{path}:{offsets}:{encode_special_tokens}", make)

@@ -38,7 +38,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query("op1_token_files")
 def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_dir(spark, "token-files")
-    write_token_files(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+    write_token_files(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, encode_special_tokens=False)
     return read_token_digests(spark, path)
 
 
@@ -52,7 +52,7 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     lines = F.split(F.coalesce("text", F.lit("")), "\n", -1)
-    return token_counts(docs, lines, "\n", public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+    return token_counts(docs, lines, "\n", public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, encode_special_tokens=False)
 
 
 @query("op10_decontamination")

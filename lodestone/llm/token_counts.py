@@ -29,14 +29,15 @@ ROWS_AT_ONCE = 500
 COUNTS = "doc_id long, part int, begin long, n_chars long, n_tokens long, n_crossing long"
 
 
-def token_counts(docs: DataFrame, parts: Column, separator: str, vocabulary: str, pattern: str, id_col: str = "doc_id") -> DataFrame:
-    """Per document and part: its place in the whole text in characters, and its tokens."""
+def token_counts(docs: DataFrame, parts: Column, separator: str, vocabulary: str, pattern: str, id_col: str = "doc_id",
+                 encode_special_tokens: bool = True) -> DataFrame:
+    """Per document and part: its place in the whole text in characters, and its tokens.  encode_special_tokens: see ``hf_bpe.encoder``."""
     bounded_batches(docs.sparkSession)
     whole = F.when(F.size(parts) > 0, F.transform(parts, lambda p: F.coalesce(p, F.lit(""))))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(whole, F.array(F.lit(""))).alias("parts"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = encoder(vocabulary, pattern, offsets=True)
+        coder = encoder(vocabulary, pattern, offsets=True, encode_special_tokens=encode_special_tokens)
         for batch in batches:
             for lo in range(0, batch.num_rows, ROWS_AT_ONCE):
                 part = batch.slice(lo, ROWS_AT_ONCE)

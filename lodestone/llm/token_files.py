@@ -34,10 +34,10 @@ SEGMENT = f"shard int, segment int, before long, n_ids long, doc_ids array<bigin
 ROWS = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
-def write_token_files(docs: DataFrame, path: str, vocabulary: str, pattern: str, end_id: int = 0) -> None:
+def write_token_files(docs: DataFrame, path: str, vocabulary: str, pattern: str, end_id: int = 0, encode_special_tokens: bool = True) -> None:
     """Encodes whole texts, ends each with ``end_id`` and writes the ids in doc_id order.
 
-    The only shuffle deals the texts out by ranges of doc_id.
+    The only shuffle deals the texts out by ranges of doc_id.  encode_special_tokens: see ``hf_bpe.encoder``.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
@@ -66,7 +66,7 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str, pattern: str,
             return pa.RecordBatch.from_pylist([row], schema=schema)
 
         for batch in batches:
-            coder = encoder(vocabulary, pattern)
+            coder = encoder(vocabulary, pattern, encode_special_tokens=encode_special_tokens)
             for lo in range(0, batch.num_rows, 500):
                 part = batch.slice(lo, 500)
                 ids, many = coder.rows(part["text"])

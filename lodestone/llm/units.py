@@ -28,10 +28,10 @@ Encode = Callable[[list[str]], tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
 
 
 class UnitEncoder:
-    """``encode`` gets the units not seen before; ``split`` cuts a text whose spaces can't be trusted."""
+    """``encode`` gets the units not seen before; ``split`` cuts a text whose spaces can't be trusted, or that matches ``marks``."""
 
-    def __init__(self, encode: Encode, split: Callable[[str], list[str]], offsets: bool = False):
-        self.encode, self.split, self.offsets = encode, split, offsets
+    def __init__(self, encode: Encode, split: Callable[[str], list[str]], offsets: bool = False, marks: str = ""):
+        self.encode, self.split, self.offsets, self.marks = encode, split, offsets, marks
         self.forget()
 
     def forget(self) -> None:
@@ -74,6 +74,8 @@ class UnitEncoder:
             self.forget()
         texts = pc.fill_null(texts, "")
         odd = pc.match_substring_regex(texts, NO_CUT)
+        if self.marks:
+            odd = pc.or_(odd, pc.match_substring_regex(texts, self.marks))
         easy = pc.if_else(odd, "", texts)
         cut = pc.split_pattern(easy, " ")
         flat = cut.flatten()

@@ -212,6 +212,31 @@ def test_token_counts(docs, none, rows):
     assert token_counts(none, lines, "\n", HF, P.PATTERN).count() == 0
 
 
+def test_added_tokens_have_their_own_ids(spark, tmp_path):
+    """The registered queries against the tokenizer as it is loaded."""
+    from lodestone.llm.queries import QUERIES
+
+    mark = "<|endoftext|>"
+    texts = ["a <|endoftext|> b", mark, mark * 3, f" {mark}\n\n{mark} ", f"é{mark}日本 {mark[:-1]} {mark}x", f"one\ntwo{mark}\n  three", "plain text", None, "", f"{'w ' * 400}{mark}{' v' * 400}"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    tokenizer = Tokenizer.from_file(HF)
+    want = {i: tokenizer.encode(t or "", add_special_tokens=False) for i, t in enumerate(texts)}
+    assert want[0].ids == [64, 220, 50256, 275]
+    got = by_id(QUERIES["op1_token_files"](spark, str(tmp_path)))
+    at = 0
+    for i, e in want.items():
+        ids = [*e.ids, 0]
+        assert (got[i].start, got[i].n_tokens, got[i].ids_crc32) == (at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())), texts[i]
+        at += len(ids)
+    many = Counter()
+    for r in QUERIES["op8_token_counts"](spark, str(tmp_path)).collect():
+        many[r.doc_id] += r.n_tokens
+    assert dict(many) == {i: len(e.ids) for i, e in want.items()}
+    counts = {(r.part): r.n_tokens for r in QUERIES["op8_token_counts"](spark, str(tmp_path)).filter("doc_id = 5").collect()}
+    spans, lines = want[5].offsets, [(0, 4), (4, 21), (21, 28)]
+    assert counts == {k: sum(max(range(3), key=lambda p: (min(e, lines[p][1]) - max(b, lines[p][0]), -p)) == k for b, e in spans) for k in range(3)}
+
+
 def test_mixing_scores(docs, none, rows):
     held = {i: zlib.crc32(str(i).encode()) % 5 == 1 for i, _ in rows}
     tokens = {i: [*WORDS.findall(lower(t or "")), None] for i, t in rows}
