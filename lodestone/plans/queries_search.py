@@ -36,6 +36,7 @@ from lodestone.plans.tables import (
     condition_thresholds,
     corpus,
     table,
+    request_id,
     user_requests,
 )
 from lodestone.session import fresh_dir
@@ -217,7 +218,7 @@ SELECT query_id, nullif(concat_ws('; ', CASE WHEN length(query) < 5 THEN 'query
   CASE WHEN NOT starts_with(content_type, 'image/') THEN 'not an image' END), '') AS reason FROM r""")
 def request_validation(spark, sf):
     requests = table(spark, sf, "conversations").select(
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("query_id"),
+        request_id().alias("query_id"),
         F.col("text").alias("query"),
         ((F.length("text") % 300) / F.lit(250.0) - F.lit(0.05)).alias("confidence"),
         F.when(F.col("role") == "user", "image/png").otherwise("text/plain").alias("content_type"),
@@ -254,7 +255,7 @@ def _prompt_sql(finding: str, confidence: str) -> str:
 SELECT query_id, {_prompt_sql('condition', '(query_id % 101) / 100.0::DOUBLE')} AS prompt, n::INTEGER AS n_sources FROM freq JOIN blocks USING (query_id)""")
 def prompt_table(spark, sf):
     asked = user_requests(spark, sf).withColumns(
-        {"finding": F.col("condition"), "confidence": (F.col("query_id") % 101) / F.lit(100.0)}
+        {"finding": F.col("condition"), "confidence": F.pmod("query_id", F.lit(101)) / F.lit(100.0)}
     )
     made = search.batch_query(asked, text_index(spark, sf), ENCODER)
     return made.select("query_id", "prompt", "n_sources")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.constants import CONDITIONS
@@ -70,12 +70,27 @@ def centroids(embeddings: DataFrame, *by: str) -> DataFrame:
     return means.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("i", "x")))["x"].alias("vector"))
 
 
+def request_id() -> Column:
+    """A turn's own number: conv_id * 1000 + turn, as the SQL has it, while the turn has three digits.
+
+    Later turns get numbers of a range of their own, far below zero, so no two requests share one.
+    """
+    conv, turn = F.col("conv_id").cast("long"), F.col("turn").cast("long")
+    late = F.lit(-(1 << 62)) + conv * F.lit(1 << 31) + turn
+    return (
+        F.when(conv.isNull() | turn.isNull(), F.lit(None).cast("long"))
+        .when(turn.between(0, 999), conv * 1000 + turn)
+        .when(conv.between(0, (1 << 30) - 1) & turn.between(0, (1 << 31) - 1), late)
+        .otherwise(F.raise_error(F.lit("no number for this conversation and turn")).cast("long"))
+    )
+
+
 def user_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """User turns as requests; the conversation number picks the condition, the last one unknown."""
     names = F.array(*[F.lit(c) for c in [*CONDITIONS, "Normal", "Unknown"]])
     conv = table(spark, sf_dir, "conversations").filter("role = 'user'")
     return conv.select(
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("query_id"),
+        request_id().alias("query_id"),
         F.col("text").alias("query"),
         F.element_at(names, (F.col("conv_id") % 16 + 1).cast("int")).alias("condition"),
     )
