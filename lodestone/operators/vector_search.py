@@ -70,14 +70,9 @@ def with_distance(found: DataFrame, similarity: str = "similarity") -> DataFrame
     return found.withColumn("distance", 1 - F.col(similarity))
 
 
-def fit_cells(items: DataFrame, lists: int, vector: str = "embedding", seed: int = 42, max_iter: int = 10,
-              sample_rows: int | None = None):
-    """Cluster centres for the cell column.  ``sample_rows`` bounds the training
-    set only; every item is still assigned a cell."""
+def fit_cells(items: DataFrame, lists: int, vector: str = "embedding", seed: int = 42, max_iter: int = 10):
+    """Cluster centres for the cell column, of all items."""
     train = items.select(array_to_vector(F.col(vector)).alias("features"))
-    if sample_rows is not None:
-        share = min(1.0, sample_rows / max(1, items.count()))
-        train = train.sample(share, seed)
     return KMeans(k=lists, seed=seed, maxIter=max_iter).fit(train)
 
 

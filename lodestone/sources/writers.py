@@ -33,9 +33,11 @@ def write_corpus_cache(docs: DataFrame, path: str, order: Sequence[str]) -> str:
 
 
 def insert_if_absent(spark: SparkSession, batch: DataFrame, target: str, key: Sequence[str], order: Sequence[str],
-                     partition_by: Sequence[str] = ()) -> dict[str, int]:
+                     partition_by: Sequence[str] = (), unwritten: Sequence[str] = ()) -> dict[str, int]:
     """Appends the rows whose key the table does not hold yet; returns inserted, skipped and errors.
 
+    Of several rows of a key in a batch the first by ``order`` stays; ``unwritten`` columns only serve that order.
+
     Running it again with the same batch inserts nothing, so a failed run can be repeated.
     """
     key = list(key)
@@ -46,17 +48,21 @@ def insert_if_absent(spark: SparkSession, batch: DataFrame, target: str, key: Se
     seen = batch.observe(read, F.count(F.lit(1)).alias("rows"), F.count_if(bad).alias("bad")).filter(~bad)
     keys = T.StructType([batch.schema[c] for c in key])  # only the key columns of the target are read
     stored = spark.read.schema(keys).parquet(target) if path_exists(spark, target) else batch.select(*key).limit(0)
-    new = unseen(seen, stored, key, order).observe(wrote, F.count(F.lit(1)).alias("rows"))
+    new = unseen(seen, stored, key, order).drop(*unwritten).observe(wrote, F.count(F.lit(1)).alias("rows"))
     writer = new.write.mode("append")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(target)
     rows, errors, inserted = read.get["rows"], read.get["bad"], wrote.get["rows"]
     return {"inserted": inserted, "skipped": rows - errors - inserted, "errors": errors}
 
 
-def insert_documents(spark: SparkSession, docs: DataFrame, target: str) -> dict[str, int]:
-    """Into medical_documents, unique by pmid."""
-    rows = docs.withColumns({"created_at": F.current_timestamp(), "updated_at": F.current_timestamp()})
-    return insert_if_absent(spark, rows, target, ["pmid"], ["title", "abstract"])
+def _arrived(docs: DataFrame, arrival: str | None) -> DataFrame:
+    return docs.withColumn("_arrival", F.col(arrival) if arrival else F.monotonically_increasing_id())
+
+
+def insert_documents(spark: SparkSession, docs: DataFrame, target: str, arrival: str | None = None) -> dict[str, int]:
+    """Into medical_documents, unique by pmid; the first seen of a batch stays: by ``arrival``, else by the batch's own order."""
+    rows = _arrived(docs, arrival).withColumns({"created_at": F.current_timestamp(), "updated_at": F.current_timestamp()})
+    return insert_if_absent(spark, rows, target, ["pmid"], ["_arrival", "title", "abstract"], unwritten=["_arrival"])
 
 
 def insert_embeddings(spark: SparkSession, embedded: DataFrame, model: str, strategy: str, target: str) -> dict[str, int]:
@@ -72,9 +78,9 @@ def insert_embeddings(spark: SparkSession, embedded: DataFrame, model: str, stra
     )
 
 
-def append_corpus(spark: SparkSession, docs: DataFrame, target: str) -> dict[str, int]:
-    """Adds documents with unseen ids to a Parquet corpus."""
-    return insert_if_absent(spark, docs, target, ["id"], ["title", "abstract"])
+def append_corpus(spark: SparkSession, docs: DataFrame, target: str, arrival: str | None = None) -> dict[str, int]:
+    """Adds documents with unseen ids to a Parquet corpus; the first seen of a batch stays: by ``arrival``, else by the batch's own order."""
+    return insert_if_absent(spark, _arrived(docs, arrival), target, ["id"], ["_arrival", "title", "abstract"], unwritten=["_arrival"])
 
 
 def append_query_log(responses: DataFrame, target: str) -> None:
