@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +22,20 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, rows: int, size: int) -> Iterator[None]:
+    """Arrow batches of up to ``rows`` rows and ``size`` bytes for the jobs run inside; the session's own settings come back."""
+    wanted = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(rows), "spark.sql.execution.arrow.maxBytesPerBatch": str(size)}
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def worker_memory(key: str, make):
     """A value that lives as long as the Python worker, which Spark uses for many tasks."""
     kept = sys.__dict__.setdefault("_worker_memory", {})

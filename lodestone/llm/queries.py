@@ -15,6 +15,7 @@ from lodestone.llm.near_dups import near_duplicates
 from lodestone.llm.suffixes import contamination_report
 from lodestone.llm.token_counts import token_counts
 from lodestone.llm.token_files import read_token_digests, write_token_files
+from lodestone.llm.triangle_windows import hard_negatives, mining_rows
 from lodestone.session import fresh_dir
 
 QUERIES: dict = {}
@@ -155,3 +156,31 @@ def op7_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_mixing_lm")
 def op5_mixing_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing_scores(table(spark, sf_dir, "documents"))
+
+
+OP13_SQL = """
+WITH v AS (
+    SELECT DISTINCT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), a AS (SELECT *, row_number() OVER () AS anchor FROM v WHERE id % 100 = 0), scored AS (
+    SELECT a.anchor, a.id AS anchor_id, v.id, a.label = v.label AS same,
+           list_sum(list_transform(list_zip(a.q, v.q), lambda z: z[1] * z[2]))::BIGINT AS score
+    FROM a JOIN v ON a.id <> v.id
+), positives AS (
+    SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY score DESC, id) AS p FROM scored WHERE same) WHERE p <= 5
+), ranked AS (
+    SELECT p.anchor_id, p.id AS positive_id, n.id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+           row_number() OVER (PARTITION BY p.anchor, p.p ORDER BY n.score DESC, n.id) AS rank
+    FROM positives p JOIN scored n ON n.anchor = p.anchor AND NOT n.same AND 100 * n.score BETWEEN 30 * p.score AND 90 * p.score
+)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 10
+"""
+
+
+@query("op13_hard_negatives", OP13_SQL)
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(mining_rows(table(spark, sf_dir, "embeddings"), label), F.col("id") % 100 == 0)
