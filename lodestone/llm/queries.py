@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from lodestone.llm.anchors import repeat_report
 from lodestone.llm.bit_slices import topk
 from lodestone.llm.bpe import round_trip_digests
+from lodestone.llm.conversation_paths import damaged, repair
 from lodestone.llm import lsa_votes, warc
 from lodestone.llm.mixing_lm import mixing_scores
 from lodestone.llm.near_dups import near_duplicates
@@ -184,3 +185,64 @@ SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_scor
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives(mining_rows(table(spark, sf_dir, "embeddings"), label), F.col("id") % 100 == 0)
+
+
+def _op11_sql() -> str:
+    """A backward recursion over the rows; a node's value is its cost, least audit and repaired lines, compared in this order."""
+    end, gone = "{'c': 0::BIGINT, 'a': '', 'r': []::VARCHAR[]}", "{'c': 1000000000000::BIGINT, 'a': '', 'r': []::VARCHAR[]}"
+    to = lambda x, cost, letter, line=None: f"{{'c': {x}.c + {cost}, 'a': '{letter}' || {x}.a, 'r': {f'list_prepend({line}, {x}.r)' if line else f'{x}.r'}}}"
+    forward = {0: (2, "user"), 1: (2, "user"), 2: (3, "assistant"), 3: (2, "user")}
+    kept = {0: (("s", 1), ("u", 2)), 1: (("u", 2),), 2: (("a", 3),), 3: (("u", 2),)}
+    stays, kept_line = "CASE fault WHEN 3 THEN 3 ELSE 0 END", "role || ':' || text"
+
+    def edited(state: int) -> str:
+        ways = [to(f"n{state}", 4, "D")]
+        for initial, after in kept[state]:
+            ways.append(f"CASE WHEN fault IN (0, 3) AND left(role, 1) = '{initial}' THEN {to(f'n{after}', stays, 'K', kept_line)} ELSE {gone} END")
+        after, name = forward[state]
+        ways.append(f"CASE WHEN fault IN (0, 3) THEN {to(f'n{after}', f'3 + {stays}', 'R', f"'{name}:' || text")} ELSE {gone} END")
+        return f"list_min([{', '.join(ways)}])"
+
+    inserted = lambda x, state: to(x, 3, "I", f"'{forward[state][1]}:'")
+    two, three = f"list_min([b2, {inserted('b3', 2)}])", f"list_min([b3, {inserted('b2', 3)}])"
+    return f"""
+    WITH RECURSIVE bytes AS (SELECT range AS b FROM range(256)),
+    eight(b, k, v) AS (SELECT b, 0, b FROM bytes UNION ALL SELECT b, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM eight WHERE k < 8),
+    crc AS (SELECT list(v ORDER BY b) AS t FROM eight WHERE k = 8),
+    named AS (
+        SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+               list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda c: ord(c)::BIGINT) AS name FROM conversations
+    ), kinds AS (
+        SELECT named.*, xor(list_reduce(list_prepend(4294967295::BIGINT, name), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS kind FROM named, crc
+    ), damaged AS (
+        SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+               CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy
+        FROM kinds WHERE kind <> 0
+    ), placed AS (
+        SELECT *, row_number() OVER w AS i, count(*) OVER (PARTITION BY conv_id) AS n, regexp_replace(text, '[ \t-\r]+$', '') AS bare FROM damaged
+        WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+    ), faulty AS (
+        SELECT *, CASE WHEN bare = '' THEN 1 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 2 WHEN right(bare, 1) IN ('.', '!', '?') THEN 0 ELSE 3 END AS fault,
+               left(lag(role) OVER (PARTITION BY conv_id ORDER BY i), 1) || left(role, 1) AS meeting
+        FROM placed
+    ), walk(conv_id, i, s0, s1, s2, s3) AS (
+        SELECT DISTINCT ON (conv_id) conv_id, n + 1, {end}, {inserted(inserted(end, 2), 0)}, {inserted(end, 2)}, {end} FROM faulty
+      UNION ALL
+        SELECT conv_id, i, list_min([b0, {inserted('g2', 0)}]), list_min([b1, {inserted('g2', 1)}]), g2, g3 FROM (
+            SELECT *, {two} AS g2, {three} AS g3 FROM (
+                SELECT conv_id, i, {', '.join(f'{edited(s)} AS b{s}' for s in range(4))} FROM (
+                    SELECT f.conv_id, f.i, f.role, f.text, f.fault, w.s0 AS n0, w.s1 AS n1, w.s2 AS n2, w.s3 AS n3 FROM walk w JOIN faulty f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.i = w.i - 1)))
+    ), counts AS (
+        SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate,
+               count(*) FILTER (fault = 3) AS truncated, count(*) FILTER (i > 1 AND meeting NOT IN ('su', 'ua', 'au')) AS illegal FROM faulty GROUP BY conv_id
+    )
+    SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+           coalesce(w.s0.c, 0)::BIGINT AS cost, coalesce(w.s0.a, '') AS audit, sha256(coalesce(array_to_string(w.s0.r, chr(10)), '')) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id FROM conversations) o
+    LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN walk w ON w.conv_id IS NOT DISTINCT FROM o.conv_id AND w.i = 1
+    """
+
+
+@query("op11_conversation_paths", _op11_sql())
+def op11_conversation_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair(damaged(table(spark, sf_dir, "conversations")))
