@@ -13,6 +13,7 @@ from lodestone.llm.conversation_paths import damaged, repair
 from lodestone.llm import lsa_votes, warc
 from lodestone.llm.mixing_lm import mixing_scores
 from lodestone.llm.near_dups import near_duplicates
+from lodestone.llm.prefix_join import jaccard_components
 from lodestone.llm.suffixes import contamination_report
 from lodestone.llm.token_counts import token_counts
 from lodestone.llm.token_files import read_token_digests, write_token_files
@@ -246,3 +247,30 @@ def _op11_sql() -> str:
 @query("op11_conversation_paths", _op11_sql())
 def op11_conversation_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair(damaged(table(spark, sf_dir, "conversations")))
+
+
+OP12_SQL = """
+WITH w AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \t-\r]+'), lambda x: x <> '') AS w
+    FROM documents
+), s AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+           ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM w
+), n AS (SELECT doc_id, len(s) AS n FROM s), u AS (SELECT doc_id, hash(unnest(s)) AS x FROM s), df AS (SELECT x FROM u GROUP BY x HAVING count(*) > 1),
+common AS (SELECT doc_id, x FROM u SEMI JOIN df USING (x)),
+able AS (SELECT doc_id, n FROM n JOIN (SELECT doc_id, count(*) AS c FROM common GROUP BY doc_id) USING (doc_id) WHERE 100 * c >= 80 * n),
+shared AS (SELECT doc_id, n, x FROM common JOIN able USING (doc_id)),
+links AS (
+    SELECT a.doc_id AS a, b.doc_id AS b FROM shared a JOIN shared b ON a.x = b.x AND a.doc_id <> b.doc_id
+    GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 80 * (any_value(a.n) + any_value(b.n) - count(*))
+), reach AS (
+    WITH RECURSIVE r(a, b) AS (SELECT doc_id, doc_id FROM n UNION SELECT r.a, l.b FROM r JOIN links l ON r.b = l.a) SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a
+), same AS (SELECT doc_id, CASE WHEN len(s) = 0 THEN doc_id ELSE min(doc_id) OVER (PARTITION BY list_sort(s)) END AS class_id FROM s)
+SELECT n.doc_id, n.n AS n_shingles, component_id, class_id FROM n JOIN reach USING (doc_id) JOIN same USING (doc_id)
+"""
+
+
+@query("op12_prefix_join", OP12_SQL)
+def op12_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard_components(table(spark, sf_dir, "documents"), width=5)
+    return found.select("doc_id", "n_shingles", "component_id", "class_id")
