@@ -203,9 +203,10 @@ def audits(starts: np.ndarray, ends: np.ndarray, counts: np.ndarray, steps: dict
     _, letter, jumps = rank_paths(starts, ends, steps, togo, closed)
     runs = len(starts)
     row_of = np.full(len(togo), -1)
-    row_of[np.arange(len(counts)) + np.repeat(np.arange(runs), ends - starts)] = np.arange(len(counts))
+    rows = np.arange(len(counts))
+    row_of[rows + np.repeat(np.arange(runs), ends - starts)] = rows
     texts, edits, leave = [""] * runs, [[] for _ in range(runs)], np.zeros(runs, np.int64)
-    lengths = ends - starts
+    lengths, counts = ends - starts, np.append(counts, 1)  # the last for nodes behind a run's rows
     for lo, hi in _bands(lengths):  # runs of about one length together, as their paths are held in one array
         some = np.flatnonzero((lengths >= lo) & (lengths < hi))
         for part in np.array_split(some, max(1, len(some) * hi * 4 // (1 << 21))):
@@ -214,7 +215,7 @@ def audits(starts: np.ndarray, ends: np.ndarray, counts: np.ndarray, steps: dict
             for i, run in enumerate(part.tolist()):
                 path = nodes[i][~last[i]]
                 what, row, to = letter[path].tolist(), row_of[path // 4].tolist(), (jumps[0][path] % 4).tolist()
-                copies = counts[row_of[path // 4]].tolist() if len(path) else []
+                copies = counts[row_of[path // 4]].tolist()
                 texts[run] = "".join("I" if c == 1 else "D" * n if c == 0 else LETTERS[c] + "D" * (n - 1) for c, n in zip(what, copies))
                 edits[run] = list(zip(what, row, to))
                 leave[run] = to[-1] if to else entry_states[run]

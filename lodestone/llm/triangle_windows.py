@@ -61,8 +61,8 @@ def mining_rows(vectors: DataFrame, label: Column, id_col: str = "vec_id", vecto
 def matrix(column: pa.Array, dims: int) -> np.ndarray:
     many = np.array([len(x) for x in column], np.int64)
     values = column.flatten().to_numpy().astype(np.int64)
-    if len(many) and (many == dims).all():
-        return values.reshape(-1, dims)
+    if (many == dims).all():
+        return values.reshape(len(many), dims)
     out = np.zeros((len(many), dims), np.int64)
     out[np.repeat(np.arange(len(many)), many), np.arange(len(values)) - np.repeat(np.cumsum(many) - many, many)] = values
     return out
@@ -124,7 +124,7 @@ def reference_directions(rows: DataFrame, dims: int) -> np.ndarray:
     total = F.array(*[F.sum(F.col("sums")[i]) for i in range(dims + 1)])
     best = parts.groupBy("label").agg(total.alias("sums")).orderBy(F.col("sums")[dims].desc(), "label").limit(LABEL_DIRECTIONS).collect()
     signs = np.random.default_rng(13).integers(0, 2, (FIXED_DIRECTIONS, dims)) * 2 - 1
-    means = np.array([np.array(r["sums"][:dims]) / max(1.0, r["sums"][dims]) for r in best]).reshape(-1, dims)
+    means = np.array([np.array(r["sums"][:dims]) / max(1.0, r["sums"][dims]) for r in best]).reshape(len(best), dims)
     # whole numbers, so that every task finds the same angle for the same row
     return np.concatenate([np.rint(np.clip(means, -1e6, 1e6) * 16).astype(np.int64), signs])
 
@@ -199,7 +199,7 @@ def _windows(batches: Iterator[pa.RecordBatch], dims: int, angle: np.ndarray, no
         lower, upper = score_bounds(angle, norm, low, high, batch["low_norm"].to_numpy(), batch["high_norm"].to_numpy())
         for w in range(batch.num_rows):
             ids, labels, q = (np.frombuffer(batch[c][w].as_buffer(), t) for c, t in (("ids", np.int64), ("labels", np.int32), ("q", np.int64)))
-            yield ids, labels, q.reshape(-1, dims), lower[:, w], upper[:, w]
+            yield ids, labels, q.reshape(len(ids), dims), lower[:, w], upper[:, w]
 
 
 def mine(spark: SparkSession, path: str, dims: int, directions: np.ndarray, anchors: DataFrame, positives: int = 5, negatives: int = 10, low: int = 30, high: int = 90) -> DataFrame:
