@@ -118,7 +118,7 @@ class BM25Scorer:
 def bm25_topk(chunks: DataFrame, queries: DataFrame, ids: Sequence[str], k: int, text: str = "chunk_text",
               query: str = "query", k1: float = K1, b: float = B, pad_zero: bool = False) -> DataFrame:
     """(query_id, *ids, bm25, rank).  Chunks without a query term are left out unless ``pad_zero``."""
-    tokenised = chunks.select(*ids, tokens(text).alias("tokens"))
+    tokenised = chunks.filter(F.col(text).isNotNull()).select(*ids, tokens(text).alias("tokens"))
     weighted = weighted_queries(tokenised, queries, query)
     found = topk.topk(
         tokenised, weighted, lambda block: BM25Scorer(block, "tokens", k1, b, pad_zero), ids, k

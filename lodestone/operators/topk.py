@@ -6,10 +6,13 @@ and keeps a running k best per query, so it only ever emits k rows per query.
 
 * ``topk_scan``: the query block is small (checked) and travels to every task;
   the items are read once, in place, without a shuffle.
-* ``topk_tiled``: any number of queries, optionally restricted to items with
-  equal ``keys``.  Both sides are cut into tiles of bounded size and tiles meet
-  in a cogroup; a hot key just gets more tiles.
-* ``topk``: picks between the two by the size of the query side.
+* ``topk_blocks``: any number of queries, in blocks of that size.  Each block is
+  one scan of the items in place, and its k best rows per query are written
+  before the next, so neither items nor pairs are ever shuffled.
+* ``topk_tiled``: queries restricted to items with equal ``keys``.  Both sides
+  are cut into tiles of bounded size and tiles meet in a cogroup; a hot key just
+  gets more tiles.
+* ``topk``: picks between the first two by the size of the query side.
 
 Scores are rounded to 6 digits before ranking and ties go to the smaller id,
 so the answer does not depend on partitioning or summation order.
@@ -18,6 +21,7 @@ so the answer does not depend on partitioning or summation order.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator, Sequence
+from functools import reduce
 from typing import Protocol
 
 import numpy as np
@@ -28,7 +32,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodestone.session import materialise
+from lodestone.session import fresh_dir, materialise
 
 SCORE_DIGITS = 6
 MAX_BLOCK_QUERIES = 4096  # queries sent to every task; more go through tiles
@@ -42,7 +46,12 @@ class Scorer(Protocol):
     query_ids: Sequence
 
     def score(self, items: pa.RecordBatch) -> np.ndarray:
-        """(rows, queries) scores; -inf where the item is no candidate."""
+        """(rows, queries) scores; -inf where the item is no candidate.
+
+        A scorer may also have ``rough``, (single-precision scores, how far off they can be), and
+        ``exact``, the scores of given (row, query) cells; then only cells near the k best are
+        scored exactly.
+        """
 
 
 MakeScorer = Callable[[pa.Table], Scorer]
@@ -68,6 +77,22 @@ class _Best:
         if self.pending > 4 * self.k * len(self.bar) + 100_000:
             self.compact()
 
+    def near(self, rough: np.ndarray, slack: float) -> tuple[np.ndarray, np.ndarray]:
+        """The cells that may be among the k best; the first rows set the bars."""
+        bar = self.bar - slack
+        if len(rough) > self.k and np.isneginf(bar).any():
+            bar = np.maximum(bar, np.partition(rough, -self.k, axis=0)[-self.k] - 2 * slack)
+        return np.nonzero(rough >= bar.astype(rough.dtype))
+
+    def take(self, row: np.ndarray, query: np.ndarray, scores: np.ndarray, ids: pd.DataFrame) -> None:
+        """Exact scores of single cells."""
+        good = scores >= self.bar[query]
+        if good.any():
+            self.kept.append(ids.iloc[row[good]].assign(_q=query[good], _score=scores[good]))
+            self.pending += int(good.sum())
+        if self.pending > 2 * self.k * len(self.bar) + 50_000 or (np.isneginf(self.bar).any() and self.pending > self.k * len(self.bar)):
+            self.compact()
+
     def compact(self) -> pd.DataFrame:
         if not self.kept:
             return pd.DataFrame({c: [] for c in [*self.ids, "_q", "_score"]})
@@ -87,6 +112,12 @@ def _best_of(batches: Iterable[pa.RecordBatch], scorer: Scorer, ids: Sequence[st
     for batch in batches:
         for lo in range(0, batch.num_rows, step):
             part = batch.slice(lo, step)
+            if hasattr(scorer, "rough"):
+                rough, slack = scorer.rough(part)
+                row, query = best.near(rough, slack)
+                if len(row):
+                    best.take(row, query, np.round(scorer.exact(part, row, query), SCORE_DIGITS), part.select(list(ids)).to_pandas())
+                continue
             scores = np.round(scorer.score(part), SCORE_DIGITS)
             best.offer(scores, part.select(list(ids)).to_pandas())
     return best
@@ -185,8 +216,37 @@ def topk_tiled(items: DataFrame, queries: DataFrame, make: MakeScorer, ids: Sequ
     return rank_rows(left.cogroup(right).applyInArrow(meet, spark_schema), ids, k)
 
 
+def query_blocks(queries: DataFrame) -> Iterator[pa.Table]:
+    """All queries, in blocks that may be sent to every task; there is at least one.
+
+    Runs a job per block.  Of many queries, blocks are folders of a written table, so each reads its own rows only.
+    """
+    block = small_block(queries)
+    if block is not None:
+        yield block
+        return
+    spark = queries.sparkSession
+    queries = materialise(queries, "queries")
+    head = queries.limit(MAX_BLOCK_QUERIES).toArrow()
+    fit = min(MAX_BLOCK_QUERIES, MAX_BLOCK_BYTES * MAX_BLOCK_QUERIES // max(1, head.nbytes))
+    blocks = -(-queries.count() * 9 // (8 * max(1, fit))) + 1  # hashed blocks vary in size
+    path = fresh_dir(spark, "query-blocks")
+    queries.withColumn("_block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int")).repartition("_block").write.partitionBy("_block").parquet(path)
+    stored = spark.read.parquet(path)
+    for number in range(blocks):
+        block = stored.filter(F.col("_block") == number).drop("_block").toArrow()
+        if block.num_rows:
+            yield block
+
+
+def topk_blocks(items: DataFrame, queries: DataFrame, make: MakeScorer, ids: Sequence[str], k: int) -> DataFrame:
+    """Exact for any number of queries: a scan of the items, in place, per block of queries.  Runs these scans."""
+    found = [materialise(topk_scan(items, block, make, ids, k, queries), "block-hits") for block in query_blocks(queries)]
+    return reduce(DataFrame.unionByName, found)
+
+
 def topk(items: DataFrame, queries: DataFrame, make: MakeScorer, ids: Sequence[str], k: int) -> DataFrame:
     block = small_block(queries)
     if block is not None:
         return topk_scan(items, block, make, ids, k, queries)
-    return topk_tiled(items, queries, make, ids, k)
+    return topk_blocks(items, queries, make, ids, k)

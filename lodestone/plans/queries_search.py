@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lodestone.constants import EXACT_FUSION, HYBRID_PRESET
 from lodestone.functions.text import relevance_grade
 from lodestone.functions.unions import union_all
-from lodestone.operators import cleaning, encoding, lexical, prompts, vector_search
+from lodestone.operators import cleaning, encoding, lexical, postings, prompts, vector_search
 from lodestone.operators.chunking import chunk
 from lodestone.operators.classifier import apply_thresholds
 from lodestone.operators.monitoring import log_rows
@@ -142,6 +142,14 @@ def bm25_topk(spark, sf):
     return lexical.bm25_topk(chunks, benchmark_queries(spark, sf), IDS, 10)
 
 
+@query("bm25_stored_topk", f"""WITH {CLEAN}, {word_chunks(512)}, {QUERIES}, {bm25_hits('b', 10)}
+SELECT query_id, doc_id, chunk_index, bm25, rank FROM b""")
+def bm25_stored_topk(spark, sf):
+    """The same ranking from a stored inverted index: the search reads the query terms' buckets and no text."""
+    path = postings.build_postings(chunk(cleaning.clean(corpus(spark, sf)), "fixed_512"), fresh_dir(spark, "postings"), IDS)
+    return postings.search_postings(spark, path, benchmark_queries(spark, sf), IDS, 10)
+
+
 @query("bm25_term_stats", f"""WITH {CLEAN}, {word_chunks(512)}, {QUERIES}, {bm25_hits('b', 1)}
 SELECT term, df, NULL::BIGINT AS total_len FROM b_d WHERE term IN (SELECT term FROM b_q)
 UNION ALL SELECT NULL, count(*), sum(len(ts))::BIGINT FROM b_k""")
