@@ -14,7 +14,10 @@ mask, so that the lists of one group mostly have the same; a member of another
 component is held against the best of its leaders.  That joins most of a group,
 however large it is, with a few pairs per document.  Only lists that hold several
 components even after the last round are compared within, in tiles, and only
-across components.  A link that this leaves out joins what is already joined.
+across components.  A tile pair gives no pairs but a forest that joins what can be
+similar; the groups these forests make are compared on full shingle sets, in tiles
+again, and give back only links that join components.  A link that this leaves
+out joins what is already joined.
 
 At a similarity of exactly 0.8 a coordinate matches with probability 0.512; a
 pair then has fewer than MATCHES of 32 with a chance under 1e-6, and fewer than
@@ -37,6 +40,7 @@ from pyspark.sql import functions as F
 
 from lodestone.llm.common import bounded_batches, id_and_text
 from lodestone.llm.components import contract, relabel
+from lodestone.llm.link_groups import links_in_groups
 from lodestone.llm.words import BLANKS, Words, each_slice, mix, rolling
 from lodestone.session import materialise
 
@@ -194,7 +198,7 @@ def _sets(texts: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
 
 
 def _across(shared: DataFrame, reps: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Pairs that can be similar, of lists that hold several components, across components."""
+    """What joins the documents that can be similar, of lists that hold several components, across components: a forest per tile pair."""
     rows = _labelled(shared, labels)
     tiles = rows.groupBy("key").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
     rows = rows.join(materialise(tiles, "near-tiles"), "key")
@@ -212,16 +216,19 @@ def _across(shared: DataFrame, reps: DataFrame, labels: DataFrame | None) -> Dat
         salt = mix(np.arange(1, PREFIX + 1, dtype=np.uint64))
         keys = mix(_coordinates(base)[:, :PREFIX] ^ salt)
         left, right = np.flatnonzero(own == first), np.flatnonzero(own == second)
-        out = [[], []]
+        out, piece = [[], []], np.arange(len(ids))  # piece: which rows the pairs so far join
         for i in left.tolist():
             j = right[(label[right] != label[i]) & ((first != second) | (right > i))]
             if not len(j):
                 continue
             # a pair is this list's if no earlier coordinate of the prefix has it
             j = j[keys[i][np.argmax(keys[j] == keys[i], axis=1)] == key]
-            good = _promising(np.broadcast_to(base[i], (len(j), base.shape[1])), base[j], np.full(len(j), n[i]), n[j])
-            out[0].append(np.full(int(good.sum()), ids[i]))
-            out[1].append(ids[j[good]])
+            j = j[_promising(np.broadcast_to(base[i], (len(j), base.shape[1])), base[j], np.full(len(j), n[i]), n[j])]
+            _, new = np.unique(piece[j], return_index=True)
+            j = j[new][piece[j[new]] != piece[i]]
+            piece[np.isin(piece, piece[j])] = piece[i]
+            out[0].append(np.full(len(j), ids[i]))
+            out[1].append(ids[j])
         a, b = (np.concatenate([ids[:0], *x]) for x in out)
         return pa.table({"a": a, "b": b})
 
@@ -247,7 +254,13 @@ def near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
     for mask in MASKS:
         pairs = _leader_pairs(_labelled(shared, labels), mask, reps, labels)
         labels = contract(_confirmed(pairs, sets), labels)
-    labels = contract(_confirmed(_across(shared, reps, labels).distinct(), sets), labels)
+    # the last links lie within groups of documents that can be similar; groups are compared on full sets
+    groups = contract(_across(shared, reps, labels))
+    if groups is not None:
+        nodes = groups.select("node", F.col("node").alias("label"))
+        nodes = nodes if labels is None else materialise(relabel(nodes, "label", labels), "near-open")
+        full = sets.select(F.col("doc_id").alias("node"), F.expr("length(shingles) div 8").alias("n"), F.col("shingles").alias("keys"))
+        labels = contract(links_in_groups(nodes, groups, full, SIMILAR), labels)
 
     found = members if labels is None else relabel(members.withColumn("component_id", F.col("class_id")), "component_id", labels)
     found = found.withColumn("component_id", F.col("class_id")) if labels is None else found

@@ -42,6 +42,7 @@ from pyspark.sql import functions as F
 
 from lodestone.llm.common import arrow_batches, id_and_text, ranges
 from lodestone.llm.components import contract, relabel
+from lodestone.llm.link_groups import links_in_groups, runs as _runs
 from lodestone.llm.near_dups import _shingle_sets as shingle_sets
 from lodestone.llm.words import BLANKS, each_slice, mix
 from lodestone.session import materialise
@@ -50,7 +51,6 @@ SIMILAR = 80  # per cent
 MOST_MATCHES = 8  # the longest prefixes asked for
 VERIFY = 0.1  # cost of verifying a shingle against that of a list entry
 CELL_TEXT = 32 << 20  # bytes of text whose shingles one range gets, on average
-TILE_SETS, TILE_KEYS = 1000, 1 << 20
 ROUNDS = 3
 
 MEMBERS = "doc_id long, n_shingles long, set_id long"
@@ -96,14 +96,6 @@ def _unpacked(raw: bytes, item: int) -> np.ndarray:
     return out.view("<u8").reshape(-1)
 
 
-def _runs(*columns: np.ndarray) -> np.ndarray:
-    """Where a run of equal rows begins."""
-    new = np.ones(len(columns[0]), bool)
-    if len(new):
-        new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
-    return np.flatnonzero(new)
-
-
 def cells(docs: DataFrame, width: int, bits: int) -> DataFrame:
     """The distinct sets' shingles, packed by the top ``bits`` of their hashes."""
 
@@ -279,71 +271,11 @@ def _open_sets(rows: DataFrame) -> DataFrame:
     return rows.join(bounds, "key").filter((smallest <= F.col("high")) & (farthest >= F.col("n"))).select("key", "set_id", "label")
 
 
-def tile_links(n: np.ndarray, labels: np.ndarray, sets: list[np.ndarray], side: np.ndarray, same: bool) -> list[tuple[int, int]]:
-    """Links between sets of different labels, of two tiles (or within one); only as many as join the labels."""
-    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    keys = np.concatenate([np.zeros(0, np.uint64), *sets])
-    order = np.argsort(keys, kind="stable")
-    keys, row = keys[order], row[order]
-    at = _runs(keys)
-    many = np.diff(np.append(at, len(keys)))
-    left, right = np.flatnonzero(side == 0), np.flatnonzero(side == (0 if same else 1))
-    place = np.zeros(len(sets), np.int64)
-    place[left] = np.arange(len(left))
-    if not same:
-        place[right] = np.arange(len(right))
-    both = np.zeros((len(left), len(right)), np.int32)
-    wide = at[many >= 32]
-    for some in np.array_split(wide, max(1, -(-len(wide) // 2048))):  # shingles of many sets, as a product of 0/1 matrices
-        has = np.zeros((len(sets), len(some)), np.float32)
-        for k, (a, c) in enumerate(zip(some.tolist(), many[np.searchsorted(at, some)].tolist())):
-            has[row[a : a + c], k] = 1
-        both += (has[left] @ has[right].T).astype(np.int32)
-    for a, c in zip(at[(many > 1) & (many < 32)].tolist(), many[(many > 1) & (many < 32)].tolist()):
-        who = row[a : a + c]
-        l, r = (who, who) if same else (who[side[who] == 0], who[side[who] == 1])
-        both[np.ix_(place[l], place[r])] += 1
-    good = (100 * both >= SIMILAR * (n[left][:, None] + n[right][None, :] - both)) & (both > 0) & (labels[left][:, None] != labels[right][None, :])
-    parent: dict[int, int] = {}
-
-    def top(x: int) -> int:
-        while parent.get(x, x) != x:
-            x = parent[x]
-        return x
-
-    out = []
-    for i, j in zip(*np.nonzero(good)):
-        a, b = int(left[i]), int(right[j])
-        p, q = top(int(labels[a])), top(int(labels[b]))
-        if p != q:
-            parent[max(p, q)] = min(p, q)
-            out.append((a, b))
-    return out
-
-
 def _links_in_groups(open_: DataFrame, sets: DataFrame) -> DataFrame | None:
     """Links across components among sets that still share lists."""
-    nodes = open_.groupBy("set_id").agg(F.first("label").alias("label"))
+    nodes = open_.groupBy(F.col("set_id").alias("node")).agg(F.first("label").alias("label"))
     star = open_.join(materialise(open_.groupBy("key").agg(F.min("set_id").alias("b")), "join-stars"), "key").select(F.col("set_id").alias("a"), "b")
-    groups = contract(star)
-    if groups is None:
-        return None
-    rows = materialise(relabel(nodes.withColumn("grp", F.col("set_id")), "grp", groups).join(sets.select("set_id", "n", "keys"), "set_id"), "join-open")
-    tiles = rows.groupBy("grp").agg(F.greatest(F.ceil(F.count("*") / TILE_SETS), F.ceil(F.sum(F.length("keys")) / (8 * TILE_KEYS))).cast("int").alias("tiles"))
-    rows = rows.join(materialise(tiles, "join-tiles"), "grp")
-    own = F.pmod(F.xxhash64("set_id"), F.col("tiles")).cast("int")
-    rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    rows = rows.withColumns({"t1": F.least("own", "other"), "t2": F.greatest("own", "other")}).drop("tiles", "other")
-
-    def compare(group: pa.Table) -> pa.Table:
-        t1, t2 = group["t1"][0].as_py(), group["t2"][0].as_py()
-        group = group.sort_by("set_id")
-        ids, side = group["set_id"].to_numpy(), (group["own"].to_numpy() != t1).astype(np.int8)
-        sets = [np.frombuffer(k, np.uint64) for k in group["keys"].to_pylist()]
-        found = tile_links(group["n"].to_numpy(), group["label"].to_numpy(), sets, side, t1 == t2)
-        return pa.table({"a": pa.array([ids[a] for a, _ in found], pa.int64()), "b": pa.array([ids[b] for _, b in found], pa.int64())})
-
-    return rows.groupBy("grp", "t1", "t2").applyInArrow(compare, "a long, b long")
+    return links_in_groups(nodes, contract(star), sets.select(F.col("set_id").alias("node"), "n", "keys"), SIMILAR)
 
 
 def jaccard_components(docs: DataFrame, width: int = 5) -> DataFrame:

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lodestone.llm import conversation_paths, prefix_join, triangle_windows
+from lodestone.llm import conversation_paths, link_groups, prefix_join, triangle_windows
 from lodestone.llm.conversation_paths import damaged, repair
 from lodestone.llm.prefix_join import choose_matches, jaccard_components, least_overlap
 from lodestone.llm.triangle_windows import angles, hard_negatives, mining_rows, norms, products, score_bounds
@@ -183,7 +183,7 @@ def test_join_components(spark, width):
 def test_join_by_groups_alone(spark, monkeypatch):
     """Without leader rounds every link has to come from the tiles."""
     monkeypatch.setattr(prefix_join, "ROUNDS", 0)
-    monkeypatch.setattr(prefix_join, "TILE_SETS", 7)
+    monkeypatch.setattr(link_groups, "TILE_SETS", 7)
     rows = list(enumerate(near_texts(3, 50) + near_texts(4, 20) + TEXTS))
     assert joined(spark, rows, 2) == plain_components(rows, 2)
 
