@@ -112,28 +112,34 @@ def _sql_text(value: str) -> str:
     return " || ".join(parts) if parts else "''"
 
 
-def _sql_steps(text: str, steps, function: str) -> str:
+def _sql_steps(text: str, steps) -> str:
     for pattern, with_ in steps:
-        flag = ", 'g'" if function == "regexp_replace" else ""
-        text = f"{function}({text}, '{pattern.replace(chr(39), chr(39) * 2)}', {_sql_text(with_)}{flag})"
+        text = f"regexp_replace({text}, '{pattern.replace(chr(39), chr(39) * 2)}', {_sql_text(with_)}, 'g')"
     return text
 
 
+# The character references of the given pages, numbers in general, and what stands for an ampersand last of all.
+SQL_REFERENCES = [("&quot;?", '"'), ("&copy;?", "\u00a9"), ("&middot;?", "\u00b7"), ("&lt;?", "<"), ("&gt;?", ">"), ("&nbsp;?", " "), ("&#0*39;", "'"), ("&amp;?", "&")]
+SQL_LANGUAGE, SQL_LINK = r'(?i)<html\s[^>]*\blang="([^"]*)"', r'(?i)<a\s[^>]*?\bhref="([^"]*)"'
+
+
 def _op7_sql() -> str:
     one_line = lambda x: f"trim(regexp_replace({x}, '[ \\t\\r\\n\\f]+', ' ', 'g'))"
-    text = _sql_steps(_sql_steps(_sql_steps("html", warc.TO_TEXT, "regexp_replace"), warc.ENTITIES, "replace"), warc.TIDY, "regexp_replace")
-    title = one_line(_sql_steps(f"regexp_extract(html, '{warc.TITLE}', 1)", warc.ENTITIES, "replace"))
+    decoded = lambda x: _sql_steps(x, SQL_REFERENCES)
+    text = _sql_steps(decoded(_sql_steps("html", warc.TO_TEXT)), warc.TIDY)
+    title = one_line(decoded(f"regexp_extract(html, '{warc.TITLE}', 1)"))
+    language, link = one_line(decoded(f"regexp_extract(html, '{SQL_LANGUAGE}', 1)")), one_line(decoded("l"))
     nl = "chr(13) || chr(10)"
     headers = " || ".join(f"'source-header: {h}' || {nl}" for h in HTTP_HEADERS.split("\r\n"))
     urn = lambda x: f"'<urn:uuid:' || {x}[1:8] || '-' || {x}[9:12] || '-' || {x}[13:16] || '-' || {x}[17:20] || '-' || {x}[21:32] || '>'"
     return f"""
     WITH p AS (
         SELECT coalesce(html, '') AS html, {one_line("coalesce(url, '')")} AS target_uri, coalesce(page_id::VARCHAR, '') || ' ' || coalesce(url, '') AS name FROM pages
-    ), s AS (SELECT *, sha256(name) AS h FROM p), r AS (SELECT *, {urn("h")} AS refers_to FROM s), b AS (
+    ), s AS (SELECT *, sha256(name) AS h, {_sql_steps("html", warc.TO_TEXT[:3])} AS shown FROM p), r AS (SELECT *, {urn("h")} AS refers_to FROM s), b AS (
         SELECT 'metadata' AS warc_type, 'application/warc-fields' AS content_type, refers_to, target_uri,
-               'title: ' || {title} || {nl} || 'lang: ' || {one_line(f"regexp_extract(html, '{warc.LANGUAGE}', 1)")} || {nl}
+               'title: ' || {title} || {nl} || 'lang: ' || {language} || {nl}
                || 'source-payload-digest: sha256:' || sha256(html) || {nl} || 'source-length: ' || strlen(html)::VARCHAR || {nl} || {headers}
-               || array_to_string(list_transform(regexp_extract_all(html, '{warc.LINK}', 1), lambda l: 'outlink: ' || {one_line("l")} || {nl}), '') AS block FROM r
+               || array_to_string(list_transform(regexp_extract_all(shown, '{SQL_LINK}', 1), lambda l: 'outlink: ' || {link} || {nl}), '') AS block FROM r
       UNION ALL
         SELECT 'conversion', 'text/plain; charset=utf-8', refers_to, target_uri, {text} FROM r
     ), d AS (SELECT *, sha256(warc_type || ' ' || refers_to) AS i FROM b)

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 VERSION = "WARC/1.1"
 CRLF = "\r\n"
 BLOCK_TAGS = "address|article|aside|blockquote|body|br|dd|div|dl|dt|fieldset|figure|footer|form|h1|h2|h3|h4|h5|h6|head|header|hr|html|li|main|nav|ol|p|pre|section|table|td|th|tr|ul"
-# (pattern, replacement), one after another; entities last, the ampersand after all others
+# (pattern, replacement), one after another; the first three take out what isn't shown
 TO_TEXT = [
     (r"(?s)<!--.*?-->", " "),
     (r"(?is)<script\b[^>]*>.*?</script\s*>", " "),
@@ -34,14 +34,10 @@ TO_TEXT = [
     (rf"(?i)</?(?:{BLOCK_TAGS})\b[^>]*>", "\n"),
     (r"<[^>]*>", ""),
 ]
-ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&amp;", "&")]
 TIDY = [(r"[ \t\r\f]+", " "), (r" ?\n ?", "\n"), (r"\n+", "\n"), (r"^[ \n]+|[ \n]+$", "")]
 TITLE = r"(?is)<title\b[^>]*>(.*?)</title\s*>"
-LANGUAGE = r'(?i)<html\b[^>]*\blang="([^"]*)"'
-LINK = r'(?i)<a\b[^>]*\bhref="([^"]*)"'
-# ENTITIES, LANGUAGE and LINK are what the registered SQL states; the records follow HTML's own rules below
 
-# name, with its semicolon if it needs one -> text; a no-break space is a blank, as in ENTITIES.  A look-up goes
+# name, with its semicolon if it needs one -> text; a no-break space is a blank.  A look-up goes
 # through them in order, so the names of old, which are the common ones, stand first
 COMMON = dict.fromkeys(["nbsp;", "amp;", "lt;", "gt;", "quot;", "copy;", "middot;", *(f"{n}{e}" for e in (";", "") for n in name2codepoint)])
 NAMED = {n: html5[n] for n in [*(n for n in COMMON if n in html5), *(n for n in html5 if n not in COMMON)]} | {"nbsp;": " ", "nbsp": " "}
@@ -132,11 +128,11 @@ def derivatives(responses: DataFrame) -> DataFrame:
     sources = F.filter(F.split("http_headers", r"\r?\n"), lambda h: F.trim(h) != "")
     metadata = F.concat(
         field("title", one_line(_entities(F.regexp_extract("html", TITLE, 1)))),
-        field("lang", one_line(F.get(attributes(F.col("html"), "html", "lang"), F.lit(0)))),
+        field("lang", one_line(_entities(F.coalesce(F.get(attributes(F.col("html"), "html", "lang"), F.lit(0)), F.lit(""))))),
         field("source-payload-digest", sha256(F.col("html"))),
         field("source-length", F.octet_length("html").cast("string")),
         many("source-header", sources),
-        many("outlink", attributes(F.col("html"), "a", "href")),
+        many("outlink", F.transform(attributes(_replaced(F.col("html"), TO_TEXT[:3]), "a", "href"), _entities)),
     )
     kinds = F.array(
         F.struct(F.lit("metadata").alias("warc_type"), F.lit("application/warc-fields").alias("content_type"), metadata.alias("block")),

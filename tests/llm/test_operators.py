@@ -331,3 +331,11 @@ def test_pipeline(spark):
         assert docs.columns == columns, name
         assert docs.join(before, "doc_id", "left_anti").isEmpty() and 0 < docs.count() <= before.count()
     assert sorted(r.doc_id for r in corpus_pipeline.run(spark, sf).collect()) == sorted(r.doc_id for r in docs.collect())
+
+
+def test_warc_outlinks_are_decoded_and_shown_ones_only(spark):
+    html = '<html lang="a&amp;b"><!-- <a href="/hidden"> --><script>x = '+"'"+'<a href="/script">'+"'"+'</script><a href="/p?a=1&amp;b=2">x</a><a href="/q?a=1&b=2">y</a>'
+    rows = [("<urn:uuid:1>", "http://x", "2024-01-01T00:00:00Z", "HTTP/1.1 200 OK", html)]
+    records = warc.derivatives(spark.createDataFrame(rows, "record_id string, target_uri string, date string, http_headers string, payload string"))
+    meta = records.filter("warc_type = 'metadata'").first()["block"].split("\r\n")
+    assert [m for m in meta if m.startswith("outlink: ")] == ["outlink: /p?a=1&b=2", "outlink: /q?a=1&b=2"] and "lang: a&b" in meta
