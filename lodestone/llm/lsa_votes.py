@@ -19,6 +19,7 @@ and not held out; an empty table gives an empty one.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -150,9 +151,18 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", sample:
             x = features(batch["text"])
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["label"], pa.array([r.tobytes() for r in x], pa.binary())], ["doc_id", "label", "x"])
 
-    got = rows.select("doc_id", "text", "label").mapInArrow(measure, "doc_id long, label int, x binary").toArrow().sort_by("doc_id")
-    x = np.frombuffer(b"".join(got["x"].to_pylist()), np.float32).reshape(-1, FEATURES)
-    return Model(x, got["label"].to_numpy())
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = pa.Table.from_batches(list(batches), pa.schema([("doc_id", pa.int64()), ("label", pa.int32()), ("x", pa.binary())])).sort_by("doc_id")
+        x = np.frombuffer(b"".join(got["x"].to_pylist()), np.float32).reshape(-1, FEATURES)
+        model = vars(Model(x, got["label"].to_numpy()))
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
+
+    # the sample is of bounded size, and so is the task that has all of it; the driver gets the model alone
+    measured = rows.select("doc_id", "text", "label").mapInArrow(measure, "doc_id long, label int, x binary")
+    got = measured.repartition(1).mapInArrow(learn, "model binary").collect()
+    model = Model.__new__(Model)
+    vars(model).update(pickle.loads(got[0]["model"]) if got else vars(Model(np.zeros((0, FEATURES), np.float32), np.zeros(0, np.int32))))
+    return model
 
 
 def _score_batches(model: dict, batch: pa.RecordBatch, text_col: str) -> np.ndarray:
