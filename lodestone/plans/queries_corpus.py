@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.constants import SWEEP_SIZES
+from lodestone.constants import CHUNKING_STRATEGIES, RECURSIVE_SEPARATORS, SWEEP_SIZES
 from lodestone.functions.text import preview
 from lodestone.functions.unions import union_all
 from lodestone.operators import chunking, cleaning, dedup, monitoring, records
 from lodestone.plans import corpus as job
 from lodestone.plans.catalog import query
-from lodestone.plans.sql import CLEAN, WS, window_chunks, word_chunks
+from lodestone.plans.sql import CLEAN, WS, recursive_chunks, window_chunks, word_chunks
 from lodestone.plans.tables import corpus, stream_table, as_corpus, table
 from lodestone.session import fresh_dir
 from lodestone.streaming.ingest import start_ingest
@@ -61,21 +61,29 @@ def chunk_document(spark, sf):
     return chunking.chunk(cleaning.clean(corpus(spark, sf)), "document")
 
 
-def _recursive(strategy: str):
+def _recursive(name: str, strategy: str) -> None:
+    """Registers the chunks of a recursive strategy with their SQL."""
+    s = CHUNKING_STRATEGIES[strategy]
+    chunks = recursive_chunks(s["size"], s["overlap"], s["separators"], longer_than=s.get("whole_up_to"))
+
+    @query(name, f"WITH {CLEAN}, {chunks} SELECT {CHUNK_COLUMNS} FROM chunks")
     def run(spark, sf) -> DataFrame:
         return chunking.chunk(cleaning.clean(corpus(spark, sf)), strategy)
 
-    return run
 
+_recursive("chunk_recursive_800", "recursive_800")
+_recursive("chunk_recursive_450", "recursive_paragraph")
+_recursive("chunk_sentence", "sentence_based")
+_recursive("chunk_natural", "natural_paragraph")
 
-# The splitter recurses, which SQL cannot follow cheaply; tests hold it against a brute-force one.
-query("chunk_recursive_800")(_recursive("recursive_800"))
-query("chunk_recursive_450")(_recursive("recursive_paragraph"))
-query("chunk_sentence")(_recursive("sentence_based"))
-query("chunk_natural")(_recursive("natural_paragraph"))
+SWEEP_CHUNKS = ", ".join(recursive_chunks(size, size // 10, RECURSIVE_SEPARATORS, f"c{size}") for size in SWEEP_SIZES)
+SWEEP_ROWS = " UNION ALL ".join(
+    f"SELECT {size} AS size, count(*) AS chunks, min(length(chunk_text))::INTEGER AS min_chars, round(avg(length(chunk_text)) + 1e-9, 4) AS avg_chars, "
+    f"max(length(chunk_text))::INTEGER AS max_chars FROM c{size}" for size in SWEEP_SIZES
+)
 
 
-@query("chunk_size_sweep")
+@query("chunk_size_sweep", f"WITH {CLEAN}, {SWEEP_CHUNKS} {SWEEP_ROWS}")
 def chunk_size_sweep(spark, sf):
     return chunking.chunk_summary(chunking.sweep(cleaning.clean(corpus(spark, sf)), SWEEP_SIZES), "size")
 

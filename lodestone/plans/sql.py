@@ -48,6 +48,43 @@ def window_chunks(size: int, overlap: int, name: str = "chunks") -> str:
     SELECT unnest(generate_series(0, ((greatest(length(combined_text) - {overlap}, 1) - 1) // {size - overlap})::BIGINT)) AS i))"""
 
 
+def recursive_chunks(size: int, overlap: int, separators: list[str], name: str = "chunks", longer_than: int | None = None) -> str:
+    """CTE of recursive chunks: a level per separator, then neighbours that fit are packed by a recursion over their cuts.
+
+    Texts of up to ``longer_than`` characters are kept whole.
+    """
+    some = f"length(combined_text) > {longer_than}" if longer_than else "TRUE"
+    steps = [f"{name}_p0 AS (SELECT id, 1::BIGINT AS a, combined_text AS t FROM clean WHERE {some} AND combined_text <> '')"]
+    for level, separator in enumerate(separators):
+        sep = quoted(separator)
+        steps.append(f"""{name}_q{level} AS (
+  SELECT id, parent, ord, t, (parent + coalesce(sum(length(t)) OVER (PARTITION BY id, parent ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT AS a
+  FROM (SELECT id, a AS parent, unnest(ts) AS t, generate_subscripts(ts, 1) AS ord FROM (
+    SELECT id, a, list_filter(list_transform(string_split(t, {sep}), lambda x, i: CASE WHEN i = 1 THEN x ELSE {sep} || x END), lambda x: x <> '') AS ts
+    FROM {name}_p{level} WHERE contains(t, {sep})))),
+{name}_p{level + 1} AS (
+  SELECT id, a, t FROM {name}_q{level} WHERE length(t) >= {size} UNION ALL SELECT id, a, t FROM {name}_p{level} WHERE NOT contains(t, {sep}))""")
+    fits = " UNION ALL ".join(f"SELECT {i} AS level, id, parent, ord, a, length(t) AS n FROM {name}_q{i} WHERE length(t) < {size}" for i in range(len(separators)))
+    steps.append(f"""{name}_r AS MATERIALIZED (
+  SELECT id, list(a ORDER BY ord) || [max(a + n)] AS cuts FROM (
+    SELECT *, ord - row_number() OVER (PARTITION BY level, id, parent ORDER BY ord) AS island FROM ({fits}))
+  GROUP BY level, id, parent, island),
+{name}_k AS (
+  WITH RECURSIVE k AS (
+    SELECT id, cuts, 1::BIGINT AS f, len(list_filter(cuts, lambda c: c <= cuts[1] + {size})) AS l FROM {name}_r
+    UNION ALL
+    SELECT id, cuts, f, len(list_filter(cuts, lambda c: c <= cuts[f] + {size})) AS l FROM (
+      SELECT id, cuts, 1 + len(list_filter(cuts, lambda c: c < greatest(cuts[l] - {overlap}, cuts[l + 1] - {size}))) AS f FROM k WHERE l < len(cuts)))
+  SELECT id, cuts[f] AS a, cuts[l] AS b FROM k),
+{name} AS MATERIALIZED (
+  SELECT id AS doc_id, title, lang, (row_number() OVER (PARTITION BY id ORDER BY a) - 1)::INTEGER AS chunk_index, t AS chunk_text FROM (
+    SELECT id, title, lang, a, regexp_replace(substr(combined_text, a, b - a), {WS}) AS t
+    FROM (SELECT id, a, b FROM {name}_k UNION ALL SELECT id, a, a + length(t) FROM {name}_p{len(separators)}) JOIN clean USING (id)
+    {f"UNION ALL SELECT id, title, lang, 1, combined_text FROM clean WHERE NOT ({some})" if longer_than else ""})
+  WHERE t <> '')""")
+    return ",\n".join(steps)
+
+
 def embedding(name: str, src: str, keys: str, text: str, dim: int = 64) -> str:
     """CTEs ``name`` (keys, bucket, v) with unit length, from signed hashing of tokens."""
     return f"""
