@@ -13,7 +13,9 @@ tasks and run over the index in place; a task gives k rows per query and block.
 
 Cases: null vectors and vectors with a null, NaN or infinite component take no
 part, nor do rows without an id; shorter vectors are filled up with zeros; a
-query isn't matched with rows of its own id; ties go to the smaller id, and
+query isn't matched with rows of its own id; query rows of one id with different
+vectors are queries of their own, numbered in the order of their vectors
+(query_no, from 1), and equal ones are one query; ties go to the smaller id, and
 rows repeated with the same id can each be a result; fewer rows than k give all;
 an empty table gives an empty one; other columns are ignored.
 """
@@ -28,12 +30,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lodestone.session import fresh_dir
+from lodestone.llm.common import BATCH_BYTES, arrow_batches
+from lodestone.session import fresh_dir, materialise
 
 BLOCK_ROWS = 1 << 16
 QUERY_BLOCK = 4096
 INDEX = "n int, ids binary, slices binary"
-FOUND = "query_id long, vec_id long, score long"
+FOUND = "query_id long, query_no int, vec_id long, score long"
 
 
 def quantised(vectors: DataFrame, id_col: str, vector_col: str, scale: int = 256) -> DataFrame:
@@ -142,17 +145,22 @@ def positions(bitmap: np.ndarray) -> np.ndarray:
 
 
 def search(spark: SparkSession, path: str, shape: dict[str, int], queries: DataFrame, k: int) -> DataFrame:
-    """query_id, rank, vec_id, score: the k best rows of the index for every (id, q) query."""
+    """query_id, query_no, rank, vec_id, score: the k best rows of the index for every distinct (id, q) query.
+
+    A block's finds are written before the next block is sent, so that one block is with the tasks at a time.
+    """
+    queries = queries.distinct().withColumn("no", F.row_number().over(W.partitionBy("id").orderBy("q")))
+    queries = materialise(queries, "bit-slice-queries")
     parts = -(-queries.count() // QUERY_BLOCK)
     dims, low, bits = shape["dims"], shape["low"], shape["bits"]
     found = None
     for part in range(parts):
-        some = queries if parts == 1 else queries.filter(F.pmod(F.xxhash64("id"), F.lit(parts)) == part)
+        some = queries if parts == 1 else queries.filter(F.pmod(F.xxhash64("id", "no"), F.lit(parts)) == part)
         got = some.toArrow()  # about QUERY_BLOCK rows of dims numbers
-        block = spark.sparkContext.broadcast((got["id"].to_numpy(), matrix(got["q"].combine_chunks(), dims)))
+        block = spark.sparkContext.broadcast((got["id"].to_numpy(), got["no"].to_numpy(), matrix(got["q"].combine_chunks(), dims)))
 
         def look(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
-            query_ids, queries_q = block.value
+            query_ids, query_nos, queries_q = block.value
             for batch in batches:
                 for row in range(batch.num_rows):
                     n = batch["n"][row].as_py()
@@ -160,8 +168,8 @@ def search(spark: SparkSession, path: str, shape: dict[str, int], queries: DataF
                     slices = np.frombuffer(batch["slices"][row].as_buffer(), np.uint64).reshape(dims, bits, -1)
                     valid = np.packbits(np.arange(slices.shape[2] * 64) < n, bitorder="little").view(np.uint64)
                     by_id = np.argsort(ids, kind="stable")
-                    out = [[], [], []]
-                    for query_id, q in zip(query_ids, queries_q):
+                    out = [[], [], [], []]
+                    for query_id, no, q in zip(query_ids, query_nos, queries_q):
                         own = by_id[np.searchsorted(ids[by_id], query_id, "left") : np.searchsorted(ids[by_id], query_id, "right")]
                         rows = valid
                         if len(own):
@@ -177,24 +185,27 @@ def search(spark: SparkSession, path: str, shape: dict[str, int], queries: DataF
                         values = ((total[:, taken >> 6] >> (taken & 63).astype(np.uint64)) & np.uint64(1)).astype(np.int64)
                         score = (values << np.arange(len(total))[:, None]).sum(axis=0) + shift
                         out[0].append(np.full(len(taken), query_id))
-                        out[1].append(ids[taken])
-                        out[2].append(score)
+                        out[1].append(np.full(len(taken), no))
+                        out[2].append(ids[taken])
+                        out[3].append(score)
                     if len(query_ids):
-                        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in out], ["query_id", "vec_id", "score"])
+                        kinds = (np.int64, np.int32, np.int64, np.int64)
+                        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(t)) for x, t in zip(out, kinds)], ["query_id", "query_no", "vec_id", "score"])
 
-        best = spark.read.schema(INDEX).parquet(path).mapInArrow(look, FOUND)
+        with arrow_batches(spark, 4, BATCH_BYTES):  # a row is a block of the index
+            best = materialise(spark.read.schema(INDEX).parquet(path).mapInArrow(look, FOUND), "bit-slice-finds")
+        block.unpersist()
         found = best if found is None else found.unionByName(best)
     found = spark.createDataFrame([], FOUND) if found is None else found
-    order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    order = W.partitionBy("query_id", "query_no").orderBy(F.desc("score"), "vec_id")
+    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "query_no", "rank", "vec_id", "score")
 
 
 def topk(vectors: DataFrame, is_query: Column, k: int, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """Index, then search with the rows that ``is_query`` (over ``id``) picks."""
     spark = vectors.sparkSession
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4096")
     path = fresh_dir(spark, "bit-slices")
     rows = quantised(vectors, id_col, vector_col)
-    shape = build_index(rows, path)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")  # a row is a block
+    with arrow_batches(spark, 4096, BATCH_BYTES):
+        shape = build_index(rows, path)
     return search(spark, path, shape, rows.filter(is_query), k)

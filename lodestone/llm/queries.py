@@ -80,14 +80,17 @@ WITH v AS (
     FROM embeddings
     WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
       AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), a AS (
+    SELECT vec_id, q, row_number() OVER (PARTITION BY vec_id ORDER BY q) AS query_no
+    FROM (SELECT DISTINCT vec_id, q FROM v WHERE vec_id % 50 = 0)
 ), pairs AS (
-    SELECT a.vec_id AS query_id, b.vec_id,
+    SELECT a.vec_id AS query_id, a.query_no, b.vec_id,
            list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2]))::BIGINT AS score
-    FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0
+    FROM a JOIN v b ON a.vec_id <> b.vec_id
 ), ranked AS (
-    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM pairs
+    SELECT *, row_number() OVER (PARTITION BY query_id, query_no ORDER BY score DESC, vec_id) AS rank FROM pairs
 )
-SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 5
+SELECT query_id, query_no::INTEGER AS query_no, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
 

@@ -8,12 +8,14 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
+from lodestone.llm import bit_mixing as M
 from lodestone.llm import bit_slices, lsa_votes, warc
 from lodestone.llm.anchors import repeat_report, without_repeats
 from lodestone.llm.bpe import decode_documents, encode_documents, round_trip_digests
@@ -24,6 +26,7 @@ from lodestone.llm.rans import CHECK_STEPS, Decoder, Encoder, Table
 from lodestone.llm.suffixes import contamination_report, remove_contaminated, verbatim_matches
 from lodestone.llm.token_counts import token_counts
 from lodestone.llm.token_files import read_token_digests, read_token_files, write_token_files
+from lodestone.llm.words import mix as words_mix
 from lodestone.session import fresh_dir, materialise
 
 HF, RANKS = P.path("byte_bpe_50k.json"), P.path("byte_bpe_multi_50k.tiktoken")
@@ -254,13 +257,17 @@ def test_bit_slices(spark):
     x = rng.normal(size=(230, 9)).round(2)
     x[7] = x[8]
     rows = [(k, [float(v) for v in row], "x") for k, row in enumerate(x)] + [(300, None, "x"), (301, [1.0, None], "x"), (302, [float("nan")], "x"), (303, [float("inf")], "x"), (None, [1.0], "x"), (304, [2.0], "x"), (305, [], "x")]
+    other = [float(v) for v in rng.normal(size=9).round(2)]
+    rows += [(40, other, "x"), (60, rows[60][1], "x")]  # a query of two vectors, and one that is there twice
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, q string").repartition(4)
     whole = {k: np.floor(256 * row).astype(int) for k, row in enumerate(x)}
     whole |= {304: np.array([512] + [0] * 8), 305: np.zeros(9, int)}
+    items = [*whole.items(), (40, np.floor(256 * np.array(other)).astype(int)), (60, whole[60])]
     want = []
-    for q in (k for k in whole if k % 20 == 0):
-        best = sorted((-int(whole[q] @ v), k) for k, v in whole.items() if k != q)[:5]
-        want += [(q, r + 1, k, -s) for r, (s, k) in enumerate(best)]
+    for q in sorted({k for k, _ in items if k % 20 == 0}):
+        for no, vector in enumerate(sorted({tuple(v.tolist()) for k, v in items if k == q}), 1):
+            best = sorted((-int(np.array(vector) @ v), k) for k, v in items if k != q)[:5]
+            want += [(q, no, r + 1, k, -s) for r, (s, k) in enumerate(best)]
     got = bit_slices.topk(df, F.col("id") % 20 == 0, 5)
     assert sorted(map(tuple, got.collect())) == sorted(want)
     assert bit_slices.topk(df.limit(0), F.col("id") % 20 == 0, 5).count() == 0
@@ -321,6 +328,73 @@ def test_quality_votes(spark, none):
     assert lsa_votes.score(none, lsa_votes.fit(none, labels)).count() == 0
 
 
+def test_quality_votes_against_plain_cosines(docs, rows, spark):
+    """Every document beside every labelled vector, one pair after another, sorted in full."""
+    labels = spark.createDataFrame([(i, k % 3 % 2) for k, (i, _) in enumerate(rows)], "doc_id long, quality int")
+    model = lsa_votes.fit(docs, labels)
+    x = lsa_votes.features(pa.array([t or "" for _, t in rows]))
+    train = [k for k, (i, _) in sorted(enumerate(rows), key=lambda r: r[1][0]) if zlib.crc32(str(i).encode()) % 5 != 0]
+    truth = np.array([k % 3 % 2 for k in train])
+    weight = 1 + np.log((1 + len(train)) / (1 + (x[train] > 0).sum(axis=0)))
+    assert np.allclose(model.weight, weight, atol=1e-5) and model.labels.tolist() == truth.tolist()
+    length = lambda v: math.sqrt(float(v @ v))
+    known = [(x[k] * model.weight / max(length(x[k] * model.weight), 1e-12)) @ model.axes for k in train]
+    assert all(np.allclose(z / max(length(z), 1e-12), m, atol=1e-4) for z, m in zip(known, model.known))
+    got = by_id(lsa_votes.score(docs, model))
+    for k, (i, t) in enumerate(rows):
+        z = (x[k] * model.weight) @ model.axes
+        cosines = [float(z @ m) / max(length(z), 1e-12) for m in model.known]
+        near = sorted(range(len(train)), key=lambda j: -cosines[j])[:15]
+        votes = [max(cosines[j], 0) ** 8 for j in near]
+        want = sum(v * truth[j] for v, j in zip(votes, near)) / sum(votes) if np.abs(x[k]).sum() and sum(votes) else truth.mean()
+        assert got[i].score == pytest.approx(want, abs=5e-3), t
+        assert got[i].held_out == (zlib.crc32(str(i).encode()) % 5 == 0) and got[i].predicted == int(got[i].score >= 0.3)
+    again = lsa_votes.score(docs.unionByName(docs), model).collect()  # repeated rows are each scored
+    assert Counter((r.doc_id, round(r.score, 6)) for r in again) == Counter({(i, round(r.score, 6)): 2 for i, r in got.items()})
+
+
+def plain_mixer(model, unit: bytes) -> float:
+    """log10 of the probability of a unit, a bit at a time."""
+    mask, out = (1 << 64) - 1, 0.0
+    hashed = lambda v: int(words_mix(np.array([v & mask], np.uint64))[0])
+    near, whole = 0, 0x1234567
+    for place, byte in enumerate(unit):
+        contexts = [near & (1 << 8 * k) - 1 for k in M.ORDERS] + [whole]
+        seeds = [hashed(c + (0x9E3779B97F4A7C15 * (k + 1) & mask)) for k, c in enumerate(contexts)]
+        node = 1
+        for bit in range(7, -1, -1):
+            slots = [(((s ^ node * 0xD6E8FEB86659FD93 & mask) * 0xBF58476D1CE4E5B9 & mask) >> 64 - b) + int(o) for s, b, o in zip(seeds, M.TABLE_BITS, M.OFFSETS)]
+            zeros, ones = model["counts"][0::2], model["counts"][1::2]
+            level = int(min(math.log2(zeros[slots[-1]] + ones[slots[-1]] + 1), M.EVIDENCE - 1))
+            weights = model["weights"][:, (bit * M.PLACES + min(place, M.PLACES - 1)) * M.EVIDENCE + level]
+            mixed = 0.3 * weights[-1] + sum(w * math.log((ones[s] + 0.4) / (zeros[s] + 0.4)) for w, s in zip(weights, slots))
+            refined = model["refined"][node * M.BUCKETS + round((min(max(mixed, -8), 8) + 8) * (M.BUCKETS - 1) / 16)]
+            one = 0.25 / (1 + math.exp(-mixed)) + 0.75 * refined
+            y = byte >> bit & 1
+            out += math.log10(min(max(one if y else 1 - one, 1e-7), 1))
+            node = node * 2 + y
+        near = (near << 8 | byte) & mask
+        whole = hashed(whole ^ (byte + 0x100) * 0x2545F4914F6CDD1D)
+    return out
+
+
+def test_bit_mixer_against_a_plain_one():
+    units = [b" the\xff", b" then\xff", b"there\xff", "né".encode() + b"\xff", b"\xfe", b" 123\xff", b"the" * 30 + b"\xff"]
+    data, sizes = np.frombuffer(b"".join(units), np.uint8), np.array([len(u) for u in units])
+    walk = M.Walk(data, np.cumsum(sizes) - sizes, sizes)
+    counts, weights, outcomes = np.zeros(2 * M.SLOTS, np.int64), M.start_weights(), np.zeros(2 * 256 * M.BUCKETS)
+    M.count(counts, walk, np.ones(len(units), np.int64))
+    assert counts.sum() == 8 * sizes.sum() * len(M.TABLE_BITS)
+    counts = counts.astype(np.float32)
+    M.learn(counts, weights, outcomes, walk, np.ones(len(units), np.int64))
+    assert outcomes.sum() == 8 * sizes.sum() and (weights != M.start_weights()).any()
+    model = {"counts": counts, "weights": weights, "refined": M.refinement(outcomes)}
+    fresh = [*units, b"unseen\xff", b"\x00\xff"]
+    data, sizes = np.frombuffer(b"".join(fresh), np.uint8), np.array([len(u) for u in fresh])
+    got = M.Scorer(**model).log10(data, np.cumsum(sizes) - sizes, sizes)
+    assert got == pytest.approx([plain_mixer(model, u) for u in fresh], rel=2e-2)
+
+
 def test_pipeline(spark):
     sf = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
