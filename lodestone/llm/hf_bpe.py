@@ -11,6 +11,9 @@ import regex
 from lodestone.llm.common import worker_memory
 from lodestone.llm.units import UnitEncoder
 
+MOST_PIECES = 300_000  # remembered at once in a worker
+CLOSING = ".,;:!?\"#$%&()*+-/<=>@[]^_`{|}~\\"  # ASCII marks but the apostrophe, which can begin a piece with letters behind it
+
 
 def byte_letters() -> dict[int, str]:
     """How byte-level vocabularies write bytes: printable ones as themselves, the others as letters from 256 on."""
@@ -19,6 +22,18 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
+def _pieces(unit: str, split) -> list[str] | tuple[str, ...]:
+    """The pattern's pieces of a unit; the pattern itself is only asked where a unit isn't letters and then marks."""
+    word = unit[1:] if unit[:1] == " " else unit
+    if word.isalpha():
+        return (unit,)
+    core = word.rstrip(CLOSING)
+    if core.isalpha():
+        n = len(unit) - len(word) + len(core)
+        return unit[:n], unit[n:]
+    return split(unit)
+
+
 def _places(piece: str, sizes: list[int]) -> tuple[list[int], list[int]]:
     """The characters each token covers: every one it has bytes of."""
     char = range(len(piece)) if piece.isascii() else [i for i, c in enumerate(piece) for _ in c.encode()]
@@ -70,8 +85,11 @@ def encoder(path: str, pattern: str, offsets: bool = False, encode_special_token
             ids = [t.id for t in got]
             return (ids, *_places(piece, [len(t.value) for t in got])) if offsets else (ids,)
 
+        known: dict[str, tuple] = {}
+
         def encode(units: list[str]):
-            known: dict[str, tuple] = {}
+            if len(known) > MOST_PIECES:
+                known.clear()
             gc.disable()  # hundreds of thousands of small lists, none of them in a cycle
             ids, many, begin, end = [], [], [], []
             for unit in units:
@@ -83,7 +101,7 @@ def encoder(path: str, pattern: str, offsets: bool = False, encode_special_token
                         end.append(len(unit))
                     many.append(1)
                     continue
-                for piece in [unit] if (unit[1:] if unit[:1] == " " else unit).isalpha() else split(unit):
+                for piece in _pieces(unit, split):
                     got = known.get(piece)
                     if got is None:
                         known[piece] = got = encode_piece(piece)

@@ -46,8 +46,6 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str, pattern: str,
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        from pyspark.sql.types import _parse_datatype_string  # noqa: F401
-
         shard, number, before = TaskContext.get().partitionId(), 0, 0
         held_ids: list[np.ndarray] = []
         held_docs: list[int | None] = []
@@ -67,17 +65,15 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str, pattern: str,
 
         for batch in batches:
             coder = encoder(vocabulary, pattern, encode_special_tokens=encode_special_tokens)
-            for lo in range(0, batch.num_rows, 500):
-                part = batch.slice(lo, 500)
-                ids, many = coder.rows(part["text"])
-                held_ids.append(np.insert(ids, np.cumsum(many), end_id))
-                held_lengths.append(many + 1)
-                held_docs += part["doc_id"].to_pylist()
-                held += len(held_ids[-1])
-                if held >= SEGMENT_IDS:
-                    yield close()
-                    number, before, held = number + 1, before + held, 0
-                    held_ids, held_docs, held_lengths = [], [], []
+            ids, many = coder.rows(batch["text"])  # a batch is bounded by rows and bytes
+            held_ids.append(np.insert(ids, np.cumsum(many), end_id))
+            held_lengths.append(many + 1)
+            held_docs += batch["doc_id"].to_pylist()
+            held += len(held_ids[-1])
+            if held >= SEGMENT_IDS:
+                yield close()
+                number, before, held = number + 1, before + held, 0
+                held_ids, held_docs, held_lengths = [], [], []
         if held:
             yield close()
 
@@ -137,7 +133,5 @@ def _decoded(spark: SparkSession, path: str, ddl: str, last_column) -> DataFrame
                 columns = [pa.array(row["doc_ids"], pa.int64()), pa.array(at), pa.array(lengths), last_column(ids, lengths)]
                 yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")  # a row is a whole segment
-    segments = spark.read.schema(SEGMENT).parquet(f"{path}/segments")
-    out = segments.mapInArrow(decode, ddl)
-    return out
+    bounded_batches(spark)  # by bytes; a row is a whole segment and decoded by itself
+    return spark.read.schema(SEGMENT).parquet(f"{path}/segments").mapInArrow(decode, ddl)
