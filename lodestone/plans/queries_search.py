@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lodestone.constants import EXACT_FUSION, HYBRID_PRESET
 from lodestone.functions.text import relevance_grade
 from lodestone.functions.unions import union_all
-from lodestone.operators import cleaning, encoding, lexical, postings, prompts, vector_search
+from lodestone.operators import cell_index, cleaning, encoding, lexical, postings, prompts, vector_search
 from lodestone.operators.chunking import chunk
 from lodestone.operators.classifier import apply_thresholds
 from lodestone.operators.monitoring import log_rows
@@ -117,6 +117,24 @@ def vector_topk_ivf(spark, sf):
     return _cells(spark, sf)[0]
 
 
+def _stored_cells(spark, sf) -> tuple[DataFrame, DataFrame]:
+    items, queries = _all_as_queries(spark, sf)
+    path = cell_index.build_cells(items, fresh_dir(spark, "cells"), ["vec_id"])
+    nprobe = cell_index.probes_needed(spark, path, queries, ["vec_id"], 5)
+    return cell_index.search_cells(spark, path, queries, ["vec_id"], 5, nprobe), vector_search.vector_topk(items, queries, ["vec_id"], 5)
+
+
+@query("vector_stored_cells")
+def vector_stored_cells(spark, sf):
+    """Search of a saved cell index; as many of its cells as a sample of the queries needs for a recall of 0.95."""
+    return _stored_cells(spark, sf)[0]
+
+
+@query("stored_cells_recall")
+def stored_cells_recall(spark, sf):
+    return vector_search.recall_at_k(*_stored_cells(spark, sf), ["vec_id"])
+
+
 @query("ivf_recall")
 def ivf_recall(spark, sf):
     return vector_search.recall_at_k(*_cells(spark, sf), ["vec_id"])
