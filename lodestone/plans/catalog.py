@@ -33,4 +33,5 @@ def load() -> None:
         queries_evaluation,
         queries_monitoring,
         queries_search,
+        queries_sources,
     )

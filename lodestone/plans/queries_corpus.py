@@ -14,6 +14,7 @@ from lodestone.plans.catalog import query
 from lodestone.plans.sql import CLEAN, WS, recursive_chunks, window_chunks, word_chunks
 from lodestone.plans.tables import corpus, stream_table, as_corpus, table
 from lodestone.session import fresh_dir
+from lodestone.sources.writers import write_parquet
 from lodestone.streaming.ingest import start_ingest
 
 WINDOW = {"kind": "window", "size": 512, "overlap": 64}
@@ -106,6 +107,13 @@ def chunk_dedup(spark, sf):
     return job.unique_chunks(corpus(spark, sf), "fixed_512")
 
 
+@query("chunk_dedup_stored", DEDUP_SQL)
+def chunk_dedup_stored(spark, sf):
+    """The same from a stored chunk table, whose texts are not shuffled."""
+    stored = write_parquet(chunking.chunk(cleaning.clean(corpus(spark, sf)), "fixed_512"), fresh_dir(spark, "chunks"))
+    return dedup.dedup_stored(spark.read.parquet(stored))
+
+
 @query("dedup_stats_by_lang", f"""WITH {CLEAN}, {window_chunks(512, 64)}, firsts AS (
   SELECT * FROM chunks WHERE chunk_text <> ''
   QUALIFY row_number() OVER (PARTITION BY md5(chunk_text) ORDER BY doc_id, chunk_index) = 1)

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,6 +26,22 @@ def write_json(df: DataFrame, path: str) -> str:
     return path
 
 
+def write_json_array(df: DataFrame, path: str) -> str:
+    """Each part is one JSON array with an element a line.  One task reads a part, so parts must not grow with the table."""
+
+    def framed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        opened = False
+        for batch in batches:
+            lines = ["," + x for x in batch.column(0).to_pylist()]
+            if lines and not opened:
+                lines[0], opened = "[" + lines[0][1:], True
+            yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], ["value"])
+        yield pa.RecordBatch.from_arrays([pa.array(["]" if opened else "[]"])], ["value"])
+
+    df.select(F.to_json(F.struct(*df.columns)).alias("value")).mapInArrow(framed, "value string").write.mode("overwrite").text(path)
+    return path
+
+
 def write_corpus_cache(docs: DataFrame, path: str, order: Sequence[str]) -> str:
     """Unique documents as JSON lines; the first by ``order`` of each id stays."""
     from lodestone.operators.dedup import keep_first
