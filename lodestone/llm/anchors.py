@@ -9,6 +9,8 @@ with a smaller doc_id, and windows in line make the maximal repeats.
 
 Only runs that may be a block leave the tasks: a bit filter of fixed size, made
 from all blocks, is sent to them.  At any size it only lets through too much.
+So does a second filter, of the runs that documents share: with it each document
+finds its own hits, so hits are neither written nor joined.
 Documents with the same words throughout are settled by one digest each.
 
 Cases: a null text has no words; a text shorter than a window loses nothing; a
@@ -34,10 +36,12 @@ from lodestone.session import materialise
 WINDOW = 50
 BLOCK = WINDOW // 2
 FILTER_BITS = 27  # of the filter's size; 16 MB
+SHARED_BITS = 20, 29  # the second filter has 16 bits a shared run, from 128 KB to 64 MB
 CHUNK_BITS = 15  # a chunk of the filter is 4 KB, as bitmap_or_agg wants it
 
 SEEN = "doc_id long, n_words long, s1 long, s2 long, sha256 string, chunk int, bits binary"
-HITS = "run long, doc_id long, pos int"
+HITS = "run long, doc_id long"
+PLACES = "doc_id long, pos array<int>"
 WINDOWS = "w1 long, w2 long, doc_id long, pos int"
 
 
@@ -59,9 +63,18 @@ def _joined(words: Words, keep: np.ndarray | None = None) -> list[bytes]:
     return [bytes(raw[b : max(b, e - 1)]) for b, e in zip(bound[:-1].tolist(), bound[1:].tolist())]
 
 
-def _filter_places(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    mask = np.uint64((1 << FILTER_BITS) - 1)
-    return (h >> np.uint64(64 - FILTER_BITS)).astype(np.int64), (h & mask).astype(np.int64)
+def _filter_places(h: np.ndarray, bits: int = FILTER_BITS) -> tuple[np.ndarray, np.ndarray]:
+    mask = np.uint64((1 << bits) - 1)
+    return (h >> np.uint64(64 - bits)).astype(np.int64), (h & mask).astype(np.int64)
+
+
+def _let_through(h: np.ndarray, known: bytes) -> np.ndarray:
+    """Which hashes a filter lets through."""
+    bits = np.frombuffer(known, np.uint8)
+    hit = np.ones(len(h), bool)
+    for where in _filter_places(h, (8 * len(known)).bit_length() - 1):
+        hit &= (bits[where >> 3] >> (where & 7).astype(np.uint8) & 1).astype(bool)
+    return hit
 
 
 def _runs(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -102,10 +115,20 @@ def _look(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(look, SEEN)
 
 
-def _filter(chunks: DataFrame) -> bytes:
-    """The filter, 16 MB at any input size."""
+def _shared_filter(runs: DataFrame) -> bytes:
+    """A filter of shared runs, as large as their number asks for, up to 64 MB."""
+    low, high = SHARED_BITS
+    bits = min(high, max(low, (16 * runs.count()).bit_length()))
+    places = F.array(F.shiftrightunsigned("run", 64 - bits), F.col("run").bitwiseAND((1 << bits) - 1))
+    place = runs.select(F.explode(places).alias("place"))
+    chunk = F.shiftright("place", CHUNK_BITS).cast("int").alias("chunk")
+    return _filter(place.groupBy(chunk).agg(F.bitmap_construct_agg(F.col("place").bitwiseAND((1 << CHUNK_BITS) - 1)).alias("bits")), bits)
+
+
+def _filter(chunks: DataFrame, filter_bits: int = FILTER_BITS) -> bytes:
+    """The filter of its chunks; its size doesn't depend on how many there are."""
     size = 1 << (CHUNK_BITS - 3)
-    out = bytearray(1 << (FILTER_BITS - 3))
+    out = bytearray(1 << (filter_bits - 3))
     for row in chunks.groupBy("chunk").agg(F.expr("bitmap_or_agg(bits)").alias("bits")).toLocalIterator():
         out[row["chunk"] * size : (row["chunk"] + 1) * size] = row["bits"]
     return bytes(out)
@@ -116,20 +139,37 @@ def _probe(docs: DataFrame, known: bytes) -> DataFrame:
     held = docs.sparkSession.sparkContext.broadcast(known)
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.frombuffer(held.value, np.uint8)
         for batch in batches:
             ids = batch["doc_id"].to_numpy(zero_copy_only=False)
             for words in each_slice(batch["text"], BLANKS, lower=False):
-                h, at, place = _runs(words)
-                hit = np.ones(len(h), bool)
-                for where in _filter_places(h):
-                    hit &= (bits[where >> 3] >> (where & 7).astype(np.uint8) & 1).astype(bool)
+                h, at, _ = _runs(words)
+                hit = _let_through(h, held.value)
                 row = words.rows[0] + words.row_of()[at[hit]]
-                yield pa.RecordBatch.from_arrays([_signed(h[hit]), pa.array(ids[row].astype(np.int64)), pa.array(place[hit].astype(np.int32))], ["run", "doc_id", "pos"])
+                yield pa.RecordBatch.from_arrays([_signed(h[hit]), pa.array(ids[row].astype(np.int64))], ["run", "doc_id"])
 
     return docs.mapInArrow(probe, HITS)
 
 
+def _places(docs: DataFrame, known: bytes) -> DataFrame:
+    """Per document that has them, the places of the runs that may be shared."""
+    held = docs.sparkSession.sparkContext.broadcast(known)
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for words in each_slice(batch["text"], BLANKS, lower=False):
+                h, at, place = _runs(words)
+                hit = _let_through(h, held.value)
+                lo, hi = words.rows
+                many = np.bincount(words.row_of()[at[hit]], minlength=hi - lo)
+                lists = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(many)]).astype(np.int32), pa.array(place[hit].astype(np.int32)))
+                some = pa.array(many > 0)
+                yield pa.RecordBatch.from_arrays([batch["doc_id"].slice(lo, hi - lo).filter(some), lists.filter(some)], ["doc_id", "pos"])
+
+    found = docs.mapInArrow(places, PLACES)
+    # Repeated rows of a document have the same places.
+    return found.groupBy("doc_id").agg(F.array_distinct(F.flatten(F.collect_set("pos"))).alias("pos"))
+
+
 def _windows(near: DataFrame) -> DataFrame:
     """The windows that hold a hit, of (doc_id, text, pos)."""
 
@@ -174,10 +214,9 @@ class Repeats:
         # a copy: every window of it starts in the smallest document of its class
         self.all = materialise(marked.select("doc_id", "n_words", "sha256", F.coalesce(F.col("doc_id") > F.col("smallest"), F.lit(False)).alias("copy")), "anchors-all")
         known = _filter(seen.filter("chunk IS NOT NULL"))
-        hits = materialise(_probe(texts.filter("doc_id IS NOT NULL"), known), "anchors-hits")
-        # Written first, so that Spark deals out both sides of the join anew and can split a run that a third of the rows share.
-        runs = materialise(_shared(hits, "run").select("run"), "anchors-runs")
-        places = hits.join(runs, "run").groupBy("doc_id").agg(F.collect_set("pos").alias("pos"))
+        named = texts.filter("doc_id IS NOT NULL")
+        runs = materialise(_shared(_probe(named, known), "run").select("run"), "anchors-runs")
+        places = _places(named, _shared_filter(runs))
         places = places.join(self.all.filter("copy").select("doc_id").distinct(), "doc_id", "left_anti")
         self.near = materialise(texts.join(places, "doc_id"), "anchors-near")
         windows = materialise(_windows(self.near), "anchors-windows")
