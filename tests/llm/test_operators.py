@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -11,6 +12,8 @@ import public_tokenizers as P
 import pyarrow as pa
 import pytest
 import tiktoken
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -19,7 +22,7 @@ from lodestone.llm import bit_mixing as M
 from lodestone.llm import bit_slices, lsa_votes, warc
 from lodestone.llm.anchors import repeat_report, without_repeats
 from lodestone.llm.bpe import decode_documents, encode_documents, round_trip_digests
-from lodestone.llm.duck_bpe import read_ranks
+from lodestone.llm.duck_bpe import Merger, merger, read_ranks
 from lodestone.llm.mixing_lm import mixing_scores
 from lodestone.llm.near_dups import near_duplicates, without_near_duplicates
 from lodestone.llm.rans import CHECK_STEPS, Decoder, Encoder, Table
@@ -120,6 +123,43 @@ def test_byte_bpe(docs, none, rows):
     assert round_trip_digests(none, RANKS, P.PATTERN).count() == 0
 
 
+UNBROKEN = {
+    "letters": lambda rng, n: "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), n)),
+    "four letters": lambda rng, n: "".join(rng.choice(list("ACGT"), n)),
+    "words": lambda rng, n: "".join(rng.choice(["there", "ther", "he", "ing", "ation", "ance", "tion"], n // 4)),
+    "one letter": lambda rng, n: "a" * n,
+    "no spaces": lambda rng, n: "".join(map(chr, rng.integers(0xE01, 0xE2E, n // 3))),
+}
+
+
+@pytest.mark.parametrize("kind", UNBROKEN)
+@pytest.mark.parametrize("size", [65, 300, 20_000])
+def test_byte_bpe_of_long_pieces(kind, size):
+    text = UNBROKEN[kind](np.random.default_rng(size), size)
+    plain = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=read_ranks(RANKS), special_tokens={})
+    assert merger(RANKS).encode([text.encode()])[0].tolist() == plain.encode_ordinary(text)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text("abc", min_size=2, max_size=5), max_size=12, unique=True), st.text("abc", min_size=65, max_size=120))
+def test_byte_bpe_of_any_vocabulary(tokens, text):
+    """Ranks that no training would give: a contraction can make a pair of a smaller rank."""
+    ranks = {bytes([b]): b for b in range(256)} | {t.encode(): 256 + k for k, t in enumerate(tokens)}
+    plain = tiktoken.Encoding("own", pat_str=r"\w+", mergeable_ranks=ranks, special_tokens={})
+    own = Merger(ranks)
+    assert own.encode([text.encode()])[0].tolist() == plain.encode_ordinary(text)
+    assert own._contract_long(text.encode()).tolist() == plain.encode_ordinary(text)
+
+
+def test_byte_bpe_of_a_megabyte_without_a_blank():
+    started = time.monotonic()
+    for kind in ("letters", "four letters", "one letter"):
+        text = UNBROKEN[kind](np.random.default_rng(1), 1 << 20).encode()
+        ids, many = merger(RANKS).encode([text])
+        assert many.tolist() == [len(ids)] and merger(RANKS).decode(ids.astype(np.int32), np.zeros(len(ids), np.int32), 1) == [text]
+    assert time.monotonic() - started < 120
+
+
 def test_anchor_dedup(docs, none, rows):
     seen, want = {}, {}
     for i, t in sorted(rows):
