@@ -14,8 +14,9 @@ from lodestone.plans.catalog import query
 from lodestone.plans.sql import CLEAN, WS, recursive_chunks, window_chunks, word_chunks
 from lodestone.plans.tables import corpus, stream_table, as_corpus, table
 from lodestone.session import fresh_dir
+from lodestone.sources.keyed_table import KeyedTable
 from lodestone.sources.writers import write_parquet
-from lodestone.streaming.ingest import start_ingest
+from lodestone.streaming.ingest import start_ingest, start_stateful_ingest
 
 WINDOW = {"kind": "window", "size": 512, "overlap": 64}
 CHUNK_COLUMNS = "doc_id, chunk_index, chunk_text, length(chunk_text)::INTEGER AS char_count, md5(chunk_text) AS content_hash"
@@ -301,3 +302,13 @@ def ingest_stream(spark, sf):
     stream = as_corpus(stream_table(spark, sf, "documents"))
     start_ingest(spark, stream, target, fresh_dir(spark, "ingest-checkpoint"), "fixed_512").awaitTermination()
     return spark.read.parquet(target)
+
+
+@query("ingest_stateful", f"SELECT content_hash, char_count FROM ({DEDUP_SQL})")
+def ingest_stateful(spark, sf):
+    """Two runs of one stream: what the second finds is known to the restored state."""
+    target, checkpoint = fresh_dir(spark, "ingest"), fresh_dir(spark, "ingest-checkpoint")
+    for _ in range(2):
+        stream = as_corpus(stream_table(spark, sf, "documents"))
+        start_stateful_ingest(spark, stream, target, checkpoint, "fixed_512").awaitTermination()
+    return KeyedTable(spark, target).read().select("content_hash", "char_count")

@@ -10,15 +10,16 @@ from lodestone.constants import CONDITIONS, DEFAULT_THRESHOLD, NO_FINDING
 from lodestone.functions.numbers import settled
 from lodestone.functions.unions import union_all
 from lodestone.operators import classifier as cl
-from lodestone.operators import records, retrieval_eval
-from lodestone.operators.encoding import score_items
+from lodestone.operators import chunking, cleaning, records, retrieval_eval
+from lodestone.operators.encoding import embed, score_items
 from lodestone.plans.catalog import query
 from lodestone.plans.queries_corpus import FLAT, _landed
 from lodestone.plans.queries_search import CENTROIDS
-from lodestone.plans.sql import CASES, QUERIES
-from lodestone.plans.tables import benchmark_cases, benchmark_topics, centroids, table
+from lodestone.plans.sql import CASES, CLEAN, QUERIES, word_chunks
+from lodestone.plans.tables import benchmark_cases, benchmark_topics, centroids, corpus, table
 from lodestone.session import fresh_dir
 from lodestone.sources import readers, writers
+from lodestone.sources.keyed_table import KeyedTable
 
 
 def _published(spark, sf) -> DataFrame:
@@ -79,6 +80,49 @@ def corpus_append(spark, sf):
     return spark.read.parquet(target).select("id", "doc_id", "title")
 
 
+def _two_writers(spark, sf) -> tuple[str, dict[str, dict[str, int]]]:
+    """Labelled documents and all documents go into one table at a time: both are checked before either is committed."""
+    docs = _published(spark, sf).withColumn("pmid", F.md5("abstract")).select("pmid", "title", "abstract", "doc_id")
+    early, target = table(spark, sf, "labels").select("doc_id"), fresh_dir(spark, "keyed")
+    batches = {"labelled": docs.join(early, "doc_id", "left_semi").select(*docs.columns), "all": docs}
+    writers_of = {name: writers.prepare_documents(spark, batch, target, "doc_id") for name, batch in batches.items()}
+    return target, {name: insert.commit() for name, insert in writers_of.items()}
+
+
+@query("keyed_insert_documents", f"""WITH {PUBLISHED}, told AS (SELECT *, doc_id IN (SELECT doc_id FROM labels) AS early FROM published WHERE text IS NOT NULL)
+SELECT abstract_hash AS pmid, doc_id, title FROM told QUALIFY row_number() OVER (PARTITION BY abstract_hash ORDER BY early DESC, doc_id) = 1""")
+def keyed_insert_documents(spark, sf):
+    """After both commits the batches are merged into one."""
+    shared = KeyedTable(spark, _two_writers(spark, sf)[0])
+    shared.compact()
+    return shared.read().select("pmid", "doc_id", "title")
+
+
+@query("keyed_insert_counts", """WITH told AS (SELECT md5(text) AS h, doc_id IN (SELECT doc_id FROM labels) AS early FROM documents),
+n AS (SELECT count(DISTINCT h) AS every, count(DISTINCT CASE WHEN early THEN h END) AS first FROM told)
+SELECT 'labelled' AS writer, any_value(first) AS inserted, count(h) - any_value(first) AS skipped, count(*) - count(h) AS errors FROM told CROSS JOIN n WHERE early
+UNION ALL SELECT 'all', any_value(every - first), count(h) - any_value(every - first), count(*) - count(h) FROM told CROSS JOIN n""")
+def keyed_insert_counts(spark, sf):
+    _, counts = _two_writers(spark, sf)
+    rows = [(name, *(c[k] for k in ("inserted", "skipped", "errors"))) for name, c in counts.items()]
+    return spark.createDataFrame(rows, "writer string, inserted long, skipped long, errors long")
+
+
+@query("keyed_insert_embeddings", f"""WITH {CLEAN}, {word_chunks(512)}, batch AS (
+  SELECT doc_id, chunk_index, md5(chunk_text) AS content_hash, doc_id IN (SELECT doc_id FROM labels) AS early, unnest(['hash32', 'hash64']) AS embedding_model FROM chunks)
+SELECT doc_id, chunk_index, content_hash, embedding_model FROM batch
+QUALIFY row_number() OVER (PARTITION BY content_hash, embedding_model ORDER BY embedding_model = 'hash64' AND early DESC, doc_id, chunk_index) = 1""")
+def keyed_insert_embeddings(spark, sf):
+    """Two models' vectors; a writer of the second brings labelled documents while all are on their way."""
+    chunks = chunking.chunk(cleaning.clean(corpus(spark, sf)), "fixed_512")
+    early, target = table(spark, sf, "labels").select("doc_id"), fresh_dir(spark, "keyed")
+    batches = [(chunks.join(early, "doc_id", "left_semi").select(*chunks.columns), "hash64"), (chunks, "hash32"), (chunks, "hash64")]
+    inserts = [writers.prepare_embeddings(spark, embed(batch, model), model, "fixed_512", target) for batch, model in batches]
+    for insert in inserts:
+        insert.commit()
+    return KeyedTable(spark, target).read().select("doc_id", "chunk_index", "content_hash", "embedding_model")
+
+
 def _landed_lines(spark, sf) -> DataFrame:
     """Records as JSON lines; where the page's number has remainder 3 by 7, the line breaks off in the middle."""
     line = F.to_json(F.struct("MedlineCitation"))

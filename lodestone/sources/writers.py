@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from lodestone.operators.dedup import unseen
 from lodestone.operators.monitoring import log_rows, register_models
 from lodestone.session import fresh_dir
+from lodestone.sources.keyed_table import Insert, KeyedTable
 from lodestone.sources.readers import path_exists
 
 
@@ -76,25 +77,50 @@ def _arrived(docs: DataFrame, arrival: str | None) -> DataFrame:
     return docs.withColumn("_arrival", F.col(arrival) if arrival else F.monotonically_increasing_id())
 
 
-def insert_documents(spark: SparkSession, docs: DataFrame, target: str, arrival: str | None = None) -> dict[str, int]:
-    """Into medical_documents, unique by pmid; the first seen of a batch stays: by ``arrival``, else by the batch's own order."""
-    rows = _arrived(docs, arrival).withColumns({"created_at": F.current_timestamp(), "updated_at": F.current_timestamp()})
-    return insert_if_absent(spark, rows, target, ["pmid"], ["_arrival", "title", "abstract"], unwritten=["_arrival"])
+def _documents(docs: DataFrame, arrival: str | None) -> DataFrame:
+    return _arrived(docs, arrival).withColumns({"created_at": F.current_timestamp(), "updated_at": F.current_timestamp()})
 
 
-def insert_embeddings(spark: SparkSession, embedded: DataFrame, model: str, strategy: str, target: str) -> dict[str, int]:
-    """Into document_embeddings, unique by (content_hash, embedding_model)."""
-    rows = embedded.select(
+def _embeddings(embedded: DataFrame, model: str, strategy: str) -> DataFrame:
+    return embedded.select(
         "doc_id", "chunk_index", "chunk_text", "content_hash", "embedding",
         F.lit(model).alias("embedding_model"), F.lit(strategy).alias("chunking_strategy"),
         F.current_timestamp().alias("created_at"),
     )
+
+
+DOCUMENT_KEY, EMBEDDING_KEY = ["pmid"], ["content_hash", "embedding_model"]
+
+
+def insert_documents(spark: SparkSession, docs: DataFrame, target: str, arrival: str | None = None) -> dict[str, int]:
+    """Into medical_documents, unique by pmid; the first seen of a batch stays: by ``arrival``, else by the batch's own order."""
+    return insert_if_absent(spark, _documents(docs, arrival), target, DOCUMENT_KEY, ["_arrival", "title", "abstract"], unwritten=["_arrival"])
+
+
+def insert_embeddings(spark: SparkSession, embedded: DataFrame, model: str, strategy: str, target: str) -> dict[str, int]:
+    """Into document_embeddings, unique by (content_hash, embedding_model)."""
     return insert_if_absent(
-        spark, rows, target, ["content_hash", "embedding_model"], ["doc_id", "chunk_index"],
+        spark, _embeddings(embedded, model, strategy), target, EMBEDDING_KEY, ["doc_id", "chunk_index"],
         ["embedding_model", "chunking_strategy"],
     )
 
 
+def prepare_documents(spark: SparkSession, docs: DataFrame, target: str, arrival: str) -> Insert:
+    """``insert_documents`` for several writers at a time: the target is a ``KeyedTable``, the rows are its after commit()."""
+    return KeyedTable(spark, target, DOCUMENT_KEY).prepare(_documents(docs, arrival), ["_arrival", "title", "abstract"], ["_arrival"])
+
+
+def prepare_embeddings(spark: SparkSession, embedded: DataFrame, model: str, strategy: str, target: str) -> Insert:
+    """``insert_embeddings`` for several writers at a time: the target is a ``KeyedTable``, the rows are its after commit()."""
+    return KeyedTable(spark, target, EMBEDDING_KEY).prepare(_embeddings(embedded, model, strategy), ["doc_id", "chunk_index"])
+
+
+def commit_registry(spark: SparkSession, new: DataFrame, target: str) -> int:
+    """Registers models in a shared registry; a registration that comes in meanwhile is seen.  Returns its rows."""
+    table = KeyedTable(spark, target, ["model_type", "version"], buckets=1)
+    return table.replace(lambda rows: register_models(rows, new), new.withColumn("is_active", F.lit(False)).limit(0))
+
+
 def append_corpus(spark: SparkSession, docs: DataFrame, target: str, arrival: str | None = None) -> dict[str, int]:
     """Adds documents with unseen ids to a Parquet corpus; the first seen of a batch stays: by ``arrival``, else by the batch's own order."""
     return insert_if_absent(spark, _arrived(docs, arrival), target, ["id"], ["_arrival", "title", "abstract"], unwritten=["_arrival"])
