@@ -276,6 +276,12 @@ def threshold_curve(scored: DataFrame, by: Sequence[str] = ("condition",), grid:
     Items are first counted by the number of grid thresholds they reach, so the
     search itself runs on at most n + 1 rows per class.
     """
+    real = (F.col("label") == 1).cast("long")
+    return threshold_counts(scored.withColumns({"pos": real, "neg": 1 - real}), by, grid)
+
+
+def threshold_counts(weighted: DataFrame, by: Sequence[str], grid: tuple[float, float, int]) -> DataFrame:
+    """``threshold_curve`` of rows that stand for ``pos`` and ``neg`` items of a score."""
     by = list(by)
     lo, hi, n = grid
     score = F.col("score")
@@ -287,8 +293,7 @@ def threshold_curve(scored: DataFrame, by: Sequence[str] = ("condition",), grid:
         .when((guess >= 0) & (threshold_value(guess, grid) > score), guess - 1)
         .otherwise(guess)
     )
-    real = (F.col("label") == 1).cast("long")
-    binned = scored.groupBy(*by, reached.alias("bin")).agg(F.sum(real).alias("pos"), F.sum(1 - real).alias("neg"))
+    binned = weighted.groupBy(*by, reached.alias("bin")).agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     full = (
         binned.select(*by).distinct().withColumn("bin", F.explode(F.sequence(F.lit(-1), F.lit(n - 1))))
         .join(binned, [*by, "bin"], "left").fillna(0, ["pos", "neg"])

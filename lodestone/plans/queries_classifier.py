@@ -8,12 +8,15 @@ from pyspark.sql import functions as F
 from lodestone.constants import NO_FINDING, THRESHOLD_GRID
 from lodestone.functions.numbers import settled
 from lodestone.operators import classifier as cl
+from lodestone.operators import curve_state as cs
 from lodestone.operators.encoding import placeholder_scores
+from lodestone.operators.text_scores import BUCKETS, SHARPNESS, fit_weights, score_texts, text_buckets
 from lodestone.operators.vector_search import vector_topk
 from lodestone.plans.catalog import query
 from lodestone.plans.queries_search import CENTROIDS, _predictions
 from lodestone.plans.sql import LABEL_SCORES, PREDICTIONS, share
 from lodestone.plans.tables import centroids, label_scores, table
+from lodestone.session import materialise
 
 FINDINGS = ["Good_Text", "Toxic Text"]
 
@@ -204,6 +207,65 @@ def tuning_gain(spark, sf):
     return cl.tuning_gain(f1s, cl.best_thresholds(cl.threshold_curve(scored)))
 
 
+REPORT_SQL = f"""ll AS (SELECT condition, round(avg(-CASE WHEN label = 1 THEN ln(p) ELSE ln(1 - p) END) + 1e-9, 6) AS log_loss
+  FROM (SELECT condition, label, greatest(least(score, 1 - 1e-7::DOUBLE), 1e-7::DOUBLE) AS p FROM scored) GROUP BY condition)
+SELECT condition, positives, negatives, auc, tn, fp, fn, tp, precision, recall, f1, accuracy, log_loss, threshold, best_f1, 0::BIGINT AS rounded
+FROM auc JOIN prf USING (condition) JOIN ll USING (condition) JOIN bt USING (condition)"""
+AFTER_SCORES = f"{AUC_SQL.removeprefix(LABEL_SCORES)}{CONFUSION_SQL.removeprefix(LABEL_SCORES)}, {CURVE_SQL}, {REPORT_SQL}"
+
+
+@query("curve_report", f"WITH {LABEL_SCORES}{AFTER_SCORES}")
+def curve_report(spark, sf):
+    """Every metric from one pass; the state is the sum of those of even and odd documents."""
+    scored = label_scores(spark, sf)
+    return cs.report(cs.add_states(*[cs.curve_state(scored.filter(F.col("item_id") % 2 == r)) for r in (0, 1)]))
+
+
+TEXT_CONDITIONS = ["quality", "toxic"]
+TEXT_SCORES = f"""
+w AS MATERIALIZED (
+  SELECT doc_id, quality, toxic, list_distinct(list_transform(regexp_extract_all(coalesce(text, ''), '[A-Za-z]+'),
+    lambda x: ((('0x' || substr(md5(lower(x)), 1, 8))::BIGINT) % {BUCKETS})::INTEGER)) AS buckets FROM documents LEFT JOIN labels USING (doc_id)),
+x AS (SELECT quality, toxic, unnest(buckets) AS bucket FROM w),
+weights AS MATERIALIZED (
+  SELECT bucket, c AS condition, round(ln(((count(*) FILTER (WHERE v = 1) + 1)::DOUBLE / (any_value(p) + 2)) / ((count(*) FILTER (WHERE v = 0) + 1)::DOUBLE / (any_value(n) + 2))) * 10000)::BIGINT AS weight
+  FROM (SELECT bucket, unnest(['quality', 'toxic']) AS c, unnest([quality, toxic]) AS v FROM x)
+  JOIN (SELECT unnest(['quality', 'toxic']) AS c, unnest([sum((quality = 1)::INT), sum((toxic = 1)::INT)]) AS p, unnest([sum((quality = 0)::INT), sum((toxic = 0)::INT)]) AS n FROM w) USING (c)
+  GROUP BY bucket, c),
+all_scores AS (
+  SELECT doc_id AS item_id, condition, label, round(1 / (1 + exp(-{SHARPNESS}::DOUBLE * coalesce(total / (10000.0::DOUBLE * m), 0))), 4) AS score FROM (
+    SELECT doc_id, d.condition, any_value(label) AS label, any_value(m) AS m, sum(weight) AS total FROM (
+      SELECT doc_id, len(buckets) AS m, unnest(['quality', 'toxic']) AS condition, unnest([quality, toxic]) AS label, buckets FROM w) d
+    LEFT JOIN (SELECT doc_id AS id, unnest(buckets) AS bucket FROM w) b ON b.id = doc_id
+    LEFT JOIN weights k ON k.bucket = b.bucket AND k.condition = d.condition GROUP BY doc_id, d.condition)),
+scored AS MATERIALIZED (SELECT * FROM all_scores WHERE label IS NOT NULL)"""
+
+
+def _text_scores(spark, sf) -> DataFrame:
+    """(item_id, condition, score, label) of all documents: what their words say, and what the label table says, if anything."""
+    labels = table(spark, sf, "labels").select("doc_id", *TEXT_CONDITIONS)
+    docs = table(spark, sf, "documents").select("doc_id", text_buckets(F.col("text")).alias("buckets"))
+    bucketed = materialise(docs.join(labels, "doc_id", "left").withColumnRenamed("doc_id", "item_id"), "text-buckets")
+    weights = materialise(fit_weights(bucketed, TEXT_CONDITIONS), "text-weights")
+    return score_texts(bucketed, weights, TEXT_CONDITIONS, ["item_id"])
+
+
+@query("text_scores", f"WITH {TEXT_SCORES} SELECT item_id, condition, score, label FROM all_scores")
+def text_scores(spark, sf):
+    return _text_scores(spark, sf)
+
+
+@query("text_curve_report", f"WITH {TEXT_SCORES}{AFTER_SCORES}")
+def text_curve_report(spark, sf):
+    """The metrics of scores that come from the texts themselves."""
+    return cs.report(cs.curve_state(_text_scores(spark, sf)))
+
+
+@query("text_mean_roc", f"WITH {TEXT_SCORES}{MEAN_ROC_SQL.removeprefix(LABEL_SCORES)} SELECT * FROM curve")
+def text_mean_roc(spark, sf):
+    return cl.mean_roc(cs.steps(cs.curve_state(_text_scores(spark, sf))))
+
+
 @query("apply_thresholds", f"WITH {PREDICTIONS} SELECT item_id, condition, probability, threshold, detected FROM pred")
 def apply_thresholds(spark, sf):
     return _predictions(spark, sf).select("item_id", "condition", "probability", "threshold", "detected")
