@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from lodestone import schemas
 from lodestone.constants import CONDITIONS, DEFAULT_THRESHOLD
 from lodestone.operators.dedup import keep_first
+from lodestone.sources.contents import known_scheme, list_files, with_content
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -124,12 +125,11 @@ def read_image_labels(spark: SparkSession, data_dir: str, names: Sequence[str] =
     )
 
 
-def read_images(spark: SparkSession, image_dir: str) -> DataFrame:
-    """(image, path, content): one file per name, by the fixed order of the folders it may lie in.
+def list_images(spark: SparkSession, image_dir: str) -> DataFrame:
+    """(image, path, length): one file per name, by the fixed order of the folders it may lie in; without their bytes.
 
     The order is the top folder, then images_NNN/images/, then images_NNN/, for NNN 001 to 012.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(image_dir)
     inner = F.regexp_extract("path", r"/images_(\d{3})/images/[^/]+$", 1).try_cast("int")
     outer = F.regexp_extract("path", r"/images_(\d{3})/[^/]+$", 1).try_cast("int")
     place = (
@@ -137,35 +137,52 @@ def read_images(spark: SparkSession, image_dir: str) -> DataFrame:
         .when(outer.between(1, 12), outer + 12)
         .when(~F.col("path").rlike(r"/images_\d{3}/"), F.lit(0))
     )
-    named = files.select(F.element_at(F.split("path", "/"), -1).alias("image"), place.alias("place"), "path", "content")
-    # Choose by name on the light columns, then fetch the bytes of the winners.
-    chosen = keep_first(named.filter("place IS NOT NULL").select("image", "place", "path"), "image", ["place", "path"])
-    return chosen.select("image", "path").join(files.select("path", "content"), "path").select("image", "path", "content")
+    named = list_files(spark, image_dir).select(F.element_at(F.split("path", "/"), -1).alias("image"), place.alias("place"), "path", "length")
+    return keep_first(named.filter("place IS NOT NULL"), "image", ["place", "path"]).select("image", "path", "length")
+
+
+def _contents(spark: SparkSession, listed: DataFrame, folder: str) -> DataFrame:
+    """The listed files with ``content``; where tasks can't open files, by a join with Spark's own scan."""
+    if known_scheme(spark, folder):
+        return with_content(listed)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    return listed.join(files.select("path", "content"), "path").select(*listed.columns, "content")
+
+
+def read_images(spark: SparkSession, image_dir: str) -> DataFrame:
+    """(image, path, content) of ``list_images``."""
+    return _contents(spark, list_images(spark, image_dir), image_dir).select("image", "path", "content")
 
 
 def with_images(labels: DataFrame, images: DataFrame) -> DataFrame:
-    """Every label row, with ``is_missing`` where no file was found."""
+    """Every label row, with ``is_missing`` where no file was found.
+
+    Give it ``list_images`` and put ``with_content`` behind it: then no bytes are joined, and only those of labelled files read.
+    """
     return labels.join(images, "image", "left").withColumn("is_missing", F.col("path").isNull())
 
 
-def read_class_folders(spark: SparkSession, root: str) -> DataFrame:
-    """(path, split, class_name, class_index, content) from root/<train|val|test>/<class>/file.
+def list_class_folders(spark: SparkSession, root: str) -> DataFrame:
+    """(path, split, class_name, class_index, length) from root/<train|val|test>/<class>/file.
 
     Class numbers follow the alphabetical order of the class names.
     """
     from pyspark.sql import Window as W
 
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
     where = r"/(train|val|test)/([^/]+)/[^/]+$"
-    placed = files.select(
-        "path", F.regexp_extract("path", where, 1).alias("split"), F.regexp_extract("path", where, 2).alias("class_name"),
-        "content",
+    placed = list_files(spark, root).select(
+        "path", F.regexp_extract("path", where, 1).alias("split"), F.regexp_extract("path", where, 2).alias("class_name"), "length",
     ).filter("split <> ''")
     names = placed.select("class_name").distinct()  # a handful
     numbered = names.withColumn("class_index", F.row_number().over(W.orderBy("class_name")) - 1)
     return placed.join(numbered, "class_name")
 
 
+def read_class_folders(spark: SparkSession, root: str) -> DataFrame:
+    """``list_class_folders`` with ``content``."""
+    return _contents(spark, list_class_folders(spark, root), root).drop("length")
+
+
 def read_thresholds(spark: SparkSession, path: str, conditions: Sequence[str] = CONDITIONS,
                     default: float = DEFAULT_THRESHOLD) -> DataFrame:
     """(condition, threshold) for each condition: its own name, else with underscores, else the default."""
