@@ -84,25 +84,28 @@ class KeyedTable:
             raise ValueError(f"{self.path} has no commit")
         if not batches:
             return self.spark.createDataFrame([], at.schema)
-        return self._rows("rows", at.schema, batches, buckets)
+        return self._rows(at.schema, batches, buckets)
 
-    def _rows(self, folder: str, schema: T.StructType, batches: Sequence[str], buckets: Sequence[int] | None = None) -> DataFrame:
+    def _rows(self, schema: T.StructType, batches: Sequence[str], buckets: Sequence[int] | None = None) -> DataFrame:
         placed = T.StructType([*schema, T.StructField(BATCH, T.StringType()), T.StructField(BUCKET, T.IntegerType())])
-        base = f"{self.path}/{folder}"
+        base = f"{self.path}/rows"
         rows = self.spark.read.schema(placed).option("basePath", base).parquet(*[f"{base}/{BATCH}={b}" for b in batches])
         return (rows if buckets is None else rows.filter(F.col(BUCKET).isin(list(buckets)))).drop(BATCH, BUCKET)
 
-    def _drop(self, folder: str, name: str) -> None:
+    def _drop(self, name: str) -> None:
         """Removes a batch of our own that no commit names."""
-        self._fs.delete(self._path(f"{self.path}/{folder}/{BATCH}={name}"), True)
+        self._fs.delete(self._path(f"{self.path}/rows/{BATCH}={name}"), True)
 
-    def write(self, rows: DataFrame, at: Snapshot, folder: str = "rows") -> tuple[str, int]:
-        """(name, rows) of a new batch; it belongs to the table only once it is committed."""
+    def write(self, rows: DataFrame, at: Snapshot) -> tuple[str, int]:
+        """(name, rows) of a new batch; it belongs to the table only once it is committed.
+
+        The bucket is the remainder of the hash that Spark itself deals keys out by, so rows that come from a shuffle by
+        key lie in few files of each bucket as they are.
+        """
         name, wrote = f"b{uuid.uuid4().hex}", Observation()
-        bucket = F.pmod(F.xxhash64(*at.key), F.lit(at.buckets)).cast("int")
-        # Few files per bucket: a task holds whole buckets, a large bucket is split over several.
-        placed = rows.withColumn(BUCKET, bucket).hint("rebalance", BUCKET)
-        placed.observe(wrote, F.count(F.lit(1)).alias("rows")).write.partitionBy(BUCKET).parquet(f"{self.path}/{folder}/{BATCH}={name}")
+        bucket = F.pmod(F.hash(*at.key), F.lit(at.buckets)).cast("int")
+        counted = rows.withColumn(BUCKET, bucket).observe(wrote, F.count(F.lit(1)).alias("rows"))
+        counted.write.partitionBy(BUCKET).parquet(f"{self.path}/rows/{BATCH}={name}")
         return name, wrote.get["rows"]
 
     def prepare(self, batch: DataFrame, order: Sequence[str], unwritten: Sequence[str] = ()) -> Insert:
@@ -123,19 +126,21 @@ class KeyedTable:
             name, n = self.write(rows.select(*(at.schema or empty.schema).names), at)
             if self.commit(at, empty.schema, [name]):
                 return n
-            self._drop("rows", name)
+            self._drop(name)
 
     def compact(self) -> int:
         """Writes the table's batches as one, for fewer and larger files; batches committed meanwhile stay beside it."""
         at = self.snapshot()
         if len(at.batches) < 2:
             return at.version
-        name, _ = self.write(self.read(at), at)
+        # Few files per bucket: a task holds whole buckets, a large bucket is split over several.
+        bucket = F.pmod(F.hash(*at.key), F.lit(at.buckets))
+        name, _ = self.write(self.read(at).withColumn(BUCKET, bucket).hint("rebalance", BUCKET).drop(BUCKET), at)
         merged, now = set(at.batches), at
         while not self.commit(now, now.schema, [name, *[b for b in now.batches if b not in merged]]):
             now = self.snapshot()
             if not merged <= set(now.batches):  # another call was first
-                self._drop("rows", name)
+                self._drop(name)
                 return now.version
         return now.version + 1
 
@@ -159,22 +164,25 @@ class Insert:
             known = {c: t for c, t in firsts.dtypes}
             firsts = firsts.select(*[(F.col(f.name) if f.name in known else F.lit(None)).cast(f.dataType).alias(f.name) for f in self.at.schema])
         # Written first: the batch is computed once, and its folders are the buckets it touches.
-        staged, self.n = table.write(firsts, self.at, "_staged")
+        self.name, self.n = table.write(firsts, self.at)
         self.schema = T.StructType([T.StructField(f.name, f.dataType) for f in firsts.schema])
         self.rows, self.errors = read.get["rows"], read.get["bad"]
-        self.touched = [int(n.split("=")[1]) for n in table._names(f"_staged/{BATCH}={staged}") if n.startswith(BUCKET)]
-        self.name, self.where = staged, "_staged"
+        self.touched = [int(n.split("=")[1]) for n in table._names(f"rows/{BATCH}={self.name}") if n.startswith(BUCKET)]
         self._check(self.at, self.at.batches)
 
     def _check(self, at: Snapshot, batches: Sequence[str]) -> None:
-        """Leaves out the rows whose key is in these batches; only the key columns of touched buckets are read."""
-        if not self.n:
+        """Leaves out the rows whose key is in these batches; only the key columns of touched buckets are read.
+
+        The rows are written again only if there are such.
+        """
+        if not self.n or not batches:
+            return
+        own, stored = self.table._rows(self.schema, [self.name]), self.table.read(at, batches, self.touched).select(*at.key)
+        if own.select(*at.key).join(stored, at.key, "left_semi").isEmpty():
             return
-        own, before = self.table._rows(self.where, self.schema, [self.name]), (self.where, self.name)
-        new = own.join(self.table.read(at, batches, self.touched).select(*at.key), at.key, "left_anti") if batches else own
-        self.name, self.n = self.table.write(new.select(*own.columns), at)
-        self.where = "rows"
-        self.table._drop(*before)
+        before = self.name
+        self.name, self.n = self.table.write(own.join(stored, at.key, "left_anti").select(*own.columns), at)
+        self.table._drop(before)
 
     def commit(self) -> dict[str, int]:
         """inserted, skipped and errors."""
