@@ -109,7 +109,10 @@ class KeyedTable:
         return name, wrote.get["rows"]
 
     def prepare(self, batch: DataFrame, order: Sequence[str], unwritten: Sequence[str] = ()) -> Insert:
-        """An insert of the rows whose key the table doesn't hold; the first by ``order`` of a key in the batch stays."""
+        """An insert of the rows whose key the table doesn't hold; the first by ``order`` of a key in the batch stays.
+
+        Without an order the batch must have each key once, and isn't shuffled.
+        """
         return Insert(self, batch, list(order), list(unwritten))
 
     def insert(self, batch: DataFrame, order: Sequence[str], unwritten: Sequence[str] = ()) -> dict[str, int]:
@@ -159,7 +162,7 @@ class Insert:
             bad = bad | F.col(c).isNull()
         read = Observation()
         keyed = batch.observe(read, F.count(F.lit(1)).alias("rows"), F.count_if(bad).alias("bad")).filter(~bad)
-        firsts = keep_first(keyed, self.at.key, order).drop(*unwritten)
+        firsts = (keep_first(keyed, self.at.key, order) if order else keyed).drop(*unwritten)
         if self.at.schema:
             known = {c: t for c, t in firsts.dtypes}
             firsts = firsts.select(*[(F.col(f.name) if f.name in known else F.lit(None)).cast(f.dataType).alias(f.name) for f in self.at.schema])
