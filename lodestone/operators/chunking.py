@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lodestone.constants import CHUNKING_STRATEGIES, RECURSIVE_SEPARATORS
 from lodestone.functions.numbers import settled
-from lodestone.functions.splitters import recursive_chunks
+from lodestone.functions.splitters import recursive_chunks, split_texts, text_slices
 from lodestone.functions.text import content_hash, preview, strip_ws
 
 
@@ -75,15 +80,25 @@ def with_chunk_stats(pieces: DataFrame, hash_chars: int = 32) -> DataFrame:
 def sweep(docs: DataFrame, sizes: list[int], overlap_share: float = 0.1, text: str = "combined_text",
           doc_id: str = "id", separators: list[str] = RECURSIVE_SEPARATORS) -> DataFrame:
     """Recursive chunks of several sizes in one pass over the documents, tagged ``size``."""
-    variants = [
-        F.struct(
-            F.lit(size).alias("size"),
-            recursive_chunks(F.col(text), size, int(size * overlap_share), separators).alias("chunks"),
-        )
-        for size in sizes
-    ]
-    per_size = docs.select(F.col(doc_id).alias("doc_id"), F.explode(F.array(*variants)).alias("v"))
-    pieces = per_size.select("doc_id", "v.size", F.posexplode("v.chunks").alias("chunk_index", "chunk_text"))
+    texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    schema = T.StructType([
+        texts.schema["doc_id"], T.StructField("size", T.IntegerType(), False),
+        T.StructField("chunk_index", T.IntegerType(), False), T.StructField("chunk_text", T.StringType()),
+    ])
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi in text_slices(batch["text"]):
+                part = batch.slice(lo, hi - lo)
+                for size in sizes:  # rows of one size at a time, so a worker never holds a batch in all sizes
+                    chunks = split_texts(part["text"], size, int(size * overlap_share), separators)
+                    many = np.asarray(chunks.value_lengths(), np.int64)
+                    row = np.repeat(np.arange(len(many)), many)
+                    place = (np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)).astype(np.int32)
+                    columns = [part["doc_id"].take(pa.array(row)), pa.array(np.full(len(row), size, np.int32)), pa.array(place), chunks.flatten()]
+                    yield pa.RecordBatch.from_arrays(columns, schema.names)
+
+    pieces = texts.mapInArrow(split, schema)
     return with_chunk_stats(pieces)
 
 
