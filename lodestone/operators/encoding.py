@@ -25,6 +25,9 @@ from lodestone.functions.vectors import sigmoid
 Encoder = Callable[[list[str]], np.ndarray]
 EncoderFactory = Callable[[], Encoder]
 
+KNOWN_TOKENS = 1 << 17  # a worker's memory of hashed tokens, some 20 MB; the common ones are soon back after it is cleared
+
+
 def _bucket_and_sign(token: str, dim: int) -> tuple[int, float]:
     digest = hashlib.md5(token.encode()).hexdigest()
     return int(digest[:8], 16) % dim, 1.0 if int(digest[8], 16) % 2 == 0 else -1.0
@@ -37,7 +40,7 @@ def hashing_encoder(dim: int = 64) -> EncoderFactory:
         known: dict[str, int] = {"": 2 * dim}  # token -> bucket, plus dim when the sign is negative
 
         def codes(tokens: list[str]) -> np.ndarray:
-            if len(known) > 1_000_000:
+            if len(known) > KNOWN_TOKENS:
                 known.clear()
                 known[""] = 2 * dim
             for token in set(tokens).difference(known):
@@ -79,21 +82,29 @@ def resolve(registry: dict, name: str):
 def embed(df: DataFrame, encoder: str | EncoderFactory, text: str = "chunk_text", out: str = "embedding",
           batch_size: int = 512, precise: bool = False) -> DataFrame:
     """Adds ``out``: array<float>, or array<double> with ``precise``."""
-    factory = resolve(ENCODERS, encoder) if isinstance(encoder, str) else encoder
+    return embed_each(df, {out: encoder}, text, batch_size, precise)
+
+
+def embed_each(df: DataFrame, encoders: dict[str, str | EncoderFactory], text: str = "chunk_text", batch_size: int = 512,
+               precise: bool = False) -> DataFrame:
+    """``embed`` by several encoders, named by their columns, in one pass: a core has one worker, not one per encoder."""
+    factories = {out: resolve(ENCODERS, e) if isinstance(e, str) else e for out, e in encoders.items()}
     element = T.DoubleType() if precise else T.FloatType()
-    schema = T.StructType([*df.schema.fields, T.StructField(out, T.ArrayType(element), True)])
+    schema = T.StructType([*df.schema.fields, *[T.StructField(out, T.ArrayType(element), True) for out in factories]])
     arrow_element = pa.float64() if precise else pa.float32()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = factory()
+        encode = {out: factory() for out, factory in factories.items()}
         for batch in batches:
             for lo in range(0, batch.num_rows, batch_size):
                 part = batch.slice(lo, batch_size)
-                matrix = np.ascontiguousarray(encode(part.column(text).to_pylist()))
-                flat = pa.array(matrix.ravel(), type=pa.float64()).cast(arrow_element)
-                starts = np.arange(0, matrix.size + 1, matrix.shape[1], dtype="int32")
-                vectors = pa.ListArray.from_arrays(pa.array(starts), flat)
-                yield pa.RecordBatch.from_arrays([*part.columns, vectors], names=[*part.schema.names, out])
+                texts, vectors = part.column(text).to_pylist(), []
+                for encoded in encode.values():
+                    matrix = np.ascontiguousarray(encoded(texts))
+                    flat = pa.array(matrix.ravel(), type=pa.float64()).cast(arrow_element)
+                    starts = np.arange(0, matrix.size + 1, matrix.shape[1], dtype="int32")
+                    vectors.append(pa.ListArray.from_arrays(pa.array(starts), flat))
+                yield pa.RecordBatch.from_arrays([*part.columns, *vectors], names=[*part.schema.names, *encode])
 
     return df.mapInArrow(run, schema)
 

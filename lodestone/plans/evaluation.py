@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from lodestone.functions.unions import union_all
 from lodestone.operators.chunking import chunk
 from lodestone.operators.cleaning import clean
-from lodestone.operators.encoding import ENCODERS, embed, embedding_summary, resolve
+from lodestone.operators.encoding import embed, embed_each, embedding_summary
 from lodestone.operators.retrieval_eval import keyword_scores, per_config, semantic_scores
 from lodestone.operators.vector_search import vector_topk
 from lodestone.plans.search import IDS, encode_queries, with_texts
@@ -29,9 +29,7 @@ def grid_hits(spark: SparkSession, docs: DataFrame, cases: DataFrame, models: Se
     branches = []
     for strategy in strategies:
         vectors = chunk(clean(docs), strategy).select(*IDS, "chunk_text")
-        for model in models:
-            resolve(ENCODERS, model)
-            vectors = embed(vectors, model, out=f"embedding_{model}", precise=precise)
+        vectors = embed_each(vectors, {f"embedding_{model}": model for model in models}, precise=precise)
         index = materialise(vectors, "grid")  # chunked once, encoded by every model
         for model in models:
             items = index.select(*IDS, "chunk_text", F.col(f"embedding_{model}").alias("embedding"))
