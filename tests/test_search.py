@@ -260,3 +260,9 @@ def test_encoders_share_a_pass_and_forget(spark, monkeypatch):
     assert np.array_equal(np.concatenate([encode(texts[i : i + 5]) for i in range(0, len(texts), 5)]), want)
     known = next(c.cell_contents for c in encode.__closure__[0].cell_contents.__closure__ if isinstance(c.cell_contents, dict))
     assert len(known) <= 20 + 1 + 5 * 4
+
+
+def test_cells_of_a_mask():
+    mask = np.random.default_rng(3).random((70, 33)) < 0.1
+    for m in (mask, mask.T, mask[:0], mask & False):
+        assert all(np.array_equal(a, b) for a, b in zip(topk.cells_of(m), np.nonzero(m)))
