@@ -51,11 +51,12 @@ SIMILAR = 80  # per cent
 MOST_MATCHES = 8  # the longest prefixes asked for
 VERIFY = 0.1  # cost of verifying a shingle against that of a list entry
 CELL_TEXT = 32 << 20  # bytes of text whose shingles one range gets, on average
+CELL_SLICE = 2 << 20  # bytes of text whose cells of a range are a row
 ROUNDS = 3
 
 MEMBERS = "doc_id long, n_shingles long, set_id long"
 CELLS = "bucket int, sets binary, sizes binary, lengths binary, keys binary"
-SHARED = "part int, sets binary, sizes binary, lengths binary, keys binary, counts binary"
+SHARED = "part int, bucket int, sets binary, sizes binary, lengths binary, keys binary, counts binary"
 SETS = "set_id long, n long, shared long, matches long, keys binary, posted array<long>"
 
 
@@ -96,12 +97,22 @@ def _unpacked(raw: bytes, item: int) -> np.ndarray:
     return out.view("<u8").reshape(-1)
 
 
+def _small(array: np.ndarray) -> bytes:
+    """Numbers in as few bytes as the largest needs, which the first byte says; cells grow in number with the data."""
+    array = array.astype(np.min_scalar_type(int(array.max(initial=0))))
+    return bytes([array.itemsize]) + array.tobytes()
+
+
+def _large(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, f"<u{raw[0]}", offset=1).astype(np.int64)
+
+
 def cells(docs: DataFrame, width: int, bits: int) -> DataFrame:
     """The distinct sets' shingles, packed by the top ``bits`` of their hashes."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for words in each_slice(batch["text"], BLANKS, lower=True):
+            for words in each_slice(batch["text"], BLANKS, lower=True, size=CELL_SLICE):
                 values, many = shingle_sets(words, width)
                 ids = _set_ids(values, many)
                 _, first = np.unique(ids, return_index=True)
@@ -120,7 +131,7 @@ def cells(docs: DataFrame, width: int, bits: int) -> DataFrame:
                 out = [[], [], [], [], []]
                 for a, b in zip(heads.tolist(), ends.tolist()):
                     some = values[at[a] : at[b - 1] + length[b - 1]]
-                    for column, value in zip(out, (int(bucket[at[a]]), ids[first[row[at[a:b]]]].tobytes(), many[first[row[at[a:b]]]].tobytes(), length[a:b].astype(np.int32).tobytes(), _packed((some << np.uint64(bits)) >> np.uint64(16), 6))):
+                    for column, value in zip(out, (int(bucket[at[a]]), ids[first[row[at[a:b]]]].tobytes(), _small(many[first[row[at[a:b]]]]), _small(length[a:b]), _packed((some << np.uint64(bits)) >> np.uint64(16), 6))):
                         column.append(value)
                 yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), *(pa.array(c, pa.binary()) for c in out[1:])], ["bucket", "sets", "sizes", "lengths", "keys"])
 
@@ -128,8 +139,8 @@ def cells(docs: DataFrame, width: int, bits: int) -> DataFrame:
 
 
 def _cells_of(group: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
-    joined = lambda c, kind: np.frombuffer(b"".join(group[c].to_pylist()), kind)
-    return joined("sets", np.int64), joined("sizes", np.int64), joined("lengths", np.int32).astype(np.int64), [x for x in group["keys"].to_pylist()]
+    small = lambda c: np.concatenate([_large(x) for x in group[c].to_pylist()])
+    return np.frombuffer(b"".join(group["sets"].to_pylist()), np.int64), small("sizes"), small("lengths"), [x for x in group["keys"].to_pylist()]
 
 
 def shared_shingles(packed: DataFrame, parts: int) -> DataFrame:
@@ -151,18 +162,18 @@ def shared_shingles(packed: DataFrame, parts: int) -> DataFrame:
         keys, row, df = keys[some], row[some], df[some]
         part = ((sets[first][row].view(np.uint64) >> np.uint64(8)) % np.uint64(parts)).astype(np.int32)
         order = np.lexsort((row, part))
-        keys, row, df, part = keys[order] | np.uint64(bucket << 48), row[order], df[order], part[order]
+        keys, row, df, part = keys[order], row[order], df[order], part[order]
         at = _runs(row)
         length = np.diff(np.append(at, len(row)))
         heads = _runs(part[at])
         ends = np.append(heads[1:], len(at))
-        out = [[], [], [], [], [], []]
+        out = [[], [], [], [], [], [], []]
         for a, b in zip(heads.tolist(), ends.tolist()):
             where = first[row[at[a:b]]]
             lo, hi = at[a], at[b - 1] + length[b - 1]
-            for column, value in zip(out, (int(part[lo]), sets[where].tobytes(), sizes[where].tobytes(), length[a:b].astype(np.int32).tobytes(), keys[lo:hi].tobytes(), np.minimum(df[lo:hi], 0xFFFFFFFF).astype(np.uint32).tobytes())):
+            for column, value in zip(out, (int(part[lo]), bucket, sets[where].tobytes(), _small(sizes[where]), _small(length[a:b]), _packed(keys[lo:hi], 6), _small(df[lo:hi]))):
                 column.append(value)
-        return pa.table([pa.array(out[0], pa.int32()), *(pa.array(c, pa.binary()) for c in out[1:])], ["part", "sets", "sizes", "lengths", "keys", "counts"])
+        return pa.table([pa.array(out[0], pa.int32()), pa.array(out[1], pa.int32()), *(pa.array(c, pa.binary()) for c in out[2:])], ["part", "bucket", "sets", "sizes", "lengths", "keys", "counts"])
 
     return packed.groupBy("bucket").applyInArrow(count, SHARED)
 
@@ -181,7 +192,8 @@ def possible_sets(shared: DataFrame) -> DataFrame:
 
     def choose(group: pa.Table) -> pa.Table:
         sets, sizes, lengths, raw = _cells_of(group)
-        keys, df = np.frombuffer(b"".join(raw), np.uint64), np.frombuffer(b"".join(group["counts"].to_pylist()), np.uint32).astype(np.int64)
+        top = np.repeat(group["bucket"].to_numpy().astype(np.uint64) << np.uint64(48), [len(x) // 6 for x in raw])
+        keys, df = _unpacked(b"".join(raw), 6) | top, np.concatenate([_large(x) for x in group["counts"].to_pylist()])
         ids, own = np.unique(sets, return_inverse=True)
         n = np.zeros(len(ids), np.int64)
         n[own] = sizes
