@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import os
+from itertools import chain
 
 import numpy as np
 import regex
@@ -12,6 +13,7 @@ from lodestone.llm.common import worker_memory
 from lodestone.llm.units import UnitEncoder
 
 MOST_PIECES = 300_000  # remembered at once in a worker
+PIECES_AT_ONCE = 20_000  # in a call of the library
 CLOSING = ".,;:!?\"#$%&()*+-/<=>@[]^_`{|}~\\"  # ASCII marks but the apostrophe, which can begin a piece with letters behind it
 
 
@@ -73,17 +75,33 @@ def encoder(path: str, pattern: str, offsets: bool = False, encode_special_token
     def make() -> UnitEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
 
         tokenizer = Tokenizer.from_file(path)
         added = {t.content: (i, t) for i, t in tokenizer.get_added_tokens_decoder().items() if not (t.special and encode_special_tokens)}
         if any(t.single_word for _, t in added.values()):
             raise ValueError("added tokens that must be whole words aren't supported")
-        letters, split, tokenize = byte_letters(), regex.compile(pattern).findall, tokenizer.model.tokenize
-
-        def encode_piece(piece: str):
-            got = tokenize(piece.encode().decode("latin-1").translate(letters))
-            ids = [t.id for t in got]
-            return (ids, *_places(piece, [len(t.value) for t in got])) if offsets else (ids,)
+        letters, split = byte_letters() | {0xFF: " "}, regex.compile(pattern).findall
+        model = Tokenizer(tokenizer.model)  # nothing but the model: pieces come cut, and marks of the text aren't looked for
+        model.pre_tokenizer = WhitespaceSplit()
+
+        sizes = np.zeros(max(tokenizer.get_vocab().values(), default=0) + 1, np.int64)  # bytes of each token: its letters
+        for token, i in tokenizer.get_vocab().items():
+            sizes[i] = len(token)
+
+        def encode_pieces(pieces: list[str]):
+            """One call of the library for some pieces; the tokens' sizes say which piece they are of."""
+            raw = [p.encode() for p in pieces]
+            ids = model.encode_batch_fast([b"\xff".join(raw).decode("latin-1").translate(letters)], add_special_tokens=False)[0].ids  # no UTF-8 has that byte
+            many, stops = sizes[np.array(ids, np.int64)], np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw)))
+            if int(many.sum()) != int(stops[-1]):  # the vocabulary lacks a byte, which the library leaves out
+                got = [model.model.tokenize(x.decode("latin-1").translate(letters)) for x in raw]
+                known.update({p: ([t.id for t in g], *(_places(p, [len(t.value) for t in g]) if offsets else ())) for p, g in zip(pieces, got)})
+                return
+            ends = np.searchsorted(np.cumsum(many), stops, side="right").tolist()
+            many = many.tolist() if offsets else ids
+            for piece, a, b in zip(pieces, [0, *ends], ends):
+                known[piece] = (ids[a:b], *_places(piece, many[a:b])) if offsets else (ids[a:b],)
 
         known: dict[str, tuple] = {}
 
@@ -91,28 +109,26 @@ def encoder(path: str, pattern: str, offsets: bool = False, encode_special_token
             if len(known) > MOST_PIECES:
                 known.clear()
             gc.disable()  # hundreds of thousands of small lists, none of them in a cycle
-            ids, many, begin, end = [], [], [], []
-            for unit in units:
-                n, start = len(ids), 0
-                if added and unit.strip() in added:
-                    ids.append(added[unit.strip()][0])
-                    if offsets:
-                        begin.append(0)
-                        end.append(len(unit))
-                    many.append(1)
-                    continue
-                for piece in _pieces(unit, split):
-                    got = known.get(piece)
-                    if got is None:
-                        known[piece] = got = encode_piece(piece)
-                    ids += got[0]
-                    if offsets:
-                        begin += [x + start for x in got[1]]
-                        end += [x + start for x in got[2]]
-                        start += len(piece)
-                many.append(len(ids) - n)
+            cut = [_pieces(unit, split) for unit in units]
+            for k in [k for k, unit in enumerate(units) if unit.strip() in added] if added else ():
+                cut[k] = (piece,) = ((added[units[k].strip()][0], len(units[k])),)
+                known[piece] = ([piece[0]], [0], [piece[1]])
+            flat, pieces = list(chain.from_iterable(cut)), np.fromiter(map(len, cut), np.int64, len(cut))
+            new = [p for p in dict.fromkeys(flat) if p not in known]
+            for lo in range(0, len(new), PIECES_AT_ONCE):
+                encode_pieces(new[lo : lo + PIECES_AT_ONCE])
+            got = [known[p] for p in flat]
+            tokens = np.fromiter((len(g[0]) for g in got), np.int64, len(got))
+            row = np.repeat(np.arange(len(cut)), pieces)
+            many = np.bincount(row, weights=tokens, minlength=len(cut)).astype(np.int64)
+            out = [np.fromiter(chain.from_iterable(g[0] for g in got), np.uint32)]
+            if offsets:
+                size = np.fromiter(map(len, flat), np.int64, len(flat))
+                before = np.cumsum(size) - size
+                shift = np.repeat(before - before[(np.cumsum(pieces) - pieces)[row]], tokens) if len(flat) else tokens
+                out += [(np.fromiter(chain.from_iterable(g[k] for g in got), np.int64) + shift).astype(np.uint32) for k in (1, 2)]
             gc.enable()
-            return np.array(ids, np.uint32), np.array(many, np.int64), np.array(begin, np.uint32), np.array(end, np.uint32)
+            return out[0], many, *(out[1:] or [np.zeros(0, np.uint32)] * 2)
 
         if not added:
             return UnitEncoder(encode, split, offsets)

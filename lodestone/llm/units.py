@@ -66,7 +66,7 @@ class UnitEncoder:
             self.at[n : n + len(new)] = used + np.cumsum(many) - many
             numbers.update(zip(new, range(n, n + len(new))))
             self.size, self.used = n + len(new), used + len(ids)
-        return np.fromiter((numbers[u] for u in units), np.int64, len(units))
+        return np.fromiter(map(numbers.__getitem__, units), np.int64, len(units))
 
     def rows(self, texts: pa.Array):
         """(ids, ids per row) of a column of texts; with offsets also the characters each token covers."""
@@ -85,10 +85,10 @@ class UnitEncoder:
         coded = flat.dictionary_encode()
         code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64) * 2 + first
         seen = np.flatnonzero(np.bincount(code, minlength=2 * len(coded.dictionary)))
-        names = coded.dictionary.take(pa.array(seen >> 1)).to_pylist()
+        names = coded.dictionary.take(pa.array(seen >> 1)).to_numpy(zero_copy_only=False).tolist()
         units = [w if f else " " + w for w, f in zip(names, seen & 1)]
         number = np.zeros(2 * len(coded.dictionary), np.int64)
-        number[seen] = self._add(units)
+        number[seen] = known = self._add(units)
         unit = number[code]
         row = np.repeat(np.arange(len(lengths)), lengths)
         strange = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
@@ -110,7 +110,6 @@ class UnitEncoder:
             before = np.concatenate([[0], base])[row]
             shift = np.repeat(ends - size - before, many)
             out += (self.begin[where] + shift, self.end[where] + shift)
-        for u in units:  # the ids of long ones stay until the next forget(), their names don't
-            if len(u) > LONG_UNIT:
-                del self.number[u]
+        for k in np.flatnonzero(self.chars[known] > LONG_UNIT).tolist():  # the ids of long ones stay until the next forget(), their names don't
+            del self.number[units[k]]
         return out
