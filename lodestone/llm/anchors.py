@@ -9,6 +9,9 @@ with a smaller doc_id, and windows in line make the maximal repeats.
 
 Only runs that may be a block leave the tasks: a bit filter of fixed size, made
 from all blocks, is sent to them.  At any size it only lets through too much.
+Of these runs a window needs one: the one of the least hash.  What the filter
+lets through depends on a run's words alone, so documents that share a window
+choose the same run of it.
 Documents with the same words throughout are settled by one digest each.
 
 Cases: a null text has no words; a text shorter than a window loses nothing; a
@@ -111,8 +114,24 @@ def _filter(chunks: DataFrame) -> bytes:
     return bytes(out)
 
 
+def _least(words: Words, h: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Of runs (hash, word), those with the least hash of any window that holds them."""
+    most, width = np.uint64(np.iinfo(np.uint64).max), WINDOW - BLOCK + 1  # runs in a window
+
+    def slid(x: np.ndarray, best) -> np.ndarray:
+        size = 1
+        while 2 * size <= width:
+            x, size = best(x[:-size], x[size:]), 2 * size
+        return best(x[: len(x) - (width - size)], x[width - size :])
+
+    value = np.full(len(words.h1) + width - 1, most)
+    value[at] = h
+    least = np.where(words.room() >= WINDOW, slid(value, np.minimum), np.uint64(0))
+    return slid(np.concatenate([np.zeros(width - 1, np.uint64), least]), np.maximum)[at] == h
+
+
 def _probe(docs: DataFrame, known: bytes) -> DataFrame:
-    """Every run that may be some document's block."""
+    """Every run that may be some document's block and is the least such run of a window."""
     held = docs.sparkSession.sparkContext.broadcast(known)
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,6 +143,8 @@ def _probe(docs: DataFrame, known: bytes) -> DataFrame:
                 hit = np.ones(len(h), bool)
                 for where in _filter_places(h):
                     hit &= (bits[where >> 3] >> (where & 7).astype(np.uint8) & 1).astype(bool)
+                hit = np.flatnonzero(hit)
+                hit = hit[_least(words, h[hit], at[hit])]
                 row = words.rows[0] + words.row_of()[at[hit]]
                 yield pa.RecordBatch.from_arrays([_signed(h[hit]), pa.array(ids[row].astype(np.int64)), pa.array(place[hit].astype(np.int32))], ["run", "doc_id", "pos"])
 
@@ -177,7 +198,7 @@ class Repeats:
         hits = materialise(_probe(texts.filter("doc_id IS NOT NULL"), known), "anchors-hits")
         # Written first, so that Spark deals out both sides of the join anew and can split a run that a third of the rows share.
         runs = materialise(_shared(hits, "run").select("run"), "anchors-runs")
-        places = hits.join(runs, "run").groupBy("doc_id").agg(F.collect_set("pos").alias("pos"))
+        places = hits.join(runs, "run", "left_semi").groupBy("doc_id").agg(F.collect_set("pos").alias("pos"))
         places = places.join(self.all.filter("copy").select("doc_id").distinct(), "doc_id", "left_anti")
         self.near = materialise(texts.join(places, "doc_id"), "anchors-near")
         windows = materialise(_windows(self.near), "anchors-windows")
