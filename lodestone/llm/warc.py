@@ -4,8 +4,7 @@ Each response gives a metadata record (title, language, source headers, digest
 and links) and a conversion record (its plain text).  Both refer to the response
 by its record id, URI and date, and carry the digest of their own block.  All
 of it is column expressions; files are written and read by Spark's text source,
-with the end of a record, and the version line that begins the next, as line
-separators.  A block never holds a carriage return but at the ends of its lines,
+with the end of a record, or the lines that begin the next, as line separators.  A block never holds a carriage return but at the ends of its lines,
 so no text can be taken for a record's end.
 
 Cases: a null or empty payload gives an empty title and an empty text; a null
@@ -18,12 +17,14 @@ from __future__ import annotations
 
 from functools import reduce
 from html.entities import html5, name2codepoint
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 VERSION = "WARC/1.1"
 CRLF = "\r\n"
+START = f"{VERSION}{CRLF}WARC-Type: "  # of a record; a text can have the version alone
 BLOCK_TAGS = "address|article|aside|blockquote|body|br|dd|div|dl|dt|fieldset|figure|footer|form|h1|h2|h3|h4|h5|h6|head|header|hr|html|li|main|nav|ol|p|pre|section|table|td|th|tr|ul"
 # (pattern, replacement), one after another; the first three take out what isn't shown
 TO_TEXT = [
@@ -35,6 +36,12 @@ TO_TEXT = [
     (r"<[^>]*>", ""),
 ]
 TIDY = [(r"[ \t\r\f]+", " "), (r" ?\n ?", "\n"), (r"\n+", "\n"), (r"^[ \n]+|[ \n]+$", "")]
+# The same steps for Spark, in less time: block tags by their first letters, as most tags then fail at once, and blanks
+# that are as they shall be, most of them single spaces, aren't matched
+BLOCK_TAG = "|".join(f"{k}(?:{'|'.join(n[1:] for n in names)})" for k, names in groupby(sorted(BLOCK_TAGS.split("|")), lambda n: n[0]))
+SHOWN, MARKUP = TO_TEXT[:3], [TO_TEXT[3], (rf"(?i)</?(?:{BLOCK_TAG})\b[^>]*>", "\n"), TO_TEXT[5]]
+BLANKS = [(r"[ \t\r\f](?:[ \t\r\f]++|(?<! ))", " "), (r"[ \n](?:(?<=\n)[ \n]++|(?<= )\n[ \n]*+)", "\n")]
+LINE_ENDS = ("\x85", "\u2028", "\u2029")  # $ also stands before one of these at the end of a text
 TITLE = r"(?is)<title\b[^>]*>(.*?)</title\s*>"
 
 # name, with its semicolon if it needs one -> text; a no-break space is a blank.  A look-up goes
@@ -99,8 +106,24 @@ def attributes(html: Column, tag: str, name: str) -> Column:
     return F.transform(found, lambda v: F.when(quoted(v), F.substr(v, F.lit(2), F.length(v) - 2)).otherwise(v))
 
 
+def _stripped(text: Column) -> Column:
+    """Without blanks at its ends; the text is computed once."""
+    odd = lambda t: reduce(Column.__or__, [F.endswith(t, F.lit(e)) for e in LINE_ENDS])
+    strip = lambda t: F.when(odd(t), F.regexp_replace(t, *TIDY[3])).otherwise(F.btrim(t, F.lit(" \n")))
+    return F.get(F.transform(F.array(text), strip), F.lit(0))
+
+
+def shown(html: Column) -> Column:
+    """Without comments, scripts and styles."""
+    return _replaced(html, SHOWN)
+
+
+def text_of_shown(html: Column) -> Column:
+    return _stripped(_replaced(_entities(_replaced(html, MARKUP)), BLANKS))
+
+
 def plain_text(html: Column) -> Column:
-    return _replaced(_entities(_replaced(html, TO_TEXT)), TIDY)
+    return text_of_shown(shown(html))
 
 
 def one_line(text: Column) -> Column:
@@ -122,7 +145,7 @@ def derivatives(responses: DataFrame) -> DataFrame:
     r = responses.select(
         F.coalesce("record_id", F.lit("")).alias("source"), one_line(F.col("target_uri")).alias("target_uri"), one_line(F.col("date")).alias("date"),
         F.coalesce("http_headers", F.lit("")).alias("http_headers"), F.coalesce("payload", F.lit("")).alias("html"),
-    )
+    ).withColumn("shown", shown(F.col("html")))  # links and text are read from it
     field = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit(CRLF))
     many = lambda name, values: F.array_join(F.transform(values, lambda v: field(name, one_line(v))), "")
     sources = F.filter(F.split("http_headers", r"\r?\n"), lambda h: F.trim(h) != "")
@@ -132,11 +155,11 @@ def derivatives(responses: DataFrame) -> DataFrame:
         field("source-payload-digest", sha256(F.col("html"))),
         field("source-length", F.octet_length("html").cast("string")),
         many("source-header", sources),
-        many("outlink", F.transform(attributes(_replaced(F.col("html"), TO_TEXT[:3]), "a", "href"), _entities)),
+        many("outlink", F.transform(attributes(F.col("shown"), "a", "href"), _entities)),
     )
     kinds = F.array(
         F.struct(F.lit("metadata").alias("warc_type"), F.lit("application/warc-fields").alias("content_type"), metadata.alias("block")),
-        F.struct(F.lit("conversion").alias("warc_type"), F.lit("text/plain; charset=utf-8").alias("content_type"), plain_text(F.col("html")).alias("block")),
+        F.struct(F.lit("conversion").alias("warc_type"), F.lit("text/plain; charset=utf-8").alias("content_type"), text_of_shown(F.col("shown")).alias("block")),
     )
     rows = r.select("*", F.inline(kinds))
     return rows.select(
@@ -154,12 +177,14 @@ def write_warc(records: DataFrame, path: str) -> None:
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """The records of files written by ``write_warc``."""
-    raw = spark.read.option("lineSep", CRLF + CRLF + VERSION + CRLF).text(path)
-    value = F.regexp_replace("value", rf"^{VERSION}{CRLF}", "")  # a file's first
+    # What stands before a separator must not be like its beginning: Hadoop's line reader misses a separator that
+    # begins within what could have been one, if its buffer ends there.
+    raw = spark.read.option("lineSep", f"\n{START}").text(path)
+    value = F.concat(F.lit("WARC-Type: "), F.regexp_replace("value", f"^{START}", ""))  # a file's first has it
     cut = F.instr(value, CRLF + CRLF)
     rows = raw.select(F.substr(value, F.lit(1), cut - 1).alias("head"), F.substr(value, cut + 4).alias("block"))
     fields = [F.regexp_extract("head", rf"(?m)^{name}: ([^\r\n]*)", 1).alias(c) for c, name in HEADER_FIELDS.items()]
     out = rows.select(*fields, "block").withColumn("content_length", F.col("content_length").cast("long"))
-    # what ends a file's last record isn't followed by another one
-    size = F.octet_length("block") - F.col("content_length")
-    return out.withColumn("block", F.when(size == 4, F.regexp_replace("block", r"\r\n\r\n\z", "")).otherwise(F.col("block")))
+    # what ends a record is whole in a file's last one only
+    end = F.when(F.endswith("block", F.lit("\n")), len(CRLF + CRLF)).otherwise(len(CRLF + CRLF) - 1)
+    return out.withColumn("block", F.substr("block", F.lit(1), F.length("block") - end))
