@@ -13,6 +13,8 @@ Of these runs a window needs one: the one of the least hash.  What the filter
 lets through depends on a run's words alone, so documents that share a window
 choose the same run of it.
 Documents with the same words throughout are settled by one digest each.
+Texts are only shuffled if their document may have a place to look at: a bit
+filter of doc_ids of fixed size is sent to them, too.
 
 Cases: a null text has no words; a text shorter than a window loses nothing; a
 null doc_id is neither smaller nor larger, so it loses and takes nothing; rows
@@ -30,7 +32,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodestone.functions.unions import union_all
 from lodestone.llm.common import bounded_batches, id_and_text, ranges
+from lodestone.llm.id_filter import id_filter, split_rows
 from lodestone.llm.words import BLANKS, Words, each_slice, mix, rolling
 from lodestone.session import materialise
 
@@ -199,8 +203,9 @@ class Repeats:
         # Written first, so that Spark deals out both sides of the join anew and can split a run that a third of the rows share.
         runs = materialise(_shared(hits, "run").select("run"), "anchors-runs")
         places = hits.join(runs, "run", "left_semi").groupBy("doc_id").agg(F.collect_set("pos").alias("pos"))
-        places = places.join(self.all.filter("copy").select("doc_id").distinct(), "doc_id", "left_anti")
-        self.near = materialise(texts.join(places, "doc_id"), "anchors-near")
+        places = materialise(places.join(self.all.filter("copy").select("doc_id").distinct(), "doc_id", "left_anti"), "anchors-places")
+        some, _ = split_rows(texts, id_filter(places, "anchors-ids"))
+        self.near = materialise(some.join(places, "doc_id"), "anchors-near")
         windows = materialise(_windows(self.near), "anchors-windows")
         firsts = materialise(_shared(windows, "w1", "w2"), "anchors-firsts")
         again = windows.join(firsts, ["w1", "w2"]).filter("doc_id > smallest")
@@ -254,10 +259,12 @@ def without_repeats(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch["doc_id"].slice(lo, hi - lo), pa.array([x.decode() for x in _joined(words, keep)])], ["_id", "_text"])
 
     copies = found.all.filter("copy").select(F.col("doc_id").alias("_id"), F.lit("").alias("_text")).distinct()
-    changed = found.cut.mapInArrow(texts, "_id long, _text string").unionByName(copies)
-    joined = docs.join(changed, docs["doc_id"].cast("long") == changed["_id"], "left")
+    cut = materialise(found.cut.mapInArrow(texts, "_id long, _text string"), "anchors-cut")
+    changed = cut.unionByName(copies)
+    some, others = split_rows(docs, id_filter(changed.select("_id"), "anchors-changed", "_id"))
+    joined = some.join(changed, some["doc_id"].cast("long") == changed["_id"], "left")
     hit = changed["_id"].isNotNull()
-    new = {"text": F.when(hit, changed["_text"]).otherwise(docs["text"])}
+    new = {"text": F.when(hit, changed["_text"]).otherwise(some["text"])}
     if "n_chars" in docs.columns:
-        new["n_chars"] = F.when(hit, F.length(changed["_text"])).otherwise(docs["n_chars"]).cast(docs.schema["n_chars"].dataType)
-    return joined.select(*[new[c].alias(c) if c in new else docs[c] for c in docs.columns])
+        new["n_chars"] = F.when(hit, F.length(changed["_text"])).otherwise(some["n_chars"]).cast(docs.schema["n_chars"].dataType)
+    return union_all(joined.select(*[new[c].alias(c) if c in new else some[c] for c in docs.columns]), others)

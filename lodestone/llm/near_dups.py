@@ -38,8 +38,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodestone.functions.unions import union_all
 from lodestone.llm.common import bounded_batches, id_and_text
 from lodestone.llm.components import contract, relabel
+from lodestone.llm.id_filter import id_filter, split_rows
 from lodestone.llm.link_groups import links_in_groups
 from lodestone.llm.words import BLANKS, Words, each_slice, mix, rolling
 from lodestone.session import materialise
@@ -276,5 +278,6 @@ def near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
 
 def without_near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
     """One document of each component, the one with the smallest doc_id, with all columns."""
-    drop = near_duplicates(docs, width).filter("NOT kept").select(F.col("doc_id").alias("_id"))
-    return docs.join(drop, docs["doc_id"].cast("long") == drop["_id"], "left_anti")
+    drop = materialise(near_duplicates(docs, width).filter("NOT kept").select(F.col("doc_id").alias("_id")), "near-drop")
+    some, others = split_rows(docs, id_filter(drop, "near-drop-ids", "_id"))
+    return union_all(some.join(drop, some["doc_id"].cast("long") == drop["_id"], "left_anti"), others)
