@@ -40,7 +40,7 @@ TIDY = [(r"[ \t\r\f]+", " "), (r" ?\n ?", "\n"), (r"\n+", "\n"), (r"^[ \n]+|[ \n
 # that are as they shall be, most of them single spaces, aren't matched
 BLOCK_TAG = "|".join(f"{k}(?:{'|'.join(n[1:] for n in names)})" for k, names in groupby(sorted(BLOCK_TAGS.split("|")), lambda n: n[0]))
 SHOWN, MARKUP = TO_TEXT[:3], [TO_TEXT[3], (rf"(?i)</?(?:{BLOCK_TAG})\b[^>]*>", "\n"), TO_TEXT[5]]
-BLANKS = [(r"[ \t\r\f](?:[ \t\r\f]++|(?<! ))", " "), (r"[ \n](?:(?<=\n)[ \n]++|(?<= )\n[ \n]*+)", "\n")]
+BLANKS = [(r"[ \t\r\f](?:[ \t\r\f]++|(?<! ))", " "), (r" ?+\n[ \n]*+", "\n")]
 LINE_ENDS = ("\x85", "\u2028", "\u2029")  # $ also stands before one of these at the end of a text
 TITLE = r"(?is)<title\b[^>]*>(.*?)</title\s*>"
 
@@ -98,12 +98,25 @@ def _entities(text: Column) -> Column:
     return F.array_join(parts, "")
 
 
+def _attribute(tag: str, name: str) -> str:
+    """The pattern of a tag up to its first attribute of a name, with the value as its group."""
+    before = rf"(?:[\s/]++|=|(?!{name}\s*+=)[^\s/>=]++(?:\s*+=\s*+{VALUE}?+)?+)*+"
+    return rf"(?i)<{tag}(?=[\s/]){before}{name}\s*+=\s*+({VALUE})"
+
+
+def _unquoted(value: Column) -> Column:
+    quoted = F.substr(value, F.lit(1), F.lit(1)).isin('"', "'")
+    return F.when(quoted, F.substr(value, F.lit(2), F.length(value) - 2)).otherwise(value)
+
+
 def attributes(html: Column, tag: str, name: str) -> Column:
     """Values of a tag's first attribute of a name, in double quotes, single quotes or none."""
-    before = rf"(?:[\s/]++|=|(?!{name}\s*+=)[^\s/>=]++(?:\s*+=\s*+{VALUE}?+)?+)*+"
-    found = F.regexp_extract_all(html, F.lit(rf"(?i)<{tag}(?=[\s/]){before}{name}\s*+=\s*+({VALUE})"), F.lit(1))
-    quoted = lambda v: F.substr(v, F.lit(1), F.lit(1)).isin('"', "'")
-    return F.transform(found, lambda v: F.when(quoted(v), F.substr(v, F.lit(2), F.length(v) - 2)).otherwise(v))
+    return F.transform(F.regexp_extract_all(html, F.lit(_attribute(tag, name)), F.lit(1)), _unquoted)
+
+
+def first_attribute(html: Column, tag: str, name: str) -> Column:
+    """The first of ``attributes``, or an empty text; what lies behind it isn't searched."""
+    return _unquoted(F.regexp_extract(html, _attribute(tag, name), 1))
 
 
 def _stripped(text: Column) -> Column:
@@ -151,7 +164,7 @@ def derivatives(responses: DataFrame) -> DataFrame:
     sources = F.filter(F.split("http_headers", r"\r?\n"), lambda h: F.trim(h) != "")
     metadata = F.concat(
         field("title", one_line(_entities(F.regexp_extract("html", TITLE, 1)))),
-        field("lang", one_line(_entities(F.coalesce(F.get(attributes(F.col("html"), "html", "lang"), F.lit(0)), F.lit(""))))),
+        field("lang", one_line(_entities(first_attribute(F.col("html"), "html", "lang")))),
         field("source-payload-digest", sha256(F.col("html"))),
         field("source-length", F.octet_length("html").cast("string")),
         many("source-header", sources),
@@ -180,10 +193,11 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     # What stands before a separator must not be like its beginning: Hadoop's line reader misses a separator that
     # begins within what could have been one, if its buffer ends there.
     raw = spark.read.option("lineSep", f"\n{START}").text(path)
-    value = F.concat(F.lit("WARC-Type: "), F.regexp_replace("value", f"^{START}", ""))  # a file's first has it
+    rest = F.when(F.startswith("value", F.lit(START)), F.substr("value", F.lit(len(START) + 1))).otherwise(F.col("value"))  # a file's first has it
+    value = F.concat(F.lit(f"{CRLF}WARC-Type: "), rest)
     cut = F.instr(value, CRLF + CRLF)
     rows = raw.select(F.substr(value, F.lit(1), cut - 1).alias("head"), F.substr(value, cut + 4).alias("block"))
-    fields = [F.regexp_extract("head", rf"(?m)^{name}: ([^\r\n]*)", 1).alias(c) for c, name in HEADER_FIELDS.items()]
+    fields = [F.substring_index(F.split_part("head", F.lit(f"{CRLF}{name}: "), F.lit(2)), CRLF, 1).alias(c) for c, name in HEADER_FIELDS.items()]
     out = rows.select(*fields, "block").withColumn("content_length", F.col("content_length").cast("long"))
     # what ends a record is whole in a file's last one only
     end = F.when(F.endswith("block", F.lit("\n")), len(CRLF + CRLF)).otherwise(len(CRLF + CRLF) - 1)

@@ -54,3 +54,17 @@ def test_records_at_any_end_of_a_buffer_or_split(spark):
     finally:
         hadoop.set("io.file.buffer.size", size)
         spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+
+
+def test_a_header_is_a_line_of_the_file(spark, tmp_path):
+    """Other marks that end a line for a pattern, as U+0085 and U+2028 do, are text of a header."""
+    odd = "http://a/\x85Content-Type: text/odd WARC-Block-Digest: none"
+    page = ("<urn:uuid:1>", odd, "2024-01-01T00:00:00Z", "", "<html data-x='1' lang=de><body lang=en>a<html lang=fr>b")
+    responses = spark.createDataFrame([page], "record_id string, target_uri string, date string, http_headers string, payload string")
+    made = warc.derivatives(responses)
+    warc.write_warc(made, str(tmp_path / "w"))
+    read = warc.read_warc(spark, str(tmp_path / "w"))
+    names = [*warc.HEADER_FIELDS, "block"]
+    assert sorted(map(tuple, read.select(*names).collect())) == sorted(map(tuple, made.select(*names).collect()))
+    blocks = {r.warc_type: r.block for r in read.collect()}
+    assert "lang: de\r\n" in blocks["metadata"]
