@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import gc
 import os
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import regex
 
-from lodestone.llm.common import worker_memory
+from lodestone.llm.common import ranges, worker_memory
 from lodestone.llm.units import UnitEncoder
 
 MOST_PIECES = 300_000  # remembered at once in a worker
@@ -66,6 +66,33 @@ def _cutter(tokens: list, split):
     return cut
 
 
+class Held:
+    """The tokens of pieces: ids and, with offsets, the characters each covers; ``at`` and ``many`` say which are of a piece."""
+
+    def __init__(self):
+        self.forget()
+
+    def forget(self) -> None:
+        self.ids, self.begin, self.end = (np.zeros(1 << 12, np.uint32) for _ in range(3))
+        self.at, self.many = (np.zeros(1 << 12, np.int64) for _ in range(2))
+        self.used = self.size = 0
+
+    def _put(self, names: tuple[str, ...], at: int, values) -> int:
+        """Where the next values go."""
+        for name, x in zip(names, values):
+            have = getattr(self, name)
+            if at + len(x) > len(have):
+                have = np.concatenate([have, np.zeros(max(len(have), at + len(x) - len(have)), have.dtype)])
+                setattr(self, name, have)
+            have[at : at + len(x)] = x
+        return at + len(values[0])
+
+    def add(self, ids, many, *places) -> None:
+        """Some pieces, in order: ids of all, ids of each and, with offsets, the tokens' first and last characters."""
+        self.size = self._put(("at", "many"), self.size, (self.used + np.cumsum(many) - many, many))
+        self.used = self._put(("ids", "begin", "end"), self.used, (ids, *places))
+
+
 def encoder(path: str, pattern: str, offsets: bool = False, encode_special_tokens: bool = True) -> UnitEncoder:
     """The worker's encoder for a vocabulary file.
 
@@ -89,44 +116,57 @@ def encoder(path: str, pattern: str, offsets: bool = False, encode_special_token
         for token, i in tokenizer.get_vocab().items():
             sizes[i] = len(token)
 
-        def encode_pieces(pieces: list[str]):
+        def encode_pieces(pieces: list[str]) -> None:
             """One call of the library for some pieces; the tokens' sizes say which piece they are of."""
             raw = [p.encode() for p in pieces]
-            ids = model.encode_batch_fast([b"\xff".join(raw).decode("latin-1").translate(letters)], add_special_tokens=False)[0].ids  # no UTF-8 has that byte
-            many, stops = sizes[np.array(ids, np.int64)], np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw)))
-            if int(many.sum()) != int(stops[-1]):  # the vocabulary lacks a byte, which the library leaves out
+            ids = np.array(model.encode_batch_fast([b"\xff".join(raw).decode("latin-1").translate(letters)], add_special_tokens=False)[0].ids, np.int64)  # no UTF-8 has that byte
+            covered, stops = sizes[ids], np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw)))
+            if int(covered.sum()) != int(stops[-1]):  # the vocabulary lacks a byte, which the library leaves out
                 got = [model.model.tokenize(x.decode("latin-1").translate(letters)) for x in raw]
-                known.update({p: ([t.id for t in g], *(_places(p, [len(t.value) for t in g]) if offsets else ())) for p, g in zip(pieces, got)})
-                return
-            ends = np.searchsorted(np.cumsum(many), stops, side="right").tolist()
-            many = many.tolist() if offsets else ids
-            for piece, a, b in zip(pieces, [0, *ends], ends):
-                known[piece] = (ids[a:b], *_places(piece, many[a:b])) if offsets else (ids[a:b],)
+                ids, many = np.array([t.id for g in got for t in g], np.int64), np.array([len(g) for g in got], np.int64)
+                covered = np.array([len(t.value) for g in got for t in g], np.int64)
+            else:
+                many = np.diff(np.searchsorted(np.cumsum(covered), stops, side="right"), prepend=0)
+            if offsets:
+                each, ends = covered.tolist(), np.cumsum(many).tolist()
+                places = [_places(p, each[a:b]) for p, a, b in zip(pieces, [0, *ends], ends)]
+                held.add(ids, many, *(list(chain.from_iterable(x[k] for x in places)) for k in (0, 1)))
+            else:
+                held.add(ids, many)
+            known.update(zip(pieces, range(len(known), len(known) + len(pieces))))
 
-        known: dict[str, tuple] = {}
+        known: dict = {}  # a piece's number in ``held``
+        held = Held()
 
         def encode(units: list[str]):
             if len(known) > MOST_PIECES:
                 known.clear()
+                held.forget()
             gc.disable()  # hundreds of thousands of small lists, none of them in a cycle
             cut = [_pieces(unit, split) for unit in units]
             for k in [k for k, unit in enumerate(units) if unit.strip() in added] if added else ():
                 cut[k] = (piece,) = ((added[units[k].strip()][0], len(units[k])),)
-                known[piece] = ([piece[0]], [0], [piece[1]])
+                if piece not in known:
+                    held.add([piece[0]], [1], *([0], [piece[1]]) if offsets else ())
+                    known[piece] = len(known)
             flat, pieces = list(chain.from_iterable(cut)), np.fromiter(map(len, cut), np.int64, len(cut))
-            new = [p for p in dict.fromkeys(flat) if p not in known]
+            number = np.fromiter(map(known.get, flat, repeat(-1)), np.int64, len(flat))
+            missing = np.flatnonzero(number < 0)
+            names = [flat[k] for k in missing.tolist()]
+            new = list(dict.fromkeys(names))
             for lo in range(0, len(new), PIECES_AT_ONCE):
                 encode_pieces(new[lo : lo + PIECES_AT_ONCE])
-            got = [known[p] for p in flat]
-            tokens = np.fromiter((len(g[0]) for g in got), np.int64, len(got))
+            number[missing] = np.fromiter(map(known.__getitem__, names), np.int64, len(names))
+            tokens = held.many[number]
+            where = ranges(held.at[number], tokens)
             row = np.repeat(np.arange(len(cut)), pieces)
             many = np.bincount(row, weights=tokens, minlength=len(cut)).astype(np.int64)
-            out = [np.fromiter(chain.from_iterable(g[0] for g in got), np.uint32)]
+            out = [held.ids[where]]
             if offsets:
                 size = np.fromiter(map(len, flat), np.int64, len(flat))
                 before = np.cumsum(size) - size
                 shift = np.repeat(before - before[(np.cumsum(pieces) - pieces)[row]], tokens) if len(flat) else tokens
-                out += [(np.fromiter(chain.from_iterable(g[k] for g in got), np.int64) + shift).astype(np.uint32) for k in (1, 2)]
+                out += [(x[where] + shift).astype(np.uint32) for x in (held.begin, held.end)]
             gc.enable()
             return out[0], many, *(out[1:] or [np.zeros(0, np.uint32)] * 2)
 

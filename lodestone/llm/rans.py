@@ -14,9 +14,13 @@ from dataclasses import dataclass
 
 import numpy as np
 
+from lodestone.llm.common import ranges
+
 LOW = 31  # a state is at least 2**LOW between symbols
 MOST_LANES = 512
 CHECK_STEPS = 256
+MOST_LOOKED_UP = 1 << 20  # ids below it have their ranks in an array
+AT_ONCE = 16  # spans decoded side by side
 
 
 @dataclass
@@ -49,7 +53,20 @@ class Table:
         return (np.cumsum(self.freq, dtype=np.uint64) - self.freq).astype(np.uint64)
 
     def ranks(self, ids: np.ndarray) -> np.ndarray:
-        return np.searchsorted(self.symbols, ids)
+        most = int(self.symbols[-1]) if len(self.symbols) else 0
+        if most >= MOST_LOOKED_UP:
+            return np.searchsorted(self.symbols, ids)
+        rank = np.zeros(most + 1, np.int64)
+        rank[self.symbols] = np.arange(len(self.symbols))
+        return rank[ids]
+
+
+def _lanes(n: int) -> int:
+    """Of a block of n ids."""
+    lanes = 1
+    while lanes < MOST_LANES and lanes * 64 < n:
+        lanes *= 2
+    return lanes
 
 
 class Encoder:
@@ -58,39 +75,52 @@ class Encoder:
 
     def block(self, ids: np.ndarray) -> dict:
         """A block of ids; the lanes' number follows from its size."""
-        n = len(ids)
-        lanes = 1
-        while lanes < MOST_LANES and lanes * 64 < n:
-            lanes *= 2
+        return self._side_by_side(ids[None])[0]
+
+    def blocks(self, ids: np.ndarray, size: int) -> list[dict]:
+        """Blocks of ``size`` ids, and a last one of the rest; blocks of equal size are coded side by side."""
+        whole = len(ids) // size * size
+        out = self._side_by_side(ids[:whole].reshape(-1, size)) if whole else []
+        return out + ([self.block(ids[whole:])] if whole < len(ids) else [])
+
+    def _side_by_side(self, ids: np.ndarray) -> list[dict]:
+        """A block of each row.  An array operation advances all lanes of all rows by a symbol."""
+        rows, n = ids.shape
+        lanes = _lanes(n)
         steps, bits = -(-n // lanes), np.uint64(self.table.bits)
         room = np.uint64(LOW + 32 - self.table.bits)
         rank = self.table.ranks(ids)
-        freq, start = self.freq[rank], self.start[rank]
-        x = np.full(lanes, 1 << LOW, np.uint64)
+        x = np.full((rows, lanes), 1 << LOW, np.uint64)
         words: list[np.ndarray] = []
-        marks: list[tuple[int, np.ndarray]] = []
-        given = 0
+        many = np.zeros((steps, rows), np.int64)  # words of each step and row
+        marks: list[np.ndarray] = []
         for t in range(steps - 1, -1, -1):
-            f, s = freq[t * lanes : (t + 1) * lanes], start[t * lanes : (t + 1) * lanes]
-            y = x[: len(f)]
+            some = rank[:, t * lanes : (t + 1) * lanes]
+            f, s = self.freq[some], self.start[some]
+            y = x[:, : f.shape[1]]
             full = y >= (f << room)
-            if full.any():
-                words.append(y[full].astype(np.uint32))
-                given += len(words[-1])
-                y = np.where(full, y >> np.uint64(32), y)
+            words.append(y[full].astype(np.uint32))
+            many[t] = np.count_nonzero(full, axis=1)
+            y = np.where(full, y >> np.uint64(32), y)
             q = y // f
-            x[: len(f)] = (q << bits) + (y - q * f) + s
+            x[:, : f.shape[1]] = (q << bits) + (y - q * f) + s
             if t % CHECK_STEPS == 0:
-                marks.append((given, x.copy()))
+                marks.append(x.copy())
         marks.reverse()
-        return {
-            "n_ids": n,
-            "lanes": lanes,
-            "words": np.concatenate(words[::-1]).astype("<u4").tobytes() if words else b"",
-            "check_at": [given - g for g, _ in marks],
-            "check_states": np.concatenate([m for _, m in marks]).astype("<u8").tobytes() if marks else b"",
-            "crc32": zlib.crc32(np.ascontiguousarray(ids, "<u4").tobytes()),
-        }
+        given = np.concatenate(words[::-1]).astype("<u4") if words else np.zeros(0, "<u4")
+        at = (np.cumsum(many) - many.ravel()).reshape(many.shape)
+        before = np.cumsum(many, axis=0) - many  # words of a row before a step, as they are read
+        return [
+            {
+                "n_ids": n,
+                "lanes": lanes,
+                "words": given[ranges(at[:, r], many[:, r])].tobytes(),
+                "check_at": before[::CHECK_STEPS, r].tolist(),
+                "check_states": b"".join(m[r].astype("<u8").tobytes() for m in marks),
+                "crc32": zlib.crc32(np.ascontiguousarray(ids[r], "<u4").tobytes()),
+            }
+            for r in range(rows)
+        ]
 
 
 class Decoder:
@@ -100,31 +130,58 @@ class Decoder:
 
     def span(self, block: dict, k: int) -> np.ndarray:
         """The ids from checkpoint k up to the next one; needs no other span."""
-        n, lanes, bits = block["n_ids"], block["lanes"], np.uint64(self.table.bits)
+        return self._side_by_side([(block, k)])[0]
+
+    def _side_by_side(self, spans: list[tuple[dict, int]]) -> np.ndarray:
+        """The ids of each span, a row each; they must have as many ids and lanes."""
+        first, last, lanes, size = _extent(*spans[0])
+        n, bits = size + first * lanes, np.uint64(self.table.bits)
         mask = np.uint64((1 << self.table.bits) - 1)
-        words = np.frombuffer(block["words"], "<u4")
-        at = block["check_at"][k]
-        x = np.frombuffer(block["check_states"], "<u8")[k * lanes : (k + 1) * lanes].copy()
-        first, last = k * CHECK_STEPS, min((k + 1) * CHECK_STEPS, -(-n // lanes))
-        out = np.empty(min(last * lanes, n) - first * lanes, np.uint32)
+        parts = [np.frombuffer(b["words"], "<u4")[b["check_at"][k] :][:size] for b, k in spans]  # an id takes a word at most
+        at = np.cumsum([0, *map(len, parts)])[:-1]
+        words = np.concatenate(parts)
+        x = np.stack([np.frombuffer(b["check_states"], "<u8")[k * lanes : (k + 1) * lanes] for b, k in spans])
+        out = np.empty((len(spans), size), np.uint32)
         for t in range(first, last):
             width = min(lanes, n - t * lanes)
-            y = x[:width]
+            y = x[:, :width]
             slot = y & mask
             rank = self.rank_of_slot[slot]
-            out[(t - first) * lanes : (t - first) * lanes + width] = self.table.symbols[rank]
+            out[:, (t - first) * lanes : (t - first) * lanes + width] = self.table.symbols[rank]
             y = self.freq[rank] * (y >> bits) + slot - self.start[rank]
             low = y < np.uint64(1 << LOW)
-            need = int(np.count_nonzero(low))
-            if need:
-                y[low] = (y[low] << np.uint64(32)) | words[at : at + need]
-                at += need
-            x[:width] = y
+            need = np.count_nonzero(low, axis=1)
+            y[low] = (y[low] << np.uint64(32)) | words[ranges(at, need)]
+            at += need
+            x[:, :width] = y
         return out
 
     def block(self, block: dict) -> np.ndarray:
-        parts = [self.span(block, k) for k in range(len(block["check_at"]))]
-        ids = np.concatenate(parts) if parts else np.zeros(0, np.uint32)
-        if zlib.crc32(ids.astype("<u4").tobytes()) != block["crc32"]:
-            raise ValueError("a block's ids don't agree with its checksum")
-        return ids
+        return self.blocks([block])
+
+    def blocks(self, blocks: list[dict]) -> np.ndarray:
+        """The ids of some blocks, one after another; spans of equal size are decoded side by side."""
+        alike: dict[tuple[int, ...], list[tuple[int, int]]] = {}
+        for i, b in enumerate(blocks):
+            for k in range(len(b["check_at"])):
+                first, last, lanes, size = _extent(b, k)
+                alike.setdefault((last - first, lanes, size), []).append((i, k))
+        found = {}
+        for places in alike.values():
+            for lo in range(0, len(places), AT_ONCE):
+                some = places[lo : lo + AT_ONCE]
+                found.update(zip(some, self._side_by_side([(blocks[i], k) for i, k in some])))
+        out = [np.zeros(0, np.uint32)]
+        for i, b in enumerate(blocks):
+            ids = np.concatenate([np.zeros(0, np.uint32), *(found.pop((i, k)) for k in range(len(b["check_at"])))])
+            if zlib.crc32(ids.astype("<u4").tobytes()) != b["crc32"]:
+                raise ValueError("a block's ids don't agree with its checksum")
+            out.append(ids)
+        return np.concatenate(out)
+
+
+def _extent(block: dict, k: int) -> tuple[int, int, int, int]:
+    """(first step, the one behind the last, lanes, ids) of a block's span."""
+    n, lanes = block["n_ids"], block["lanes"]
+    first, last = k * CHECK_STEPS, min((k + 1) * CHECK_STEPS, -(-n // lanes))
+    return first, last, lanes, min(last * lanes, n) - first * lanes

@@ -56,7 +56,7 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str, pattern: str,
             ids = np.concatenate(held_ids)
             table = Table.of(ids)
             coder = Encoder(table)
-            blocks = [coder.block(ids[lo : lo + BLOCK_IDS]) for lo in range(0, len(ids), BLOCK_IDS)]
+            blocks = coder.blocks(ids, BLOCK_IDS)
             row = {
                 "shard": shard, "segment": number, "before": before, "n_ids": len(ids), "doc_ids": held_docs,
                 "lengths": np.concatenate(held_lengths).tolist(), "bits": table.to_bytes(), "blocks": blocks,
@@ -127,7 +127,7 @@ def _decoded(spark: SparkSession, path: str, ddl: str, last_column) -> DataFrame
             for k in range(batch.num_rows):
                 row = batch.slice(k, 1).to_pylist()[0]
                 coder = Decoder(Table.from_bytes(row["bits"]))
-                ids = np.concatenate([coder.block(b) for b in row["blocks"]])
+                ids = coder.blocks(row["blocks"])
                 lengths = np.array(row["lengths"], np.int64)
                 at = starts[row["shard"]] + row["before"] + np.cumsum(lengths) - lengths
                 columns = [pa.array(row["doc_ids"], pa.int64()), pa.array(at), pa.array(lengths), last_column(ids, lengths)]

@@ -11,6 +11,7 @@ by array operations.
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -52,8 +53,11 @@ class UnitEncoder:
     def _add(self, units: list[str]) -> np.ndarray:
         """Numbers of units; unseen ones are encoded first."""
         numbers = self.number
-        new = [u for u in dict.fromkeys(units) if u not in numbers]
-        if new:
+        found = np.fromiter(map(numbers.get, units, repeat(-1)), np.int64, len(units))
+        missing = np.flatnonzero(found < 0)
+        if len(missing):
+            names = [units[k] for k in missing.tolist()]
+            new = list(dict.fromkeys(names))
             ids, many, begin, end = self.encode(new)
             n, used = self.size, self.used
             self._room(("ids",) + (("begin", "end") if self.offsets else ()), used + len(ids))
@@ -66,7 +70,8 @@ class UnitEncoder:
             self.at[n : n + len(new)] = used + np.cumsum(many) - many
             numbers.update(zip(new, range(n, n + len(new))))
             self.size, self.used = n + len(new), used + len(ids)
-        return np.fromiter(map(numbers.__getitem__, units), np.int64, len(units))
+            found[missing] = np.fromiter(map(numbers.__getitem__, names), np.int64, len(names))
+        return found
 
     def rows(self, texts: pa.Array):
         """(ids, ids per row) of a column of texts; with offsets also the characters each token covers."""
